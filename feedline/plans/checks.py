@@ -114,3 +114,346 @@ def feed_marks(spark: SparkSession, sf_dir: str) -> DataFrame:
             iso_utc("last_seen_ts").alias("mark"),
         )
     )
+
+
+# ---------------------------------------------------------------------------
+# Name clean-up
+# ---------------------------------------------------------------------------
+
+_SQL_N1 = "nullif(trim(regexp_replace(lower({x}), '[^a-z0-9]+', ' ', 'g')), '')"
+_SQL_SUFFIX = (
+    "'(?:(?:^| )(?:inc|incorporated|corp|corporation|co|company|ltd|limited|llc|plc|sa|ag|gmbh|bv))+$'"
+)
+_SQL_FORMS = "('tablet','tablets','capsule','capsules','injection','solution','oral','iv','mg','mcg','ml')"
+
+
+def _sql_n1(x: str) -> str:
+    return _SQL_N1.format(x=x)
+
+
+def _sql_company(n: str) -> str:
+    return f"coalesce(nullif(regexp_replace({n}, {_SQL_SUFFIX}, ''), ''), {n})"
+
+
+def _sql_drug(n: str) -> str:
+    return (
+        f"coalesce(nullif(array_to_string(list_filter(string_split({n}, ' '), "
+        f"lambda t: t NOT IN {_SQL_FORMS}), ' '), ''), {n})"
+    )
+
+
+_TITLE_RE = "<title>(.*?)</title>"
+
+
+@check(
+    "norm_text",
+    f"""
+SELECT 'conversation' AS kind, conv_id AS id, CAST(turn AS BIGINT) AS turn, {_sql_n1('text')} AS norm
+FROM conversations
+UNION ALL
+SELECT 'page' AS kind, page_id AS id, CAST(0 AS BIGINT) AS turn,
+       {_sql_n1(f"regexp_extract(html, '{_TITLE_RE}', 1)")} AS norm
+FROM pages
+""",
+)
+def norm_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from feedline.functions.text import normalize_text
+
+    conv = table(spark, sf_dir, "conversations").select(
+        F.lit("conversation").alias("kind"), F.col("conv_id").alias("id"), F.col("turn").cast("bigint").alias("turn"),
+        normalize_text("text").alias("norm"),
+    )
+    pages = table(spark, sf_dir, "pages").select(
+        F.lit("page").alias("kind"), F.col("page_id").alias("id"), F.lit(0).cast("bigint").alias("turn"),
+        normalize_text(F.regexp_extract("html", _TITLE_RE, 1)).alias("norm"),
+    )
+    return conv.unionByName(pages)
+
+
+_CUSTOMER_SUFFIX = (
+    "CASE c_custkey % 6 WHEN 0 THEN ', Inc.' WHEN 1 THEN ' Co Ltd' WHEN 2 THEN ' GmbH' "
+    "WHEN 3 THEN ' A/S' WHEN 4 THEN '' ELSE ' S.A.' END"
+)
+
+
+@check(
+    "norm_company",
+    f"""
+WITH n AS (SELECT c_custkey, {_sql_n1(f"c_name || {_CUSTOMER_SUFFIX}")} AS n FROM customer)
+SELECT c_custkey, {_sql_company('n')} AS company FROM n
+""",
+)
+def norm_company(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from feedline.functions.text import normalize_company
+
+    c = table(spark, sf_dir, "customer")
+    return c.select("c_custkey", normalize_company(F.concat("c_name", F.expr(_CUSTOMER_SUFFIX))).alias("company"))
+
+
+_PART_FORM = (
+    "CASE WHEN p_partkey % 10 = 9 THEN 'Oral Tablet' ELSE p_name || ' ' || CAST(p_size AS VARCHAR) || "
+    "CASE p_partkey % 4 WHEN 0 THEN ' mg Oral Tablet' WHEN 1 THEN ' Injection Solution' "
+    "WHEN 2 THEN ' (IV) mcg/ml' ELSE '' END END"
+)
+
+
+@check(
+    "norm_drug",
+    f"""
+WITH n AS (SELECT p_partkey, {_sql_n1(_PART_FORM)} AS n FROM part)
+SELECT p_partkey, {_sql_drug('n')} AS drug FROM n
+""",
+)
+def norm_drug(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from feedline.functions.text import normalize_drug
+
+    p = table(spark, sf_dir, "part")
+    return p.select("p_partkey", normalize_drug(F.expr(_PART_FORM.replace("VARCHAR", "STRING"))).alias("drug"))
+
+
+# Alias maps as users configure them (JSON object text).
+COMPANY_ALIAS_JSON = (
+    '{"Supplier#000000004": "Acme Pharma, Inc.", "supplier 000000005 gmbh": "Five Bio", '
+    '"SUPPLIER#000000006": "Six A", "supplier 000000006": "Six B", "": "nobody", '
+    '"Supplier#000000009": "", "supplier 000000001": "One", "Supplier#000000011 Holdings": 7}'
+)
+_COMPANY_ALIAS_SQL = (
+    "VALUES ('supplier 000000004', 'acme pharma inc'), ('supplier 000000005 gmbh', 'five bio'), "
+    "('supplier 000000006', 'six b'), ('supplier 000000001', 'one'), ('supplier 000000011 holdings', '7')"
+)
+_SUPPLIER_SUFFIX = "CASE s_suppkey % 4 WHEN 0 THEN ', Inc.' WHEN 1 THEN ' GmbH' WHEN 2 THEN '' ELSE ' Holdings' END"
+
+
+@check(
+    "alias_company",
+    f"""
+WITH a(alias, canonical) AS ({_COMPANY_ALIAS_SQL}),
+n AS (SELECT s_suppkey, {_sql_n1(f"s_name || {_SUPPLIER_SUFFIX}")} AS n FROM supplier),
+k AS (SELECT s_suppkey, n, {_sql_company('n')} AS k FROM n)
+SELECT s_suppkey, coalesce(a1.canonical, a2.canonical, k.k) AS company
+FROM k LEFT JOIN a a1 ON a1.alias = k.n LEFT JOIN a a2 ON a2.alias = k.k
+""",
+)
+def alias_company(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from feedline.operators.alias import alias_table_from_json, with_canonical_company
+
+    aliases = alias_table_from_json(spark, COMPANY_ALIAS_JSON)
+    s = table(spark, sf_dir, "supplier").withColumn("_name", F.concat("s_name", F.expr(_SUPPLIER_SUFFIX)))
+    return with_canonical_company(s, "_name", "company", aliases).select("s_suppkey", "company")
+
+
+DRUG_ALIAS_JSON = '{"Blue Bolt Tablets": "Boltazine", "red widget": "Widgetol", "small ring 10": "Ringinex"}'
+_DRUG_ALIAS_SQL = "VALUES ('blue bolt tablets', 'boltazine'), ('red widget', 'widgetol'), ('small ring 10', 'ringinex')"
+_PART_DOSE = "CASE p_partkey % 3 WHEN 0 THEN ' Tablets' WHEN 1 THEN ' 10 mg' ELSE '' END"
+
+
+@check(
+    "alias_drug",
+    f"""
+WITH a(alias, canonical) AS ({_DRUG_ALIAS_SQL}),
+n AS (SELECT p_partkey, {_sql_n1(f"p_name || {_PART_DOSE}")} AS n FROM part),
+k AS (SELECT p_partkey, n, {_sql_drug('n')} AS k FROM n)
+SELECT p_partkey, coalesce(a1.canonical, a2.canonical, k.k) AS drug
+FROM k LEFT JOIN a a1 ON a1.alias = k.n LEFT JOIN a a2 ON a2.alias = k.k
+""",
+)
+def alias_drug(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from feedline.operators.alias import alias_table_from_json, with_canonical_drug
+
+    aliases = alias_table_from_json(spark, DRUG_ALIAS_JSON)
+    p = table(spark, sf_dir, "part").withColumn("_name", F.concat("p_name", F.expr(_PART_DOSE)))
+    return with_canonical_drug(p, "_name", "drug", aliases).select("p_partkey", "drug")
+
+
+# ---------------------------------------------------------------------------
+# Truthiness and dates
+# ---------------------------------------------------------------------------
+
+
+@check(
+    "first_truthy",
+    """
+SELECT event_id,
+       CASE WHEN event_id % 3 = 2 THEN event_type
+            WHEN event_id % 4 >= 2 THEN props
+            WHEN event_id % 5 = 0 THEN ''
+            ELSE CAST(user_id AS VARCHAR) END AS picked
+FROM events
+""",
+)
+def first_truthy_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from feedline.functions.expr import first_truthy
+
+    e = table(spark, sf_dir, "events")
+    a = F.expr("CASE event_id % 3 WHEN 0 THEN '' WHEN 1 THEN NULL ELSE event_type END")
+    b = F.expr("CASE event_id % 4 WHEN 0 THEN '' WHEN 1 THEN NULL ELSE props END")
+    c = F.expr("CASE WHEN event_id % 5 = 0 THEN '' ELSE CAST(user_id AS STRING) END")
+    return e.select("event_id", first_truthy(a, b, c).alias("picked"))
+
+
+_ISO_Z = "'%Y-%m-%dT%H:%M:%SZ'"
+
+
+@check(
+    "study_observed_at",
+    f"""
+SELECT l_orderkey, l_linenumber, strftime(CASE
+    WHEN l_orderkey % 5 >= 2 THEN l_shipdate
+    WHEN l_linenumber % 3 <> 0 THEN date_trunc('month', l_shipdate)
+    WHEN l_orderkey % 7 <> 0 THEN l_shipdate + INTERVAL 2 DAY
+    WHEN l_orderkey % 11 <> 0 THEN l_shipdate + INTERVAL 510 MINUTE
+    WHEN l_orderkey % 13 <> 0 THEN l_shipdate + INTERVAL 3 DAY
+    ELSE TIMESTAMP '{RUN_TS}' END, {_ISO_Z}) AS observed_at
+FROM lineitem
+""",
+)
+def study_observed_at_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from feedline.functions.dates import study_observed_at
+
+    li = table(spark, sf_dir, "lineitem").withColumn("_d", F.col("l_shipdate").cast("timestamp"))
+    d = F.col("_d")
+    d1 = F.when(F.col("l_orderkey") % 5 == 0, F.lit(None)).when(F.col("l_orderkey") % 5 == 1, F.lit("not a date")) \
+        .otherwise(F.date_format(d, "yyyy-MM-dd"))
+    d2 = F.when(F.col("l_linenumber") % 3 == 0, F.lit("")).otherwise(F.date_format(d, "yyyy-MM"))
+    d3 = F.when(F.col("l_orderkey") % 7 == 0, F.lit(None)).otherwise(
+        F.date_format(d + F.expr("INTERVAL 2 DAYS"), "MMMM d, yyyy"))
+    d4 = F.when(F.col("l_orderkey") % 11 == 0, F.lit(None)).otherwise(
+        F.date_format(d, "yyyy-MM-dd'T'10:30:00+02:00"))
+    d5 = F.when(F.col("l_orderkey") % 13 == 0, F.lit(None)).otherwise(
+        F.concat(F.date_format(d + F.expr("INTERVAL 3 DAYS"), "EEE, dd MMM yyyy HH:mm:ss"), F.lit(" +0000")))
+    return li.select("l_orderkey", "l_linenumber",
+                     iso_utc(study_observed_at([d1, d2, d3, d4, d5], run_ts())).alias("observed_at"))
+
+
+@check(
+    "recall_date",
+    f"""
+SELECT o_orderkey, strftime(CASE o_orderkey % 7
+    WHEN 0 THEN o_orderdate
+    WHEN 1 THEN o_orderdate - INTERVAL 3477 SECOND
+    WHEN 6 THEN o_orderdate + INTERVAL 12 HOUR
+    ELSE TIMESTAMP '{RUN_TS}' END, {_ISO_Z}) AS observed_at
+FROM orders
+""",
+)
+def recall_date(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from feedline.functions.dates import parse_recall_date
+
+    o = table(spark, sf_dir, "orders").withColumn("_d", F.col("o_orderdate").cast("timestamp"))
+    d, k = F.col("_d"), F.col("o_orderkey") % 7
+    text = (
+        F.when(k == 0, F.date_format(d, "yyyyMMdd"))
+        .when(k == 1, F.date_format(d, "yyyy-MM-dd'T'01:02:03+02:00"))
+        .when(k == 2, F.concat(F.date_format(d, "yyyy"), F.lit("13"), F.date_format(d, "dd")))
+        .when(k == 3, F.lit("junk"))
+        .when(k == 4, F.lit(""))
+        .when(k == 5, F.lit(None))
+        .otherwise(F.date_format(d, "yyyy-MM-dd'T'12:00:00"))
+    )
+    return o.select("o_orderkey", iso_utc(parse_recall_date(text, run_ts())).alias("observed_at"))
+
+
+@check(
+    "rss_date",
+    f"""
+SELECT event_id, strftime(CASE WHEN event_id % 10 = 4 THEN TIMESTAMP '{RUN_TS}'
+                               ELSE date_trunc('second', ts) END, {_ISO_Z}) AS observed_at
+FROM events
+""",
+)
+def rss_date(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from feedline.functions.dates import parse_rss_date
+
+    e = table(spark, sf_dir, "events").withColumn("_t", F.col("ts").cast("timestamp"))
+    t, k = F.col("_t"), F.col("event_id") % 10
+    rfc = "EEE, dd MMM yyyy HH:mm:ss"
+    text = (
+        F.when(k % 5 == 0, F.concat(F.date_format(t, rfc), F.lit(" +0000")))
+        .when(k % 5 == 1, F.concat(F.date_format(t, rfc), F.lit(" GMT")))
+        .when(k % 5 == 2, F.concat(F.date_format(t + F.expr("INTERVAL 90 MINUTES"), rfc), F.lit(" +0130")))
+        .when(k % 5 == 3, F.date_format(t, "yyyy-MM-dd'T'HH:mm:ss'Z'"))
+        .when(k == 4, F.lit("garbage"))
+        .otherwise(F.concat(F.date_format(t, rfc), F.lit(" EST")))
+    )
+    return e.select("event_id", iso_utc(parse_rss_date(text, run_ts())).alias("observed_at"))
+
+
+# ---------------------------------------------------------------------------
+# Fingerprint (N7) and the Kafka value frame
+# ---------------------------------------------------------------------------
+
+_PAGE_TITLE_SQL = (
+    f"CASE WHEN page_id % 9 = 0 THEN NULL WHEN page_id % 13 = 0 THEN '' "
+    f"ELSE regexp_extract(html, '{_TITLE_RE}', 1) END"
+)
+
+
+@check(
+    "fingerprint",
+    f"""
+WITH p AS (SELECT page_id, url, {_PAGE_TITLE_SQL} AS title,
+                  TIMESTAMP '2024-01-01' + to_hours(page_id) AS obs FROM pages)
+SELECT page_id, 'fp:' || sha256('{{"identifiers":{{"link":' || to_json(url)
+    || '}},"normalized":{{"lead_sponsor":null,"link":' || to_json(url)
+    || ',"status":null,"title":' || coalesce(to_json(title), 'null')
+    || '}},"observed_at":"' || strftime(obs, {_ISO_Z})
+    || '","record_type":"regulatory_update","source":"fda"}}') AS fp
+FROM p
+""",
+)
+def fingerprint_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from feedline.operators.dedup import record_fingerprint
+
+    p = table(spark, sf_dir, "pages")
+    title = F.expr(_PAGE_TITLE_SQL)
+    obs = F.to_timestamp(F.lit("2024-01-01")) + F.make_dt_interval(hours=F.col("page_id").cast("int"))
+    feed = p.select(
+        "page_id",
+        *envelope(
+            source=F.lit("fda"), record_type=F.lit("regulatory_update"), observed_at=obs,
+            raw=F.to_variant_object(F.struct("url")), normalized=normalized_struct(title=title, link=F.col("url")),
+            identifiers=identifiers_map(link=F.col("url")), source_key=F.lit("fda_rss:feed"),
+            page_no=F.col("page_id"), pos=F.lit(0),
+        ),
+    )
+    return feed.select("page_id", record_fingerprint(feed, zulu=True).alias("fp"))
+
+
+_EVENT_TITLE = "event_type || ' #' || CAST(event_id AS VARCHAR)"
+_EVENT_LINK = "'https://feed.example/e/' || CAST(event_id AS VARCHAR)"
+
+
+def events_rss_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events as RSS items of one feed, 50 items per landed page, in id order."""
+    e = table(spark, sf_dir, "events")
+    pub = F.concat(F.date_format(F.col("ts").cast("timestamp"), "EEE, dd MMM yyyy HH:mm:ss"), F.lit(" +0000"))
+    return e.select(
+        F.lit("ema_rss:feed").alias("source_key"),
+        F.floor(F.col("event_id") / 50).cast("bigint").alias("page_no"),
+        F.col("event_id").alias("pos"),
+        F.expr(_EVENT_TITLE.replace("VARCHAR", "STRING")).alias("title"),
+        F.expr(_EVENT_LINK.replace("VARCHAR", "STRING")).alias("link"),
+        pub.alias("pubDate"),
+    )
+
+
+@check(
+    "kafka_values",
+    f"""
+WITH e AS (SELECT event_id, {_EVENT_TITLE} AS title, {_EVENT_LINK} AS link,
+                  strftime(ts, '%a, %d %b %Y %H:%M:%S') || ' +0000' AS pub, date_trunc('second', ts) AS obs
+           FROM events)
+SELECT event_id, '{{"source":"ema","record_type":"regulatory_update","observed_at":"' || strftime(obs, {_ISO_Z})
+    || '","ingested_at":"2025-01-01T00:00:00Z","raw":{{"link":' || to_json(link) || ',"pubDate":' || to_json(pub)
+    || ',"title":' || to_json(title) || '}},"normalized":{{"title":' || to_json(title) || ',"link":' || to_json(link)
+    || '}},"identifiers":{{"link":' || to_json(link) || '}}}}' AS value
+FROM e
+""",
+)
+def kafka_values_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from feedline.operators.envelope import rss_envelope, stamp_ingested_at
+    from feedline.sinks.writers import kafka_values
+
+    rows = stamp_ingested_at(rss_envelope(events_rss_items(spark, sf_dir), "ema", run_ts()), run_ts())
+    v = validate(rows, "drop")
+    return kafka_values(v.accepted, keep=[F.col("_pos").alias("event_id")])
