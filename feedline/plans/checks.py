@@ -69,6 +69,7 @@ def documents_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     observed = F.to_timestamp(F.date_add(F.to_date(F.lit("2024-01-01")), (F.col("n_chars") % 365).cast("int")))
     return d.select(
         "doc_id",
+        "n_chars",
         *envelope(
             source=F.lit("documents"),
             record_type=F.lit("regulatory_update"),
@@ -457,3 +458,488 @@ def kafka_values_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = stamp_ingested_at(rss_envelope(events_rss_items(spark, sf_dir), "ema", run_ts()), run_ts())
     v = validate(rows, "drop")
     return kafka_values(v.accepted, keep=[F.col("_pos").alias("event_id")])
+
+
+# ---------------------------------------------------------------------------
+# High-water marks and source state
+# ---------------------------------------------------------------------------
+
+
+def events_feed(spark: SparkSession, sf_dir: str, observed: F.Column | None = None) -> DataFrame:
+    """Events as feed records: spider = event type, source key ``events:<type>``,
+    pages of 50 in id order."""
+    e = table(spark, sf_dir, "events")
+    obs = observed if observed is not None else F.col("ts").cast("timestamp")
+    link = F.expr(_EVENT_LINK.replace("VARCHAR", "STRING"))
+    return e.select(
+        "event_id",
+        "event_type",
+        F.col("ts").cast("timestamp").alias("_ts"),
+        *envelope(
+            source=F.col("event_type"), record_type=F.lit("regulatory_update"), observed_at=obs,
+            raw=F.to_variant_object(F.struct("event_id", "props")),
+            normalized=normalized_struct(title=F.col("event_type"), link=link),
+            identifiers=identifiers_map(event_id=F.col("event_id")),
+            source_key=F.concat(F.lit("events:"), F.col("event_type")),
+            page_no=F.floor(F.col("event_id") / 50), pos=F.col("event_id"),
+        ),
+    )
+
+
+_STATE_MARKS_SQL = """
+WITH mx AS (SELECT max(event_id) AS mx FROM events),
+c AS (SELECT arg_max(ts, event_id) AS mark FROM events, mx WHERE event_type = 'click' AND event_id * 2 <= mx),
+st(source_key, mark) AS (
+  SELECT 'events:click', mark FROM c
+  UNION ALL VALUES ('events:view', TIMESTAMP '2024-01-15 00:00:00'),
+                   ('events:purchase', TIMESTAMP '2024-01-20 12:00:00'),
+                   ('events:signup', TIMESTAMP '2024-01-10 00:00:00'))"""
+
+
+def events_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stored marks: click = a real event time (the mark equals a record), three
+    fixed marks, none for error."""
+    e = table(spark, sf_dir, "events")
+    mx = e.agg(F.max("event_id").alias("mx"))
+    click = (
+        e.where(F.col("event_type") == "click").crossJoin(F.broadcast(mx))
+        .where(F.col("event_id") * 2 <= F.col("mx"))
+        .agg(F.max_by("ts", "event_id").alias("mark"))
+        .select(F.lit("events:click").alias("source_key"), F.col("mark").cast("timestamp").alias("last_seen_ts"))
+    )
+    fixed = spark.createDataFrame(
+        [("events:view", "2024-01-15 00:00:00"), ("events:purchase", "2024-01-20 12:00:00"),
+         ("events:signup", "2024-01-10 00:00:00")],
+        "source_key string, m string",
+    ).select("source_key", F.to_timestamp("m").alias("last_seen_ts"))
+    marks = click.unionByName(fixed)
+    return marks.select(
+        "source_key", F.lit(None).cast("string").alias("etag"), F.lit(None).cast("string").alias("last_modified"),
+        "last_seen_ts", F.lit(None).cast("timestamp").alias("updated_at"),
+    )
+
+
+@check(
+    "watermark_filter",
+    _STATE_MARKS_SQL + """
+SELECT e.event_id, 'events:' || e.event_type AS source_key
+FROM events e LEFT JOIN st ON st.source_key = 'events:' || e.event_type
+WHERE st.mark IS NULL OR e.ts > st.mark
+""",
+)
+def watermark_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from feedline.operators.watermark import newer_than
+
+    kept = newer_than(events_feed(spark, sf_dir), events_state(spark, sf_dir), incremental=True)
+    return kept.select("event_id", F.col("_source_key").alias("source_key"))
+
+
+@check(
+    "backfill",
+    _STATE_MARKS_SQL + """
+SELECT 'events:' || e.event_type AS source_key, count(*) AS n_kept,
+       strftime(greatest(max(e.ts), max(st.mark)), '%Y-%m-%d %H:%M:%S.%f') AS mark
+FROM events e LEFT JOIN st ON st.source_key = 'events:' || e.event_type
+GROUP BY 1
+""",
+)
+def backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """with incremental off every row passes; marks still only move forward."""
+    from feedline.operators.watermark import newer_than
+
+    state = events_state(spark, sf_dir)
+    kept = newer_than(events_feed(spark, sf_dir), state, incremental=False)
+    marks = advance_marks(kept, state)
+    n = kept.groupBy(F.col("_source_key").alias("source_key")).agg(F.count(F.lit(1)).alias("n_kept"))
+    return n.join(marks, "source_key").select("source_key", "n_kept", ts_text("last_seen_ts").alias("mark"))
+
+
+@check(
+    "watermark_advance",
+    _STATE_MARKS_SQL + """,
+k AS (SELECT DISTINCT 'events:' || event_type AS source_key FROM events),
+n AS (SELECT 'events:' || e.event_type AS source_key, count(*) AS n_new, max(e.ts) AS run_max
+      FROM events e LEFT JOIN st ON st.source_key = 'events:' || e.event_type
+      WHERE st.mark IS NULL OR e.ts > st.mark GROUP BY 1)
+SELECT k.source_key, strftime(st.mark, '%Y-%m-%d %H:%M:%S.%f') AS old_mark,
+       strftime(greatest(n.run_max, st.mark), '%Y-%m-%d %H:%M:%S.%f') AS new_mark,
+       coalesce(n.n_new, 0) AS n_new
+FROM k LEFT JOIN st USING (source_key) LEFT JOIN n USING (source_key)
+""",
+)
+def watermark_advance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A1 + N8 per source key (P8 keys), including keys without stored state."""
+    from feedline.operators.watermark import newer_than
+
+    feed = events_feed(spark, sf_dir)
+    state = events_state(spark, sf_dir)
+    passing = newer_than(feed, state)
+    run_keys = feed.select(F.col("_source_key").alias("source_key")).distinct()
+    marks = advance_marks(passing, state, run_keys)
+    n_new = passing.groupBy(F.col("_source_key").alias("source_key")).agg(F.count(F.lit(1)).alias("n_new"))
+    old = state.select("source_key", F.col("last_seen_ts").alias("old"))
+    return (
+        marks.join(old, "source_key", "left").join(n_new, "source_key", "left")
+        .select("source_key", ts_text("old").alias("old_mark"), ts_text("last_seen_ts").alias("new_mark"),
+                F.coalesce("n_new", F.lit(0)).cast("bigint").alias("n_new"))
+    )
+
+
+@check(
+    "state_upsert",
+    f"""
+WITH old AS (
+  SELECT 'cust:' || o_custkey AS source_key,
+         CASE WHEN o_custkey % 3 = 0 THEN NULL ELSE 'e' || max(o_orderkey) END AS etag,
+         CASE WHEN o_custkey % 4 = 0 THEN NULL ELSE 'lm' || count(*) END AS last_modified,
+         max(o_orderdate) AS last_seen_ts, TIMESTAMP '2020-01-01 00:00:00' AS updated_at
+  FROM orders WHERE o_orderdate < TIMESTAMP '1998-01-01' GROUP BY o_custkey),
+new AS (
+  SELECT 'cust:' || o_custkey AS source_key,
+         CASE WHEN o_custkey % 5 = 0 THEN NULL ELSE 'n' || max(o_orderkey) END AS etag,
+         CASE WHEN o_custkey % 2 = 0 THEN NULL ELSE 'nlm' || count(*) END AS last_modified,
+         CASE WHEN o_custkey % 7 = 0 THEN NULL ELSE max(o_orderdate) END AS last_seen_ts
+  FROM orders WHERE o_orderdate >= TIMESTAMP '1998-01-01' GROUP BY o_custkey)
+SELECT coalesce(new.source_key, old.source_key) AS source_key,
+       coalesce(new.etag, old.etag) AS etag,
+       coalesce(new.last_modified, old.last_modified) AS last_modified,
+       {_sql_ts('coalesce(new.last_seen_ts, old.last_seen_ts)')} AS last_seen_ts,
+       {_sql_ts(f"CASE WHEN new.source_key IS NOT NULL THEN TIMESTAMP '{RUN_TS}' ELSE old.updated_at END")} AS updated_at
+FROM old FULL OUTER JOIN new ON old.source_key = new.source_key
+""",
+)
+def state_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J5 through the state store: old snapshot written and read back."""
+    from feedline.operators.watermark import upsert_state
+    from feedline.session import scratch_path
+    from feedline.sources.state import read_state, write_state
+
+    o = table(spark, sf_dir, "orders").withColumn("_d", F.col("o_orderdate").cast("timestamp"))
+    ck = F.col("o_custkey")
+    key = F.concat(F.lit("cust:"), ck.cast("string"))
+    old = o.where(F.col("o_orderdate") < F.lit("1998-01-01").cast("timestamp_ntz")).groupBy("o_custkey").agg(
+        F.max("o_orderkey").alias("mk"), F.count(F.lit(1)).alias("n"), F.max("_d").alias("ts"))
+    old = old.select(
+        key.alias("source_key"),
+        F.when(ck % 3 == 0, F.lit(None)).otherwise(F.concat(F.lit("e"), F.col("mk").cast("string"))).alias("etag"),
+        F.when(ck % 4 == 0, F.lit(None)).otherwise(F.concat(F.lit("lm"), F.col("n").cast("string"))).alias("last_modified"),
+        F.col("ts").alias("last_seen_ts"),
+        F.to_timestamp(F.lit("2020-01-01 00:00:00")).alias("updated_at"),
+    )
+    new = o.where(F.col("o_orderdate") >= F.lit("1998-01-01").cast("timestamp_ntz")).groupBy("o_custkey").agg(
+        F.max("o_orderkey").alias("mk"), F.count(F.lit(1)).alias("n"), F.max("_d").alias("ts"))
+    new = new.select(
+        key.alias("source_key"),
+        F.when(ck % 5 == 0, F.lit(None)).otherwise(F.concat(F.lit("n"), F.col("mk").cast("string"))).alias("etag"),
+        F.when(ck % 2 == 0, F.lit(None)).otherwise(F.concat(F.lit("nlm"), F.col("n").cast("string"))).alias("last_modified"),
+        F.when(ck % 7 == 0, F.lit(None)).otherwise(F.col("ts")).alias("last_seen_ts"),
+    )
+    root = scratch_path(spark, "checks", "state")
+    write_state(old, root, "r0001")
+    merged = upsert_state(read_state(spark, root), new, run_ts())
+    write_state(merged, root, "r0002")
+    st = read_state(spark, root)
+    return st.select("source_key", "etag", "last_modified", ts_text("last_seen_ts").alias("last_seen_ts"),
+                     ts_text("updated_at").alias("updated_at"))
+
+
+@check(
+    "unchanged_skip",
+    """
+SELECT page_id FROM pages
+WHERE NOT ((page_id % 8 = 0 AND page_id % 5 <> 0) OR page_id % 8 = 4)
+""",
+)
+def unchanged_skip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Manifest rows whose validators equal the stored ones are skipped."""
+    from feedline.sources.manifest import changed_payloads
+
+    p = table(spark, sf_dir, "pages")
+    pid = F.col("page_id")
+    lm = F.concat(F.lit("lm-"), (pid % 3).cast("string"))
+    manifest = p.select(
+        F.concat(F.lit("page:"), F.col("url")).alias("source_key"), pid.alias("page_no"), F.lit(None).cast("string").alias("path"),
+        F.lit(200).alias("status"), F.when(pid % 5 == 0, F.lit(None)).otherwise(F.sha2("html", 256)).alias("etag"),
+        lm.alias("last_modified"), F.lit(None).cast("timestamp").alias("fetched_at"),
+    )
+    state = p.where(pid % 2 == 0).select(
+        F.concat(F.lit("page:"), F.col("url")).alias("source_key"),
+        F.when(pid % 8 == 0, F.sha2("html", 256)).when(pid % 8 == 2, F.lit("stale")).alias("etag"),
+        F.when(pid % 8 == 6, F.lit("other")).otherwise(lm).alias("last_modified"),
+        F.lit(None).cast("timestamp").alias("last_seen_ts"), F.lit(None).cast("timestamp").alias("updated_at"),
+    )
+    return changed_payloads(manifest, state, incremental=True).select(F.col("page_no").alias("page_id"))
+
+
+# ---------------------------------------------------------------------------
+# Validation
+# ---------------------------------------------------------------------------
+
+_BAD_SOURCE = "CASE doc_id % 7 WHEN 0 THEN '' WHEN 1 THEN '  documents ' WHEN 2 THEN '   ' ELSE 'documents' END"
+_BAD_TYPE = "CASE doc_id % 11 WHEN 0 THEN NULL WHEN 1 THEN ' ' || chr(9) ELSE 'document' END"
+_VALID_SQL = "(doc_id % 7 NOT IN (0, 2) AND doc_id % 11 NOT IN (0, 1) AND doc_id % 13 <> 0)"
+
+
+def documents_to_validate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    feed = documents_feed(spark, sf_dir)
+    return (
+        feed.withColumn("source", F.expr(_BAD_SOURCE))
+        .withColumn("record_type", F.expr(_BAD_TYPE.replace("chr(9)", "char(9)")))
+        .withColumn("observed_at", F.when(F.col("doc_id") % 13 == 0, F.lit(None)).otherwise(F.col("observed_at")))
+    )
+
+
+@check(
+    "validate_drop",
+    f"""
+SELECT doc_id, trim({_BAD_SOURCE}) AS source, 'document' AS record_type
+FROM documents WHERE {_VALID_SQL}
+""",
+)
+def validate_drop(spark: SparkSession, sf_dir: str) -> DataFrame:
+    v = validate(documents_to_validate(spark, sf_dir), "drop")
+    return v.accepted.select("doc_id", "source", "record_type")
+
+
+@check(
+    "validate_warn",
+    f"""
+SELECT doc_id,
+       CASE WHEN {_VALID_SQL} THEN trim({_BAD_SOURCE}) ELSE {_BAD_SOURCE} END AS source,
+       {_BAD_TYPE} AS record_type,
+       {_VALID_SQL} AS valid
+FROM documents
+""",
+)
+def validate_warn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    v = validate(documents_to_validate(spark, sf_dir), " WARN ")
+    return v.accepted.select("doc_id", "source", "record_type", F.col("_valid").alias("valid"))
+
+
+@check(
+    "validation_counts",
+    f"""
+SELECT m.mode,
+       CASE WHEN m.mode = 'off' THEN 0 ELSE count_if({_VALID_SQL}) END AS passed,
+       CASE WHEN m.mode = 'off' THEN 0 ELSE count_if(NOT {_VALID_SQL}) END AS failed,
+       CASE WHEN m.mode = 'drop' THEN count_if({_VALID_SQL}) ELSE count(*) END AS written
+FROM documents, (VALUES ('drop'), ('warn'), ('off')) m(mode)
+GROUP BY m.mode
+""",
+)
+def validation_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A4 per mode; with validation off nothing is counted and all is written."""
+    rows = documents_to_validate(spark, sf_dir)
+    out = None
+    for label, mode, enabled in (("drop", "drop", True), ("warn", "warn", True), ("off", "drop", False)):
+        v = validate(rows, mode, enabled)
+        written = v.accepted.agg(F.count(F.lit(1)).alias("written"))
+        part = v.counts().crossJoin(written).select(
+            F.lit(label).alias("mode"), F.col("validation_passed").alias("passed"),
+            F.col("validation_failed").alias("failed"), "written",
+        )
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+@check(
+    "rejects",
+    """
+SELECT doc_id, 'source' AS field, 'empty' AS error, 'drop' AS mode FROM documents WHERE doc_id % 7 IN (0, 2)
+UNION ALL SELECT doc_id, 'record_type', 'missing', 'drop' FROM documents WHERE doc_id % 11 = 0
+UNION ALL SELECT doc_id, 'record_type', 'empty', 'drop' FROM documents WHERE doc_id % 11 = 1
+UNION ALL SELECT doc_id, 'observed_at', 'missing', 'drop' FROM documents WHERE doc_id % 13 = 0
+""",
+)
+def rejects_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from feedline.operators.validate import rejects
+
+    v = validate(documents_to_validate(spark, sf_dir), "drop")
+    r = rejects(v)
+    return r.select(F.col("_page_no").alias("doc_id"), "mode", F.explode("errors").alias("e")).select(
+        "doc_id", F.col("e.field").alias("field"), F.col("e.error").alias("error"), "mode")
+
+
+# ---------------------------------------------------------------------------
+# De-duplication (P7, N7, W1, J2, U2, K5) and the every-N sample
+# ---------------------------------------------------------------------------
+
+
+@check(
+    "dedup_first_seen",
+    """
+WITH r AS (SELECT doc_id, lang,
+                  CASE WHEN doc_id % 3 = 0 THEN 'id:' || (n_chars % 97) ELSE 'tx:' || text END AS k
+           FROM documents)
+SELECT first(doc_id ORDER BY lang, doc_id) AS doc_id, first('documents:' || lang ORDER BY lang, doc_id) AS source_key
+FROM r GROUP BY k
+""",
+)
+def dedup_first_seen(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Id key where present (``identifiers.nct_id``), else the fingerprint."""
+    feed = documents_feed(spark, sf_dir).withColumn(
+        "identifiers",
+        F.map_concat(
+            F.col("identifiers"),
+            F.create_map(F.lit("nct_id"), F.when(F.col("doc_id") % 3 == 0,
+                                                 F.concat(F.lit("NCT"), F.lpad((F.col("n_chars") % 97).cast("string"), 8, "0")))),
+        ),
+    )
+    v = validate(feed, "drop")
+    kept = first_seen(with_dedup_key(v.accepted, "identifiers.nct_id", fallback=True))
+    return kept.select("doc_id", F.col("_source_key").alias("source_key"))
+
+
+def orders_feed(spark: SparkSession, sf_dir: str, key: F.Column) -> DataFrame:
+    o = table(spark, sf_dir, "orders")
+    return o.select(
+        "o_orderkey",
+        *envelope(
+            source=F.lit("orders"), record_type=F.lit("regulatory_update"),
+            observed_at=F.col("o_orderdate").cast("timestamp"),
+            raw=F.to_variant_object(F.struct("o_orderkey", "o_custkey")),
+            normalized=normalized_struct(title=F.col("o_orderstatus")),
+            identifiers=identifiers_map(nct_id=key), source_key=F.lit("orders:feed"),
+            page_no=F.floor(F.col("o_orderkey") / 100), pos=F.col("o_orderkey"),
+        ),
+    )
+
+
+@check(
+    "dedup_against_seen",
+    """
+WITH r AS (SELECT o_orderkey, CASE WHEN o_orderkey % 10 = 0 THEN NULL ELSE 'c' || o_custkey END AS k FROM orders)
+SELECT o_orderkey, k AS dedup_key FROM r WHERE k IS NULL
+UNION ALL
+SELECT min(o_orderkey) AS o_orderkey, k AS dedup_key FROM r
+WHERE k IS NOT NULL AND k NOT IN (SELECT 'c' || c_custkey FROM customer WHERE c_custkey % 3 = 0)
+GROUP BY k
+""",
+)
+def dedup_against_seen(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """W1 + J2 with the key store of an earlier run (S5/K5); no fingerprint fallback."""
+    from feedline.operators.dedup import dedup
+    from feedline.session import scratch_path
+    from feedline.sources.state import append_seen, read_seen
+
+    key = F.when(F.col("o_orderkey") % 10 == 0, F.lit(None)).otherwise(
+        F.concat(F.lit("c"), F.col("o_custkey").cast("string")))
+    feed = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey").join(
+        orders_feed(spark, sf_dir, key), "o_orderkey")
+    cust = table(spark, sf_dir, "customer")
+    earlier = cust.where(F.col("c_custkey") % 3 == 0).select(
+        F.concat(F.lit("c"), F.col("c_custkey").cast("string")).alias("dedup_key"))
+    junk = spark.createDataFrame([("",), (None,)], "dedup_key string")
+    store = scratch_path(spark, "checks", "seen")
+    append_seen(earlier.unionByName(junk), f"{store}/run=r0001")
+    keyed = with_dedup_key(validate(feed, "drop").accepted, "identifiers.nct_id", fallback=False)
+    kept, new_keys = dedup(keyed, read_seen(spark, store, exclude_run="r0002"))
+    return kept.select("o_orderkey", "dedup_key")
+
+
+@check(
+    "every_nth",
+    """
+SELECT event_id, event_type AS source, n AS items_processed
+FROM (SELECT event_id, event_type, row_number() OVER (PARTITION BY event_type ORDER BY event_id) AS n FROM events)
+WHERE n % 100 = 0
+""",
+)
+def every_nth_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """W2 with N = 100 per spider, in arrival order (pages of 50, position)."""
+    from feedline.operators.metrics import every_nth
+
+    accepted = validate(events_feed(spark, sf_dir), "drop").accepted
+    return every_nth(accepted, 100, group="source").select("event_id", "source", "items_processed")
+
+
+# ---------------------------------------------------------------------------
+# Paging (A2, F7, F8, O1)
+# ---------------------------------------------------------------------------
+
+
+def events_pages_desc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per event type, newest first (O1), pages of 50; every 97th event is dated
+    10 days later than its position suggests, so new rows also sit on old pages."""
+    from pyspark.sql.window import Window
+
+    obs = F.when(F.col("event_id") % 97 == 0, F.col("ts").cast("timestamp") + F.expr("INTERVAL 10 DAYS")) \
+        .otherwise(F.col("ts").cast("timestamp"))
+    feed = events_feed(spark, sf_dir, observed=obs)
+    rk = F.row_number().over(Window.partitionBy("event_type").orderBy(F.col("_ts").desc(), "event_id"))
+    return (
+        feed.withColumn("_rk", rk)
+        .withColumn("_page_no", (F.floor((F.col("_rk") - 1) / 50) + 1).cast("bigint"))
+        .withColumn("_pos", ((F.col("_rk") - 1) % 50).cast("bigint"))
+    )
+
+
+@check(
+    "page_cutoff",
+    """
+WITH r AS (SELECT event_id, 'events:' || event_type AS sk, ts,
+                  CASE WHEN event_id % 97 = 0 THEN ts + INTERVAL 10 DAY ELSE ts END AS obs,
+                  row_number() OVER (PARTITION BY event_type ORDER BY ts DESC, event_id) AS rk FROM events),
+r2 AS (SELECT *, (rk - 1) // 50 + 1 AS page FROM r),
+m AS (SELECT sk, max(ts) FILTER (WHERE rk = 125) AS mark FROM r2 GROUP BY sk),
+p AS (SELECT r2.sk, page, bool_or(obs > mark) AS any_new FROM r2 JOIN m USING (sk) GROUP BY r2.sk, page),
+lp AS (SELECT sk, min(page) AS last_page FROM p WHERE NOT any_new GROUP BY sk)
+SELECT r2.sk AS source_key, event_id, page AS page_no
+FROM r2 JOIN m USING (sk) LEFT JOIN lp USING (sk)
+WHERE obs > mark AND (last_page IS NULL OR page <= last_page)
+""",
+)
+def page_cutoff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F7 with A2 page facts: the first non-empty page without a new record is
+    the last one used; new rows on later pages are never fetched."""
+    from pyspark.sql.window import Window
+
+    from feedline.operators.pages import last_pages, page_facts, usable
+    from feedline.operators.watermark import attach_state, is_new
+
+    recs = events_pages_desc(spark, sf_dir)
+    state = recs.where(F.col("_rk") == 125).select(
+        F.col("_source_key").alias("source_key"), F.col("_ts").alias("last_seen_ts"))
+    marked = attach_state(recs, state)
+    pages = marked.groupBy(F.col("_source_key").alias("source_key"), F.col("_page_no").alias("page_no")).agg(
+        F.count(F.lit(1)).alias("n"))
+    last_no = F.max("page_no").over(Window.partitionBy("source_key"))
+    pages = pages.withColumn("next_token", F.when(F.col("page_no") < last_no, F.concat(F.lit("tok"), F.col("page_no").cast("string"))))
+    last = last_pages(pages, page_facts(marked), incremental=True, cutoff_enabled=True,
+                      sort_order="LastUpdatePostDate:desc")
+    used = usable(marked, last).where(is_new(F.col("observed_at"), F.col("_prev_mark")))
+    return used.select(F.col("_source_key").alias("source_key"), "event_id", F.col("_page_no").alias("page_no"))
+
+
+@check(
+    "page_token_loop",
+    """
+WITH r AS (SELECT 'events:' || event_type AS sk, event_type,
+                  (row_number() OVER (PARTITION BY event_type ORDER BY event_id) - 1) // 50 + 1 AS page FROM events),
+p AS (SELECT sk, event_type, page, count(*) AS n FROM r GROUP BY sk, event_type, page),
+mx AS (SELECT sk, max(page) AS mp FROM p GROUP BY sk)
+SELECT p.sk AS source_key, page AS page_no, n AS n_records
+FROM p JOIN mx USING (sk) WHERE page <= least(mp, 13, 6 + length(event_type))
+""",
+)
+def page_token_loop(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F8: a page whose next token was already used is the last; so is one without."""
+    from pyspark.sql.window import Window
+
+    from feedline.operators.pages import last_pages, usable
+
+    feed = events_feed(spark, sf_dir)
+    rk = F.row_number().over(Window.partitionBy("event_type").orderBy("event_id"))
+    recs = feed.withColumn("_page_no", (F.floor((rk - 1) / 50) + 1).cast("bigint"))
+    pages = recs.groupBy(F.col("_source_key").alias("source_key"), "event_type", F.col("_page_no").alias("page_no")).agg(
+        F.count(F.lit(1)).alias("n_records"))
+    p, last_no = F.col("page_no"), F.max("page_no").over(Window.partitionBy("source_key"))
+    token = (
+        F.when((p == last_no) | (p == 13), F.lit(None))
+        .when(p == 6 + F.length("event_type"), F.concat(F.lit("tok"), (p - 2).cast("string")))
+        .otherwise(F.concat(F.lit("tok"), p.cast("string")))
+    )
+    pages = pages.withColumn("next_token", token)
+    last = last_pages(pages, None)
+    kept = usable(pages.withColumnRenamed("source_key", "_source_key").withColumnRenamed("page_no", "_page_no"), last)
+    return kept.select(F.col("_source_key").alias("source_key"), F.col("_page_no").alias("page_no"), "n_records")
