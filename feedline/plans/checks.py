@@ -943,3 +943,249 @@ def page_token_loop(spark: SparkSession, sf_dir: str) -> DataFrame:
     last = last_pages(pages, None)
     kept = usable(pages.withColumnRenamed("source_key", "_source_key").withColumnRenamed("page_no", "_page_no"), last)
     return kept.select(F.col("_source_key").alias("source_key"), F.col("_page_no").alias("page_no"), "n_records")
+
+
+# ---------------------------------------------------------------------------
+# Drug sets
+# ---------------------------------------------------------------------------
+
+_LINE_DRUG_NAME = (
+    "p_name || CASE l_linenumber % 3 WHEN 0 THEN ' tablet' "
+    "WHEN 1 THEN ' ' || CAST(p_size AS VARCHAR) || ' mg' ELSE '' END"
+)
+
+
+def interventions_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per order, a JSON array of intervention objects built from its lines:
+    type by line number (drug / other / missing / 'Drug: x' / blank / JSON null),
+    every 17th part a bare number instead of an object."""
+    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey")
+    part = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_type", "p_size")
+    j = li.join(part, li.l_partkey == part.p_partkey)
+    # JSON string literal of the name: to_json of {"v": name} without the wrapper.
+    wrapped = F.to_json(F.struct(F.expr(_LINE_DRUG_NAME.replace("VARCHAR", "STRING")).alias("v")))
+    name = F.expr("substring(_w, 6, length(_w) - 6)")
+    k = F.col("l_linenumber") % 6
+    typ = (
+        F.when(k == 0, F.lit('"type":"DRUG",'))
+        .when(k == 1, F.lit('"type":"Biological",'))
+        .when(k == 2, F.lit(""))
+        .when(k == 3, F.concat(F.lit('"type":"Drug: '), F.col("p_type"), F.lit('",')))
+        .when(k == 4, F.lit('"type":"  ",'))
+        .otherwise(F.lit('"type":null,'))
+    )
+    elem = F.when(F.col("l_partkey") % 17 == 0, F.lit("7")).otherwise(
+        F.concat(F.lit("{"), typ, F.lit('"name":'), name, F.lit("}")))
+    j = j.withColumn("_w", wrapped)
+    return j.groupBy("l_orderkey").agg(
+        F.concat(F.lit("["), F.array_join(F.collect_list(elem), ","), F.lit("]")).alias("interventions"))
+
+
+@check(
+    "canonical_drugs",
+    f"""
+WITH li AS (SELECT l.l_orderkey, l.l_linenumber, l.l_partkey, {_LINE_DRUG_NAME} AS name
+            FROM lineitem l JOIN part p ON p.p_partkey = l.l_partkey),
+k AS (SELECT l_orderkey,
+             CASE WHEN l_partkey % 17 <> 0 AND l_linenumber % 6 IN (0, 2, 3, 4)
+                  THEN {_sql_drug(_sql_n1('name'))} END AS drug
+      FROM li)
+SELECT o.o_orderkey, count(DISTINCT k.drug) AS n_drugs,
+       coalesce(string_agg(DISTINCT k.drug, '|' ORDER BY k.drug), '') AS drugs
+FROM orders o JOIN k ON k.l_orderkey = o.o_orderkey
+GROUP BY o.o_orderkey
+""",
+)
+def canonical_drugs_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from feedline.operators.drugs import canonical_drugs
+
+    iv = interventions_json(spark, sf_dir)
+    orders = table(spark, sf_dir, "orders").select("o_orderkey")
+    arr = F.try_variant_get(F.try_parse_json("interventions"), "$", "array<variant>")
+    drugs = orders.join(iv, orders.o_orderkey == iv.l_orderkey).select("o_orderkey", canonical_drugs(arr).alias("d"))
+    return drugs.select("o_orderkey", F.size("d").cast("bigint").alias("n_drugs"), F.array_join("d", "|").alias("drugs"))
+
+
+# ---------------------------------------------------------------------------
+# Target companies (F3, J4) and entity joins
+# ---------------------------------------------------------------------------
+
+
+def documents_as_trials(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as trial-like records: title = first line, sponsor = source,
+    conditions = lines 2-4 (whole lines, whole texts)."""
+    from feedline.functions.text import normalize_company
+
+    d = table(spark, sf_dir, "documents")
+    return d.select(
+        "doc_id",
+        F.substring_index("text", "\n", 1).alias("title"),
+        F.col("source").alias("lead_sponsor"),
+        F.slice(F.split("text", "\n"), 2, 3).alias("conditions"),
+        normalize_company("source").alias("canonical_lead_sponsor"),
+    )
+
+
+_DOC_HAY_SQL = """
+d AS (SELECT doc_id, source,
+             list_filter([lower(split_part(text, chr(10), 1)), lower(source)]
+                         || list_transform(list_slice(string_split(text, chr(10)), 2, 4), lambda x: lower(x)),
+                         lambda h: h IS NOT NULL AND h <> '') AS hay
+      FROM documents),
+dh AS (SELECT doc_id, unnest(hay) AS h FROM d)"""
+
+TARGETS_ONE = ("The And", "SRC7 GmbH")
+
+
+@check(
+    "company_match",
+    f"""
+WITH {_DOC_HAY_SQL}
+SELECT DISTINCT 'The And' AS target, doc_id FROM dh WHERE contains(h, 'the') AND contains(h, 'and')
+UNION ALL
+SELECT 'SRC7 GmbH' AS target, doc_id FROM documents WHERE source = 'src7'
+""",
+)
+def company_match(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F3 for two configured targets: one matched through its terms, one through
+    canonical equality with the sponsor."""
+    from feedline.operators.match import canonical_target, matches_company
+
+    trials = documents_as_trials(spark, sf_dir)
+    out = None
+    for target in TARGETS_ONE:
+        hit = matches_company(target, F.col("title"), F.col("lead_sponsor"), F.col("conditions"),
+                              F.col("canonical_lead_sponsor"), canonical_target(spark, target))
+        part = trials.where(hit).select(F.lit(target).alias("target"), "doc_id")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+# Word lists the generated targets are built from (they occur in the prose).
+_PAIRS = ("the and", "de la", "que les", "ing the", "tion ment", "ou en", "el los", "with for")
+_WORDS = ("thhe", "ouvi", "anan", "ère", "ch", "x")
+
+
+def _sql_list(xs) -> str:
+    return "[" + ", ".join(f"'{x}'" for x in xs) + "]"
+
+
+_TARGET_SQL = (
+    "CASE c_custkey % 4 WHEN 0 THEN 'Src' || CAST(c_custkey % 20 AS VARCHAR) || ' Inc' "
+    f"WHEN 1 THEN list_extract({_sql_list(_PAIRS)}, CAST((c_custkey // 4) % 8 + 1 AS INTEGER)) "
+    f"WHEN 2 THEN list_extract({_sql_list(_WORDS)}, CAST((c_custkey // 4) % 6 + 1 AS INTEGER)) "
+    "ELSE c_name END"
+)
+
+
+@check(
+    "company_match_many",
+    f"""
+WITH {_DOC_HAY_SQL},
+t AS (SELECT c_custkey, {_TARGET_SQL} AS target FROM customer),
+tt AS (SELECT c_custkey,
+              list_filter(string_split_regex(lower(trim(target)), '\\s+'), lambda x: x <> '') AS terms,
+              {_sql_company(_sql_n1('target'))} AS canon
+       FROM t),
+m AS (SELECT tt.c_custkey, dh.doc_id FROM tt JOIN dh
+        ON len(tt.terms) > 0 AND list_bool_and(list_transform(tt.terms, lambda x: contains(dh.h, x)))
+      UNION
+      SELECT tt.c_custkey, d.doc_id FROM tt JOIN d ON len(tt.terms) > 0
+        AND tt.canon = {_sql_company(_sql_n1('d.source'))})
+SELECT c_custkey, count(*) AS n_docs FROM m GROUP BY c_custkey
+""",
+)
+def company_match_many(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every customer-derived target against every document, gram-blocked."""
+    from feedline.operators.match import match_targets, prepare_targets
+
+    c = table(spark, sf_dir, "customer")
+    k = F.col("c_custkey")
+    pairs = F.array(*[F.lit(x) for x in _PAIRS])
+    words = F.array(*[F.lit(x) for x in _WORDS])
+    target = (
+        F.when(k % 4 == 0, F.concat(F.lit("Src"), (k % 20).cast("string"), F.lit(" Inc")))
+        .when(k % 4 == 1, F.element_at(pairs, (F.floor(k / 4) % 8 + 1).cast("int")))
+        .when(k % 4 == 2, F.element_at(words, (F.floor(k / 4) % 6 + 1).cast("int")))
+        .otherwise(F.col("c_name"))
+    )
+    targets = prepare_targets(c.select("c_custkey", target.alias("target")), "c_custkey", "target")
+    pairs_df = match_targets(documents_as_trials(spark, sf_dir), ["doc_id"], targets)
+    return pairs_df.groupBy(F.col("target_id").alias("c_custkey")).agg(F.count(F.lit(1)).alias("n_docs"))
+
+
+@check(
+    "entity_join",
+    f"""
+WITH c AS (SELECT {_sql_company(_sql_n1("n.n_name || CASE cu.c_custkey % 3 WHEN 0 THEN ', Inc.' WHEN 1 THEN ' Ltd' ELSE '' END"))} AS entity
+           FROM customer cu JOIN nation n ON n.n_nationkey = cu.c_nationkey),
+s AS (SELECT {_sql_company(_sql_n1("n.n_name || CASE su.s_suppkey % 2 WHEN 0 THEN ' GmbH' ELSE ' Corp' END"))} AS entity
+      FROM supplier su JOIN nation n ON n.n_nationkey = su.s_nationkey),
+ca AS (SELECT entity, count(*) AS n_customers FROM c GROUP BY entity),
+sa AS (SELECT entity, count(*) AS n_suppliers FROM s GROUP BY entity)
+SELECT coalesce(ca.entity, sa.entity) AS entity, coalesce(n_customers, 0) AS n_customers,
+       coalesce(n_suppliers, 0) AS n_suppliers
+FROM ca FULL OUTER JOIN sa ON ca.entity = sa.entity
+""",
+)
+def entity_join_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers and suppliers meet on their canonical sponsor name. Each
+    side is counted per entity before the join, so no pairs are produced."""
+    from feedline.functions.text import normalize_company
+    from feedline.operators.match import entity_join
+
+    nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
+    cu = table(spark, sf_dir, "customer").join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
+    su = table(spark, sf_dir, "supplier").join(nation, F.col("s_nationkey") == F.col("n_nationkey"))
+    c_name = F.concat("n_name", F.expr("CASE c_custkey % 3 WHEN 0 THEN ', Inc.' WHEN 1 THEN ' Ltd' ELSE '' END"))
+    s_name = F.concat("n_name", F.expr("CASE s_suppkey % 2 WHEN 0 THEN ' GmbH' ELSE ' Corp' END"))
+    ca = cu.groupBy(normalize_company(c_name).alias("c_entity")).agg(F.count(F.lit(1)).alias("n_customers"))
+    sa = su.groupBy(normalize_company(s_name).alias("s_entity")).agg(F.count(F.lit(1)).alias("n_suppliers"))
+    j = entity_join(ca, sa, "c_entity", "s_entity", "full_outer")
+    return j.select(
+        F.col("_entity").alias("entity"),
+        F.coalesce("n_customers", F.lit(0)).cast("bigint").alias("n_customers"),
+        F.coalesce("n_suppliers", F.lit(0)).cast("bigint").alias("n_suppliers"),
+    )
+
+
+# ---------------------------------------------------------------------------
+# Run metrics (A3, A4)
+# ---------------------------------------------------------------------------
+
+_SPIDERS = ("click", "error", "purchase", "signup", "view")
+
+
+@check(
+    "run_metrics",
+    f"""
+WITH r AS (SELECT event_type AS spider, count_if(event_id % 17 <> 0) AS passed, count_if(event_id % 17 = 0) AS failed
+           FROM events GROUP BY event_type),
+m AS (SELECT list_extract({_sql_list(_SPIDERS)}, CAST(page_id % 5 + 1 AS INTEGER)) AS spider, count(*) AS req,
+             count_if(page_id % 4 = 0) AS h304, count_if(page_id % 4 <> 0 AND page_id % 9 = 0) AS h500
+      FROM pages GROUP BY 1)
+SELECT 'spider_metrics' AS event, '2025-01-01T00:00:00+00:00' AS "timestamp",
+       coalesce(r.spider, m.spider) AS spider,
+       coalesce(passed, 0) AS items_scraped, coalesce(passed, 0) AS validation_passed,
+       coalesce(failed, 0) AS validation_failed, coalesce(req, 0) AS requests_total,
+       coalesce(req, 0) AS responses_total, coalesce(req - h304 - h500, 0) AS http_200,
+       coalesce(h304, 0) AS http_304, coalesce(h500, 0) AS errors, 'finished' AS finish_reason
+FROM r FULL OUTER JOIN m ON r.spider = m.spider
+""",
+)
+def run_metrics_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A3 per spider: validation counters from the records, response counters
+    from a landing manifest (pages as fetches: 200, 304 or 500)."""
+    from feedline.operators.metrics import record_counts, response_counts, run_metrics
+
+    obs = F.when(F.col("event_id") % 17 == 0, F.lit(None).cast("timestamp")).otherwise(F.col("ts").cast("timestamp"))
+    v = validate(events_feed(spark, sf_dir, observed=obs), "drop")
+    pid = F.col("page_id")
+    manifest = table(spark, sf_dir, "pages").select(
+        F.element_at(F.array(*[F.lit(s) for s in _SPIDERS]), (pid % 5 + 1).cast("int")).alias("spider"),
+        F.when(pid % 4 == 0, 304).when(pid % 9 == 0, 500).otherwise(200).alias("status"),
+    )
+    counts = record_counts(v.checked.withColumn("spider", F.col("source")),
+                           v.accepted.withColumn("spider", F.col("source")))
+    m = run_metrics(counts, response_counts(manifest), run_ts())
+    return m.drop("elapsed_seconds").withColumn("timestamp", iso_utc("timestamp", zulu=False))
