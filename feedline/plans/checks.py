@@ -955,32 +955,6 @@ _LINE_DRUG_NAME = (
 )
 
 
-def interventions_json(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Per order, a JSON array of intervention objects built from its lines:
-    type by line number (drug / other / missing / 'Drug: x' / blank / JSON null),
-    every 17th part a bare number instead of an object."""
-    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey")
-    part = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_type", "p_size")
-    j = li.join(part, li.l_partkey == part.p_partkey)
-    # JSON string literal of the name: to_json of {"v": name} without the wrapper.
-    wrapped = F.to_json(F.struct(F.expr(_LINE_DRUG_NAME.replace("VARCHAR", "STRING")).alias("v")))
-    name = F.expr("substring(_w, 6, length(_w) - 6)")
-    k = F.col("l_linenumber") % 6
-    typ = (
-        F.when(k == 0, F.lit('"type":"DRUG",'))
-        .when(k == 1, F.lit('"type":"Biological",'))
-        .when(k == 2, F.lit(""))
-        .when(k == 3, F.concat(F.lit('"type":"Drug: '), F.col("p_type"), F.lit('",')))
-        .when(k == 4, F.lit('"type":"  ",'))
-        .otherwise(F.lit('"type":null,'))
-    )
-    elem = F.when(F.col("l_partkey") % 17 == 0, F.lit("7")).otherwise(
-        F.concat(F.lit("{"), typ, F.lit('"name":'), name, F.lit("}")))
-    j = j.withColumn("_w", wrapped)
-    return j.groupBy("l_orderkey").agg(
-        F.concat(F.lit("["), F.array_join(F.collect_list(elem), ","), F.lit("]")).alias("interventions"))
-
-
 @check(
     "canonical_drugs",
     f"""
@@ -999,7 +973,9 @@ GROUP BY o.o_orderkey
 def canonical_drugs_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     from feedline.operators.drugs import canonical_drugs
 
-    iv = interventions_json(spark, sf_dir)
+    from feedline.plans.renders import interventions
+
+    iv = interventions(spark, sf_dir)
     orders = table(spark, sf_dir, "orders").select("o_orderkey")
     arr = F.try_variant_get(F.try_parse_json("interventions"), "$", "array<variant>")
     drugs = orders.join(iv, orders.o_orderkey == iv.l_orderkey).select("o_orderkey", canonical_drugs(arr).alias("d"))
@@ -1189,3 +1165,236 @@ def run_metrics_check(spark: SparkSession, sf_dir: str) -> DataFrame:
                            v.accepted.withColumn("spider", F.col("source")))
     m = run_metrics(counts, response_counts(manifest), run_ts())
     return m.drop("elapsed_seconds").withColumn("timestamp", iso_utc("timestamp", zulu=False))
+
+
+# ---------------------------------------------------------------------------
+# Round trips through landed files (S1+P1, S2+P2, S3+P3), the whole job
+# (S7/U1), the JSON sink (K1) and streaming
+# ---------------------------------------------------------------------------
+
+_DRUGS_PER_ORDER_SQL = f"""
+li AS (SELECT l.l_orderkey, l.l_linenumber, l.l_partkey, {_LINE_DRUG_NAME} AS name
+       FROM lineitem l JOIN part p ON p.p_partkey = l.l_partkey),
+k AS (SELECT l_orderkey,
+             CASE WHEN l_partkey % 17 <> 0 AND l_linenumber % 6 IN (0, 2, 3, 4)
+                  THEN {_sql_drug(_sql_n1('name'))} END AS drug FROM li),
+dr AS (SELECT l_orderkey, coalesce(string_agg(DISTINCT drug, '|' ORDER BY drug), '') AS drugs
+       FROM k GROUP BY l_orderkey)"""
+
+
+def _land(spark: SparkSession, landed: DataFrame, name: str) -> DataFrame:
+    """Write landed pages as Parquet to a fresh shared folder and read them back."""
+    from feedline.session import scratch_path
+    from feedline.sources.payloads import read_landed
+
+    path = scratch_path(spark, "checks", name)
+    landed.write.mode("overwrite").parquet(path)
+    return read_landed(spark, path)
+
+
+@check(
+    "study_pages_roundtrip",
+    f"""
+WITH {_DRUGS_PER_ORDER_SQL},
+o AS (SELECT *, o_orderkey // 50 + 1 AS page_no,
+             row_number() OVER (PARTITION BY o_orderkey // 50 ORDER BY o_orderkey) - 1 AS pos FROM orders)
+SELECT 'NCT' || lpad(CAST(o_orderkey AS VARCHAR), 8, '0') AS nct_id,
+       'Study ' || CAST(o_orderkey AS VARCHAR) || ' (' || o_orderpriority || ')' AS title,
+       o_orderstatus AS status,
+       CASE o_orderkey % 3 WHEN 0 THEN 'PHASE1' WHEN 1 THEN '["PHASE2","PHASE3"]' END AS phase,
+       o_orderpriority || '|Type ' || CAST(o_custkey % 3 AS VARCHAR) AS conditions,
+       'Customer#' || lpad(CAST(o_custkey AS VARCHAR), 9, '0') || ', Inc.' AS lead_sponsor,
+       'customer ' || lpad(CAST(o_custkey AS VARCHAR), 9, '0') AS canonical_lead_sponsor,
+       coalesce(dr.drugs, '') AS canonical_drugs,
+       strftime(CASE WHEN o_orderkey % 10 = 0 THEN o_orderdate + INTERVAL 1 DAY ELSE o_orderdate END, {_ISO_Z}) AS observed_at,
+       page_no, pos
+FROM o LEFT JOIN dr ON dr.l_orderkey = o.o_orderkey
+""",
+)
+def study_pages_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S1 + P1: registry pages rendered from orders, landed, scanned, projected."""
+    from feedline.operators.envelope import study_envelope
+    from feedline.plans.renders import study_pages
+    from feedline.sources.payloads import study_rows
+
+    e = study_envelope(study_rows(_land(spark, study_pages(spark, sf_dir), "studies")), run_ts())
+    n = F.col("normalized")
+    return e.select(
+        n["trial_id"].alias("nct_id"), n["title"].alias("title"), n["status"].alias("status"),
+        n["phase"].alias("phase"), F.array_join(n["conditions"], "|").alias("conditions"),
+        n["lead_sponsor"].alias("lead_sponsor"), n["canonical_lead_sponsor"].alias("canonical_lead_sponsor"),
+        F.array_join(n["canonical_drugs"], "|").alias("canonical_drugs"),
+        iso_utc("observed_at").alias("observed_at"), F.col("_page_no").alias("page_no"), F.col("_pos").alias("pos"),
+    )
+
+
+@check(
+    "recall_results_roundtrip",
+    f"""
+WITH e AS (SELECT *, event_id // 100 + 1 AS page_no,
+                  row_number() OVER (PARTITION BY event_id // 100 ORDER BY event_id) - 1 AS pos FROM events)
+SELECT CASE WHEN event_id % 3 <> 0 THEN 'E' || CAST(event_id AS VARCHAR)
+            WHEN event_id % 5 <> 0 THEN 'R-' || CAST(event_id AS VARCHAR)
+            ELSE 'S' || CAST(event_id AS VARCHAR) END AS event_key,
+       CASE WHEN event_id % 5 <> 0 THEN 'R-' || CAST(event_id AS VARCHAR) END AS recall_number,
+       CASE WHEN event_id % 6 <> 0 THEN event_type || ' product'
+            WHEN event_id % 12 <> 0 THEN 'reason ' || CAST(user_id AS VARCHAR)
+            ELSE upper(event_type) END AS title,
+       'Ongoing' AS status, 'Class ' || CAST(event_id % 3 + 1 AS VARCHAR) AS classification,
+       CASE event_id % 4 WHEN 0 THEN NULL WHEN 1 THEN '' ELSE strftime(ts, '%Y%m%d') END AS report_date,
+       strftime(CASE WHEN event_id % 4 >= 2 THEN date_trunc('day', ts)
+                     ELSE date_trunc('day', ts) + INTERVAL 1 DAY END, {_ISO_Z}) AS observed_at,
+       page_no, pos
+FROM e
+""",
+)
+def recall_results_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S2 + P2: recall result sets rendered from events, landed, scanned, projected."""
+    from feedline.operators.envelope import recall_envelope
+    from feedline.plans.renders import recall_pages
+    from feedline.sources.payloads import result_rows
+
+    e = recall_envelope(result_rows(_land(spark, recall_pages(spark, sf_dir), "recalls")), run_ts())
+    n = F.col("normalized")
+    return e.select(
+        F.col("identifiers")["event_id"].alias("event_key"), F.col("identifiers")["recall_number"].alias("recall_number"),
+        n["title"].alias("title"), n["status"].alias("status"), n["classification"].alias("classification"),
+        n["report_date"].alias("report_date"), iso_utc("observed_at").alias("observed_at"),
+        F.col("_page_no").alias("page_no"), F.col("_pos").alias("pos"),
+    )
+
+
+_RSS_EXPECTED_SQL = f"""
+SELECT url AS link,
+       CASE WHEN page_id % 6 = 0 THEN NULL WHEN page_id % 6 = 1 THEN ' ' || t || ' ' ELSE t END AS title,
+       strftime(CASE WHEN page_id % 7 = 0 THEN TIMESTAMP '{RUN_TS}'
+                     ELSE TIMESTAMP '2024-01-01' + to_hours(page_id) END, {_ISO_Z}) AS observed_at
+FROM (SELECT page_id, url, regexp_extract(html, '{_TITLE_RE}', 1) AS t FROM pages)"""
+
+
+@check("rss_roundtrip", _RSS_EXPECTED_SQL)
+def rss_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S3 + P3: RSS feed files rendered from pages, read with the XML source
+    (verbatim text, absent child = null)."""
+    from feedline.operators.envelope import rss_envelope
+    from feedline.plans.renders import RSS_KEY, rss_pages
+    from feedline.session import scratch_path
+    from feedline.sources.rss import read_rss_files
+
+    path = scratch_path(spark, "checks", "rss")
+    # One fetched feed page per file, as a landing leaves it.
+    feeds = rss_pages(spark, sf_dir).select(F.col("page_no").alias("page"), "payload")
+    feeds.repartition("page").write.mode("overwrite").partitionBy("page").text(path)
+    e = rss_envelope(read_rss_files(spark, path, RSS_KEY), "ema", run_ts())
+    n = F.col("normalized")
+    return e.select(n["link"].alias("link"), n["title"].alias("title"), iso_utc("observed_at").alias("observed_at"))
+
+
+@check(
+    "ingest_all",
+    """
+SELECT 1 AS run_no, 'clinicaltrials.gov' AS source, count(*) AS n_written FROM orders
+UNION ALL SELECT 1, 'fda_openfda', count(*) FROM events
+UNION ALL SELECT 1, 'ema', count(*) FROM pages
+UNION ALL SELECT 2, 'ema', count(*) FROM pages WHERE page_id % 7 = 0
+""",
+)
+def ingest_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole batch job twice over the same landed pages of all three sources.
+
+    Run 2 finds nothing newer than the marks of run 1 (the registry stops after
+    its first page) except the undated RSS items, which take the new run time
+    and so a new fingerprint - the reference's behaviour for undated items.
+    """
+    from feedline.plans.ingest import IngestConfig, Landed, run_ingest
+    from feedline.plans.renders import recall_pages, rss_pages, study_pages
+    from feedline.session import scratch_path
+
+    landed = Landed(
+        studies=_land(spark, study_pages(spark, sf_dir), "ingest_studies"),
+        recalls=_land(spark, recall_pages(spark, sf_dir), "ingest_recalls"),
+        rss={"ema": _land(spark, rss_pages(spark, sf_dir), "ingest_rss")},
+    )
+    root = scratch_path(spark, "checks", "ingest")
+    out = None
+    for run_no, ts in ((1, RUN_TS), (2, "2025-01-02 00:00:00")):
+        res = run_ingest(spark, landed, root, IngestConfig(run_id=f"r{run_no}", run_ts=ts))
+        part = res.records.groupBy("source").agg(F.count(F.lit(1)).alias("n_written")).select(
+            F.lit(run_no).alias("run_no"), "source", "n_written")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+_DISTINCT_DOCS_SQL = """
+SELECT DISTINCT 'doc://' || sha256(text) AS link, split_part(text, chr(10), 1) AS title FROM documents"""
+
+
+@check("sink_roundtrip", _DISTINCT_DOCS_SQL)
+def sink_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K1: de-duplicated documents written as JSON lines and read back."""
+    from feedline.operators.dedup import dedup
+    from feedline.session import scratch_path
+    from feedline.sinks.writers import write_jsonl
+
+    v = validate(documents_feed(spark, sf_dir), "drop")
+    kept, _ = dedup(with_dedup_key(v.accepted), spark.createDataFrame([], "dedup_key string"))
+    path = scratch_path(spark, "checks", "jsonl")
+    write_jsonl(kept, path)
+    back = spark.read.schema("source string, normalized struct<title: string, link: string>").json(path)
+    return back.select(F.col("normalized.link").alias("link"), F.col("normalized.title").alias("title"))
+
+
+@check("stream_ingest", _DISTINCT_DOCS_SQL)
+def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents landed as several files, ingested by an ``availableNow``
+    stream one file per micro-batch; de-dup spans batches through the key store."""
+    from feedline.session import scratch_path
+    from feedline.streaming.stream import feed_batch_writer, read_written, run_available
+
+    d = table(spark, sf_dir, "documents")
+    landing = scratch_path(spark, "checks", "landing")
+    d.repartition(4, "doc_id").write.mode("overwrite").parquet(landing)
+    out_root = scratch_path(spark, "checks", "stream_out")
+
+    def to_envelope(batch: DataFrame) -> DataFrame:
+        title = F.substring_index("text", "\n", 1)
+        link = F.concat(F.lit("doc://"), F.sha2("text", 256))
+        observed = F.to_timestamp(F.date_add(F.to_date(F.lit("2024-01-01")), (F.col("n_chars") % 365).cast("int")))
+        return batch.select(*envelope(
+            source=F.lit("documents"), record_type=F.lit("regulatory_update"), observed_at=observed,
+            raw=F.to_variant_object(F.struct("doc_id", "lang", "source")),
+            normalized=normalized_struct(title=title, link=link), identifiers=identifiers_map(link=link),
+            source_key=F.concat(F.lit("documents:"), F.col("lang")), page_no=F.col("doc_id"), pos=F.lit(0),
+        ))
+
+    stream = spark.readStream.schema(d.schema).option("maxFilesPerTrigger", 1).parquet(landing)
+    run_available(stream, feed_batch_writer(out_root, to_envelope), f"{out_root}/_checkpoint")
+    w = read_written(spark, out_root)
+    return w.select(F.col("normalized.link").alias("link"), F.col("normalized.title").alias("title"))
+
+
+@check(
+    "stream_dedup",
+    """
+SELECT DISTINCT 'u' || CAST(user_id AS VARCHAR) AS dedup_key FROM events WHERE event_id % 4 <> 0
+UNION ALL SELECT NULL AS dedup_key FROM events WHERE event_id % 4 = 0
+""",
+)
+def stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A key seen in any earlier micro-batch is dropped; null keys pass."""
+    from feedline.session import scratch_path
+    from feedline.streaming.stream import dedup_stream
+
+    e = table(spark, sf_dir, "events")
+    landing = scratch_path(spark, "checks", "events_landing")
+    e.repartition(5, "event_id").write.mode("overwrite").parquet(landing)
+    out = scratch_path(spark, "checks", "events_dedup")
+    key = F.when(F.col("event_id") % 4 != 0, F.concat(F.lit("u"), F.col("user_id").cast("string")))
+    stream = spark.readStream.schema(e.schema).option("maxFilesPerTrigger", 1).parquet(landing) \
+        .withColumn("dedup_key", key)
+    q = (
+        dedup_stream(stream).writeStream.format("parquet").option("path", f"{out}/data")
+        .option("checkpointLocation", f"{out}/_checkpoint").trigger(availableNow=True).start()
+    )
+    q.awaitTermination()
+    return spark.read.parquet(f"{out}/data").select("dedup_key")

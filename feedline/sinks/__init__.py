@@ -5,7 +5,7 @@ from feedline.sinks.writers import (
     kafka_values,
     write_jsonl,
     write_kafka,
-    write_parquet,
+    write_records,
 )
 
-__all__ = ["append_metrics", "kafka_values", "write_jsonl", "write_kafka", "write_parquet"]
+__all__ = ["append_metrics", "kafka_values", "write_jsonl", "write_kafka", "write_records"]
