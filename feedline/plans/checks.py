@@ -1073,7 +1073,7 @@ SELECT c_custkey, count(*) AS n_docs FROM m GROUP BY c_custkey
 )
 def company_match_many(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every customer-derived target against every document, gram-blocked."""
-    from feedline.operators.match import match_targets, prepare_targets
+    from feedline.operators.match import match_patterns, prepare_targets
 
     c = table(spark, sf_dir, "customer")
     k = F.col("c_custkey")
@@ -1086,8 +1086,11 @@ def company_match_many(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise(F.col("c_name"))
     )
     targets = prepare_targets(c.select("c_custkey", target.alias("target")), "c_custkey", "target")
-    pairs_df = match_targets(documents_as_trials(spark, sf_dir), ["doc_id"], targets)
-    return pairs_df.groupBy(F.col("target_id").alias("c_custkey")).agg(F.count(F.lit(1)).alias("n_docs"))
+    # Hits are counted per distinct pattern, then given to every target of it:
+    # no (document, target) pair is ever materialised.
+    hits = match_patterns(documents_as_trials(spark, sf_dir), ["doc_id"], targets)
+    per_pattern = hits.groupBy("pattern_id").agg(F.count(F.lit(1)).alias("n_docs"))
+    return targets.join(per_pattern, "pattern_id").select(F.col("target_id").alias("c_custkey"), "n_docs")
 
 
 @check(
