@@ -9,7 +9,8 @@ from feedline.functions.text import normalize_drug, py_strip
 
 
 def is_object(v: Column) -> Column:
-    return F.coalesce(F.schema_of_variant(v).startswith("OBJECT"), F.lit(False))
+    """True for a JSON object; a cast to the empty struct reads only the type tag."""
+    return F.try_variant_get(v, "$", "struct<>").isNotNull()
 
 
 def intervention_type_text(x: Column) -> Column:

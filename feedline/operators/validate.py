@@ -86,26 +86,37 @@ class Validation:
             raise ValidationFailed("strict validation: invalid records present, nothing written")
 
 
+def annotate(df: DataFrame) -> DataFrame:
+    """Adds ``_errors`` and ``_valid``; valid rows get ``source``/``record_type``
+    stripped, invalid rows stay as they came. Row-local, so it can run once
+    before a frame is staged and every later mode reuses it."""
+    checked = df.withColumn("_errors", validation_errors(df))
+    ok = F.size("_errors") == 0
+    return (
+        checked.withColumn("source", F.when(ok, py_strip("source")).otherwise(F.col("source")))
+        .withColumn("record_type", F.when(ok, py_strip("record_type")).otherwise(F.col("record_type")))
+        .withColumn("_valid", ok)
+    )
+
+
 def validate(df: DataFrame, mode: str = "drop", enabled: bool = True) -> Validation:
     """split into accepted and rejected rows.
 
     drop/strict: accepted = valid rows with ``source``/``record_type`` stripped.
     warn: also forwards invalid rows unmodified. Off: all rows, nothing counted.
-    Accepted rows carry ``_valid`` (True for rows that passed).
+    Accepted rows carry ``_valid`` (True for rows that passed). A frame that
+    already went through ``annotate`` is not checked again.
     """
     m = normalize_mode(mode)
     if not enabled:
-        empty_errors = F.array().cast(ERRORS_TYPE)
-        checked = df.withColumn("_errors", empty_errors)
-        return Validation(m, False, checked, df.withColumn("_valid", F.lit(False)), checked.limit(0))
-    checked = df.withColumn("_errors", validation_errors(df))
-    ok = F.size("_errors") == 0
-    stripped = checked.withColumn("source", F.when(ok, py_strip("source")).otherwise(F.col("source"))).withColumn(
-        "record_type", F.when(ok, py_strip("record_type")).otherwise(F.col("record_type"))
-    ).withColumn("_valid", ok)
-    accepted = stripped if m == "warn" else stripped.where(ok)
+        base = df.drop("_errors", "_valid")
+        checked = base.withColumn("_errors", F.array().cast(ERRORS_TYPE))
+        return Validation(m, False, checked, base.withColumn("_valid", F.lit(False)), checked.limit(0))
+    checked = df if "_errors" in df.columns and "_valid" in df.columns else annotate(df)
+    ok = F.col("_valid")
+    accepted = checked if m == "warn" else checked.where(ok)
     rejected = checked.where(~ok)
-    return Validation(m, True, checked, accepted.drop("_errors"), rejected)
+    return Validation(m, True, checked, accepted.drop("_errors"), rejected.drop("_valid"))
 
 
 def rejects(v: Validation) -> DataFrame:

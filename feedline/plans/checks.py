@@ -1191,7 +1191,8 @@ def _land(spark: SparkSession, landed: DataFrame, name: str) -> DataFrame:
     from feedline.sources.payloads import read_landed
 
     path = scratch_path(spark, "checks", name)
-    landed.write.mode("overwrite").parquet(path)
+    # A landing leaves many files; one per core keeps the parse parallel here.
+    landed.repartition(spark.sparkContext.defaultParallelism, "page_no").write.mode("overwrite").parquet(path)
     return read_landed(spark, path)
 
 
