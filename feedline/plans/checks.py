@@ -500,10 +500,9 @@ def events_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stored marks: click = a real event time (the mark equals a record), three
     fixed marks, none for error."""
     e = table(spark, sf_dir, "events")
-    mx = e.agg(F.max("event_id").alias("mx"))
+    mx = e.agg(F.max("event_id")).scalar()  # scalar subquery
     click = (
-        e.where(F.col("event_type") == "click").crossJoin(F.broadcast(mx))
-        .where(F.col("event_id") * 2 <= F.col("mx"))
+        e.where((F.col("event_type") == "click") & (F.col("event_id") * 2 <= mx))
         .agg(F.max_by("ts", "event_id").alias("mark"))
         .select(F.lit("events:click").alias("source_key"), F.col("mark").cast("timestamp").alias("last_seen_ts"))
     )
@@ -733,10 +732,10 @@ def validation_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = None
     for label, mode, enabled in (("drop", "drop", True), ("warn", "warn", True), ("off", "drop", False)):
         v = validate(rows, mode, enabled)
-        written = v.accepted.agg(F.count(F.lit(1)).alias("written"))
-        part = v.counts().crossJoin(written).select(
+        written = v.accepted.agg(F.count(F.lit(1))).scalar()  # scalar subquery
+        part = v.counts().select(
             F.lit(label).alias("mode"), F.col("validation_passed").alias("passed"),
-            F.col("validation_failed").alias("failed"), "written",
+            F.col("validation_failed").alias("failed"), written.alias("written"),
         )
         out = part if out is None else out.unionByName(part)
     return out
