@@ -15,9 +15,15 @@ from pyspark.sql import functions as F
 
 # ISO 8601 calendar date with optional time, fraction and offset.
 _ISO = r"^\d{4}-\d{2}-\d{2}([T ]\d{2}(:\d{2}(:\d{2}(\.\d{1,9})?)?)?)?(Z|[+-]\d{2}(:?\d{2})?)?$"
-# Month-name spellings, tried in this order.
-_NAMED = ("MMMM d, yyyy", "MMM d, yyyy", "d MMMM yyyy", "d MMM yyyy", "MMMM yyyy", "MMM yyyy")
+# Month-name spellings, tried in this order; each only where the text has its
+# shape (a failed parse costs an exception inside the JVM, a regex test does not).
+_NAMED = (
+    (r"^[A-Za-z]+ \d{1,2}, \d{4}$", ("MMMM d, yyyy", "MMM d, yyyy")),
+    (r"^\d{1,2} [A-Za-z]+ \d{4}$", ("d MMMM yyyy", "d MMM yyyy")),
+    (r"^[A-Za-z]+ \d{4}$", ("MMMM yyyy", "MMM yyyy")),
+)
 # RFC 822 bodies after the weekday is removed.
+_RFC_SHAPE = r"^\d{1,2} [A-Za-z]{3} \d{4} \d{1,2}:\d{2}(:\d{2})?( .*)?$"
 _RFC_NUMERIC = ("d MMM yyyy HH:mm:ss Z", "d MMM yyyy HH:mm Z")
 _RFC_NAIVE = ("d MMM yyyy HH:mm:ss", "d MMM yyyy HH:mm")
 
@@ -50,10 +56,11 @@ def _parse_rfc822(c: Column) -> Column:
     numeric = body.rlike(r"[+-]\d{4}$")
     # A zone name (GMT, UT, UTC, EST, ...) is dropped and the rest read as UTC.
     naive = F.regexp_replace(body, r"\s+[A-Za-z]{1,5}$", "")
-    return F.coalesce(
+    parsed = F.coalesce(
         *[F.when(numeric, _try(body, f)) for f in _RFC_NUMERIC],
-        *[_try(naive, f) for f in _RFC_NAIVE],
+        *[F.when(~numeric, _try(naive, f)) for f in _RFC_NAIVE],
     )
+    return F.when(body.rlike(_RFC_SHAPE), parsed)
 
 
 def parse_lenient(c: Column | str) -> Column:
@@ -67,7 +74,7 @@ def parse_lenient(c: Column | str) -> Column:
         parse_iso(c),
         F.when(c.rlike(r"^\d{4}-\d{2}$"), _try(c, "yyyy-MM")),
         F.when(c.rlike(r"^\d{4}$"), _try(c, "yyyy")),
-        *[_try(c, f) for f in _NAMED],
+        *[F.when(c.rlike(shape), F.coalesce(*[_try(c, f) for f in fmts])) for shape, fmts in _NAMED],
         _parse_rfc822(c),
     )
 
@@ -99,8 +106,6 @@ def iso_utc(ts: Column | str, zulu: bool = True) -> Column:
     Microseconds are written only when not zero, as Python does.
     """
     ts = _c(ts)
-    whole = (F.unix_micros(ts) % 1_000_000) == 0
-    body = F.when(whole, F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss")).otherwise(
-        F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
-    )
-    return F.concat(body, F.lit("Z" if zulu else "+00:00"))
+    micros = F.pmod(F.unix_micros(ts), F.lit(1_000_000))
+    frac = F.when(micros != 0, F.concat(F.lit("."), F.lpad(micros.cast("string"), 6, "0"))).otherwise(F.lit(""))
+    return F.concat(F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss"), frac, F.lit("Z" if zulu else "+00:00"))
