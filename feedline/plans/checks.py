@@ -1118,8 +1118,8 @@ def entity_join_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     c_name = F.concat("n_name", F.expr("CASE c_custkey % 3 WHEN 0 THEN ', Inc.' WHEN 1 THEN ' Ltd' ELSE '' END"))
     s_name = F.concat("n_name", F.expr("CASE s_suppkey % 2 WHEN 0 THEN ' GmbH' ELSE ' Corp' END"))
     ca = cu.groupBy(normalize_company(c_name).alias("c_entity")).agg(F.count(F.lit(1)).alias("n_customers"))
-    sa = su.groupBy(normalize_company(s_name).alias("s_entity")).agg(F.count(F.lit(1)).alias("n_suppliers"))
-    j = entity_join(ca, sa, "c_entity", "s_entity", "full_outer")
+    s_rows = su.select(normalize_company(s_name).alias("s_entity"))
+    j = entity_join(ca, s_rows, "c_entity", "s_entity", [F.count(F.lit(1)).alias("n_suppliers")], "full_outer")
     return j.select(
         F.col("_entity").alias("entity"),
         F.coalesce("n_customers", F.lit(0)).cast("bigint").alias("n_customers"),

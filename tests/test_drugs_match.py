@@ -94,9 +94,11 @@ def test_many_targets_equal_brute_force(spark):
     assert got == want
 
 
-def test_entity_join_explodes_arrays(spark):
+def test_entity_join_explodes_arrays_and_summarises(spark):
     from feedline.operators.match import entity_join
 
-    a = spark.createDataFrame([(1, ["x", "y"])], "id int, drugs array<string>")
-    b = spark.createDataFrame([("y", 5)], "d string, v int")
-    assert entity_join(a, b, "drugs", "d").select("id", "v").collect()[0].asDict() == {"id": 1, "v": 5}
+    a = spark.createDataFrame([(1, ["x", "y"]), (2, ["z"])], "id int, drugs array<string>")
+    b = spark.createDataFrame([("y", 5), ("y", 7), ("q", 1)], "d string, v int")
+    got = entity_join(a, b, "drugs", "d", [F.count(F.lit(1)).alias("n"), F.max("v").alias("v")]).collect()
+    rows = sorted((r["id"], r["_entity"], r["n"], r["v"]) for r in got)
+    assert rows == [(1, "x", None, None), (1, "y", 2, 7), (2, "z", None, None)]
