@@ -77,6 +77,12 @@ def scratch_path(spark: SparkSession, *parts: str) -> str:
     return "/".join([checkpoint_root(spark), "feedline", *parts, uuid.uuid4().hex])
 
 
+def run_scratch_path(spark: SparkSession, *parts: str) -> str:
+    """A fixed folder under the checkpoint root for one run's staged data:
+    re-running the same run overwrites it instead of leaving copies behind."""
+    return "/".join([checkpoint_root(spark), "feedline", *parts])
+
+
 def stage(df: DataFrame, path: str, fmt: str = "parquet") -> DataFrame:
     """Write ``df`` once to a shared folder and read it back (cuts lineage).
 
