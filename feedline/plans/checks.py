@@ -857,20 +857,21 @@ def every_nth_check(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---------------------------------------------------------------------------
 
 
-def events_pages_desc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Per event type, newest first (O1), pages of 50; every 97th event is dated
-    10 days later than its position suggests, so new rows also sit on old pages."""
-    from pyspark.sql.window import Window
+_PAGE_ANCHOR = "2024-02-01 00:00:00"
+_PAGE_MICROS = 6 * 3600 * 1_000_000
+_MARK_BEFORE = "2024-01-25 00:00:00"
+
 
+def events_pages_desc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per event type, newest first (O1): a page is a 6-hour slice counted back
+    from a fixed anchor, so page numbers come from the time alone (no ranking
+    window). Every 97th event is dated 10 days later than its page suggests, so
+    new rows also sit on old pages."""
     obs = F.when(F.col("event_id") % 97 == 0, F.col("ts").cast("timestamp") + F.expr("INTERVAL 10 DAYS")) \
         .otherwise(F.col("ts").cast("timestamp"))
     feed = events_feed(spark, sf_dir, observed=obs)
-    rk = F.row_number().over(Window.partitionBy("event_type").orderBy(F.col("_ts").desc(), "event_id"))
-    return (
-        feed.withColumn("_rk", rk)
-        .withColumn("_page_no", (F.floor((F.col("_rk") - 1) / 50) + 1).cast("bigint"))
-        .withColumn("_pos", ((F.col("_rk") - 1) % 50).cast("bigint"))
-    )
+    back = F.unix_micros(F.to_timestamp(F.lit(_PAGE_ANCHOR))) - F.unix_micros("_ts")
+    return feed.withColumn("_page_no", (F.floor(back / _PAGE_MICROS) + 1).cast("bigint"))
 
 
 @check(
@@ -878,67 +879,66 @@ def events_pages_desc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
 WITH r AS (SELECT event_id, 'events:' || event_type AS sk, ts,
                   CASE WHEN event_id % 97 = 0 THEN ts + INTERVAL 10 DAY ELSE ts END AS obs,
-                  row_number() OVER (PARTITION BY event_type ORDER BY ts DESC, event_id) AS rk FROM events),
-r2 AS (SELECT *, (rk - 1) // 50 + 1 AS page FROM r),
-m AS (SELECT sk, max(ts) FILTER (WHERE rk = 125) AS mark FROM r2 GROUP BY sk),
-p AS (SELECT r2.sk, page, bool_or(obs > mark) AS any_new FROM r2 JOIN m USING (sk) GROUP BY r2.sk, page),
+                  (epoch_us(TIMESTAMP '{anchor}') - epoch_us(ts)) // {micros} + 1 AS page FROM events),
+m AS (SELECT 'events:' || event_type AS sk, max(ts) AS mark FROM events
+      WHERE ts < TIMESTAMP '{mark}' GROUP BY 1),
+p AS (SELECT r.sk, page, bool_or(obs > mark) AS any_new FROM r JOIN m USING (sk) GROUP BY r.sk, page),
 lp AS (SELECT sk, min(page) AS last_page FROM p WHERE NOT any_new GROUP BY sk)
-SELECT r2.sk AS source_key, event_id, page AS page_no
-FROM r2 JOIN m USING (sk) LEFT JOIN lp USING (sk)
+SELECT r.sk AS source_key, event_id, page AS page_no
+FROM r JOIN m USING (sk) LEFT JOIN lp USING (sk)
 WHERE obs > mark AND (last_page IS NULL OR page <= last_page)
-""",
+""".format(anchor=_PAGE_ANCHOR, micros=_PAGE_MICROS, mark=_MARK_BEFORE),
 )
 def page_cutoff(spark: SparkSession, sf_dir: str) -> DataFrame:
     """F7 with A2 page facts: the first non-empty page without a new record is
     the last one used; new rows on later pages are never fetched."""
-    from pyspark.sql.window import Window
-
     from feedline.operators.pages import last_pages, page_facts, usable
     from feedline.operators.watermark import attach_state, is_new
 
     recs = events_pages_desc(spark, sf_dir)
-    state = recs.where(F.col("_rk") == 125).select(
-        F.col("_source_key").alias("source_key"), F.col("_ts").alias("last_seen_ts"))
+    state = recs.where(F.col("_ts") < F.to_timestamp(F.lit(_MARK_BEFORE))).groupBy(
+        F.col("_source_key").alias("source_key")).agg(F.max("_ts").alias("last_seen_ts"))
     marked = attach_state(recs, state)
     pages = marked.groupBy(F.col("_source_key").alias("source_key"), F.col("_page_no").alias("page_no")).agg(
         F.count(F.lit(1)).alias("n"))
-    last_no = F.max("page_no").over(Window.partitionBy("source_key"))
-    pages = pages.withColumn("next_token", F.when(F.col("page_no") < last_no, F.concat(F.lit("tok"), F.col("page_no").cast("string"))))
+    last_no = pages.groupBy("source_key").agg(F.max("page_no").alias("_last"))
+    pages = pages.join(last_no, "source_key").withColumn(
+        "next_token", F.when(F.col("page_no") < F.col("_last"), F.concat(F.lit("tok"), F.col("page_no").cast("string"))))
     last = last_pages(pages, page_facts(marked), incremental=True, cutoff_enabled=True,
                       sort_order="LastUpdatePostDate:desc")
     used = usable(marked, last).where(is_new(F.col("observed_at"), F.col("_prev_mark")))
     return used.select(F.col("_source_key").alias("source_key"), "event_id", F.col("_page_no").alias("page_no"))
 
 
+_TOKEN_SQL = ("CASE WHEN page = mp OR page = 13 THEN NULL WHEN page = 6 + length(event_type) "
+              "THEN 'tok' || CAST(page - 2 AS VARCHAR) ELSE 'tok' || CAST(page AS VARCHAR) END")
+
+
 @check(
     "page_token_loop",
-    """
-WITH r AS (SELECT 'events:' || event_type AS sk, event_type,
-                  (row_number() OVER (PARTITION BY event_type ORDER BY event_id) - 1) // 50 + 1 AS page FROM events),
+    f"""
+WITH r AS (SELECT 'events:' || event_type AS sk, event_type, event_id // 250 + 1 AS page FROM events),
 p AS (SELECT sk, event_type, page, count(*) AS n FROM r GROUP BY sk, event_type, page),
-mx AS (SELECT sk, max(page) AS mp FROM p GROUP BY sk)
-SELECT p.sk AS source_key, page AS page_no, n AS n_records
-FROM p JOIN mx USING (sk) WHERE page <= least(mp, 13, 6 + length(event_type))
+mx AS (SELECT sk, max(page) AS mp FROM p GROUP BY sk),
+t AS (SELECT p.*, {_TOKEN_SQL} AS tok FROM p JOIN mx USING (sk)),
+stops AS (SELECT sk, min(page) AS last_page FROM t
+          WHERE tok IS NULL OR EXISTS (SELECT 1 FROM t t2 WHERE t2.sk = t.sk AND t2.tok = t.tok AND t2.page < t.page)
+          GROUP BY sk)
+SELECT t.sk AS source_key, page AS page_no, n AS n_records
+FROM t LEFT JOIN stops USING (sk) WHERE last_page IS NULL OR page <= last_page
 """,
 )
 def page_token_loop(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """F8: a page whose next token was already used is the last; so is one without."""
-    from pyspark.sql.window import Window
-
+    """F8: a page whose next token was already used is the last; so is one
+    without. Pages are id ranges of 250 events, per event type."""
     from feedline.operators.pages import last_pages, usable
 
-    feed = events_feed(spark, sf_dir)
-    rk = F.row_number().over(Window.partitionBy("event_type").orderBy("event_id"))
-    recs = feed.withColumn("_page_no", (F.floor((rk - 1) / 50) + 1).cast("bigint"))
-    pages = recs.groupBy(F.col("_source_key").alias("source_key"), "event_type", F.col("_page_no").alias("page_no")).agg(
-        F.count(F.lit(1)).alias("n_records"))
-    p, last_no = F.col("page_no"), F.max("page_no").over(Window.partitionBy("source_key"))
-    token = (
-        F.when((p == last_no) | (p == 13), F.lit(None))
-        .when(p == 6 + F.length("event_type"), F.concat(F.lit("tok"), (p - 2).cast("string")))
-        .otherwise(F.concat(F.lit("tok"), p.cast("string")))
-    )
-    pages = pages.withColumn("next_token", token)
+    feed = events_feed(spark, sf_dir).withColumn("_page_no", (F.floor(F.col("event_id") / 250) + 1).cast("bigint"))
+    pages = feed.groupBy(F.col("_source_key").alias("source_key"), "event_type", F.col("_page_no").alias("page_no")) \
+        .agg(F.count(F.lit(1)).alias("n_records"))
+    mp = pages.groupBy("source_key").agg(F.max("page_no").alias("mp"))
+    pages = pages.join(mp, "source_key").withColumn("page", F.col("page_no")) \
+        .withColumn("next_token", F.expr(_TOKEN_SQL.replace("VARCHAR", "STRING")))
     last = last_pages(pages, None)
     kept = usable(pages.withColumnRenamed("source_key", "_source_key").withColumnRenamed("page_no", "_page_no"), last)
     return kept.select(F.col("_source_key").alias("source_key"), F.col("_page_no").alias("page_no"), "n_records")
