@@ -69,6 +69,24 @@ def feed_batch_writer(
     return process
 
 
+def ingest_batch_writer(out_root: str, kind: str, config: Callable[[int], "IngestConfig"],
+                        rss_source: str = "ema") -> Callable[[DataFrame, int], None]:
+    """T1 + T2: a ``foreachBatch`` function running the whole batch job on each
+    micro-batch of landed pages (``source_key, page_no, payload``) of one kind
+    (``studies``, ``recalls`` or ``rss``). Marks, state and the key store live
+    under ``out_root`` and carry over from batch to batch; ``config(batch_id)``
+    gives the run settings (run id and time) of each batch."""
+    from feedline.plans.ingest import Landed, run_ingest
+
+    def process(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        pages = batch.select("source_key", F.col("page_no").cast("bigint"), "payload")
+        landed = Landed(rss={rss_source: pages}) if kind == "rss" else Landed(**{kind: pages})
+        run_ingest(spark, landed, out_root, config(batch_id))
+
+    return process
+
+
 def dedup_stream(stream: DataFrame, key: str = "dedup_key", watermark: tuple[str, str] | None = None) -> DataFrame:
     """Drop later copies of a key across the whole stream; null keys pass.
 
