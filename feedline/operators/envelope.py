@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from feedline.functions.dates import parse_recall_date, study_observed_at
+from feedline.functions.dates import iso_utc, parse_recall_date, parse_rss_date, study_observed_at
 from feedline.functions.expr import first_truthy
 from feedline.functions.text import normalize_company
 from feedline.operators.drugs import canonical_drugs
@@ -212,8 +212,6 @@ def recall_envelope(results: DataFrame, run_ts: Column, result_col: str = "resul
 
 def rss_envelope(items: DataFrame, source: str, run_ts: Column) -> DataFrame:
     """RSS item (title, link, pubDate text) -> envelope; ``source`` is ema or fda."""
-    from feedline.functions.dates import parse_rss_date
-
     title, link, pub = F.col("title"), F.col("link"), F.col("pubDate")
     raw = F.to_variant_object(F.struct(title.alias("title"), link.alias("link"), pub.alias("pubDate")))
     return items.select(
@@ -254,8 +252,6 @@ def record_json(df: DataFrame, zulu: bool = True) -> Column:
     validation); ``normalized`` with only the source's keys (nulls kept; other
     sources: non-null fields). ``raw`` is written as the JSON it came from.
     """
-    from feedline.functions.dates import iso_utc
-
     src = F.col("source")
     ident = F.map_from_entries(F.array_sort(F.map_entries(F.col("identifiers"))))
     # Build through one struct so Spark does all string escaping.
