@@ -988,7 +988,7 @@ def canonical_drugs_check(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def documents_as_trials(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents as trial-like records: title = first line, sponsor = source,
-    conditions = lines 2-4 (whole lines, whole texts)."""
+    conditions = every further line (the whole text is searched)."""
     from feedline.functions.text import normalize_company
 
     d = table(spark, sf_dir, "documents")
@@ -996,7 +996,7 @@ def documents_as_trials(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id",
         F.substring_index("text", "\n", 1).alias("title"),
         F.col("source").alias("lead_sponsor"),
-        F.slice(F.split("text", "\n"), 2, 3).alias("conditions"),
+        F.slice(F.split("text", "\n"), 2, 1 << 30).alias("conditions"),
         normalize_company("source").alias("canonical_lead_sponsor"),
     )
 
@@ -1004,7 +1004,8 @@ def documents_as_trials(spark: SparkSession, sf_dir: str) -> DataFrame:
 _DOC_HAY_SQL = """
 d AS (SELECT doc_id, source,
              list_filter([lower(split_part(text, chr(10), 1)), lower(source)]
-                         || list_transform(list_slice(string_split(text, chr(10)), 2, 4), lambda x: lower(x)),
+                         || list_transform(list_slice(string_split(text, chr(10)), 2, len(string_split(text, chr(10)))),
+                                           lambda x: lower(x)),
                          lambda h: h IS NOT NULL AND h <> '') AS hay
       FROM documents),
 dh AS (SELECT doc_id, unnest(hay) AS h FROM d)"""
