@@ -5,7 +5,8 @@ from feedline.sinks.writers import (
     kafka_values,
     write_jsonl,
     write_kafka,
+    write_kafka_stream,
     write_records,
 )
 
-__all__ = ["append_metrics", "kafka_values", "write_jsonl", "write_kafka", "write_records"]
+__all__ = ["append_metrics", "kafka_values", "write_jsonl", "write_kafka", "write_kafka_stream", "write_records"]
