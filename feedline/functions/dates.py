@@ -45,59 +45,72 @@ def run_timestamp(value: dt.datetime | str) -> Column:
     return F.to_timestamp(F.lit(value.strftime("%Y-%m-%d %H:%M:%S.%f")))
 
 
-def parse_iso(c: Column | str) -> Column:
-    """ISO text only (the recall source's rule); naive = UTC, offset -> UTC."""
+# An ISO time part that ends with a zone offset.
+_ISO_OFFSET = r"[T ]\d{2}(:\d{2}(:\d{2}(\.\d{1,9})?)?)?(Z|[+-]\d{2}(:?\d{2})?)$"
+
+
+def _naive(ts: Column, naive_tz: str) -> Column:
+    """A wall-clock time read in ``naive_tz`` (the parsers read it as UTC)."""
+    return ts if naive_tz == "UTC" else F.to_utc_timestamp(ts, naive_tz)
+
+
+def parse_iso(c: Column | str, naive_tz: str = "UTC") -> Column:
+    """ISO text only (the recall source's rule); offset -> UTC, no offset = ``naive_tz``."""
     c = F.trim(_c(c))
-    return F.when(c.rlike(_ISO), F.try_to_timestamp(c))
+    parsed = F.try_to_timestamp(c)
+    return F.when(c.rlike(_ISO), F.when(c.rlike(_ISO_OFFSET), parsed).otherwise(_naive(parsed, naive_tz)))
 
 
-def _parse_rfc822(c: Column) -> Column:
+def _parse_rfc822(c: Column, naive_tz: str = "UTC") -> Column:
     body = F.trim(F.regexp_replace(c, r"^\s*[A-Za-z]{3,9},?\s+", ""))
     numeric = body.rlike(r"[+-]\d{4}$")
     # A zone name (GMT, UT, UTC, EST, ...) is dropped and the rest read as UTC.
     naive = F.regexp_replace(body, r"\s+[A-Za-z]{1,5}$", "")
     parsed = F.coalesce(
         *[F.when(numeric, _try(body, f)) for f in _RFC_NUMERIC],
-        *[F.when(~numeric, _try(naive, f)) for f in _RFC_NAIVE],
+        *[F.when(~numeric, _naive(_try(naive, f), naive_tz)) for f in _RFC_NAIVE],
     )
     return F.when(body.rlike(_RFC_SHAPE), parsed)
 
 
-def parse_lenient(c: Column | str) -> Column:
+def parse_lenient(c: Column | str, naive_tz: str = "UTC") -> Column:
     """Lenient date text -> UTC timestamp or null (registry and RSS dates).
 
     Accepted: ISO date / date-time, ``yyyy-MM`` and ``yyyy`` (first day),
     month-name dates and RFC 822 with numeric offset, zone name or none.
+    Text without a numeric offset is wall-clock time in ``naive_tz``.
     """
     c = F.trim(_c(c))
     return F.coalesce(
-        parse_iso(c),
-        F.when(c.rlike(r"^\d{4}-\d{2}$"), _try(c, "yyyy-MM")),
-        F.when(c.rlike(r"^\d{4}$"), _try(c, "yyyy")),
-        *[F.when(c.rlike(shape), F.coalesce(*[_try(c, f) for f in fmts])) for shape, fmts in _NAMED],
-        _parse_rfc822(c),
+        parse_iso(c, naive_tz),
+        F.when(c.rlike(r"^\d{4}-\d{2}$"), _naive(_try(c, "yyyy-MM"), naive_tz)),
+        F.when(c.rlike(r"^\d{4}$"), _naive(_try(c, "yyyy"), naive_tz)),
+        *[F.when(c.rlike(shape), _naive(F.coalesce(*[_try(c, f) for f in fmts]), naive_tz)) for shape, fmts in _NAMED],
+        _parse_rfc822(c, naive_tz),
     )
 
 
-def study_observed_at(dates: list[Column], run_ts: Column) -> Column:
+def study_observed_at(dates: list[Column], run_ts: Column, naive_tz: str = "UTC") -> Column:
     """First parsable of the candidate dates, else the run time."""
-    return F.coalesce(*[parse_lenient(d) for d in dates], run_ts)
+    return F.coalesce(*[parse_lenient(d, naive_tz) for d in dates], run_ts)
 
 
-def parse_recall_date(c: Column | str, run_ts: Column) -> Column:
-    """Eight digits = yyyyMMdd (UTC), else ISO, else the run time."""
+def parse_recall_date(c: Column | str, run_ts: Column, naive_tz: str = "UTC") -> Column:
+    """Eight digits = yyyyMMdd, else ISO, else the run time (the recall
+    source reads naive text as UTC, hence the default)."""
     c = _c(c)
     eight = c.rlike(r"^[0-9]{8}$")
     return F.coalesce(
-        F.when(eight, _try(c, "yyyyMMdd")),
-        F.when(~eight, parse_iso(c)),
+        F.when(eight, _naive(_try(c, "yyyyMMdd"), naive_tz)),
+        F.when(~eight, parse_iso(c, naive_tz)),
         run_ts,
     )
 
 
-def parse_rss_date(c: Column | str, run_ts: Column) -> Column:
+def parse_rss_date(c: Column | str, run_ts: Column, naive_tz: str = "UTC") -> Column:
     """Lenient parse, else the run time."""
-    return F.coalesce(parse_lenient(c), run_ts)
+    return F.coalesce(parse_lenient(c, naive_tz), run_ts)
+
 
 
 def iso_utc(ts: Column | str, zulu: bool = True) -> Column:

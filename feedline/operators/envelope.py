@@ -61,7 +61,7 @@ IDENTIFIER_KEYS = {
 
 ENVELOPE_COLUMNS = [
     "source", "record_type", "observed_at", "ingested_at", "raw", "normalized",
-    "identifiers", "_source_key", "_page_no", "_pos",
+    "identifiers", "_source_key", "_page_no", "_pos", "_undated",
 ]
 
 
@@ -96,7 +96,10 @@ def envelope(
     source_key: Column,
     page_no: Column,
     pos: Column,
+    undated: Column | None = None,
 ) -> list[Column]:
+    """Envelope columns; ``undated`` marks rows whose ``observed_at`` is the run
+    time because no date could be read."""
     return [
         source.alias("source"),
         record_type.alias("record_type"),
@@ -108,6 +111,7 @@ def envelope(
         source_key.alias("_source_key"),
         page_no.cast("bigint").alias("_page_no"),
         pos.cast("bigint").alias("_pos"),
+        (undated if undated is not None else F.lit(False)).alias("_undated"),
     ]
 
 
@@ -125,7 +129,11 @@ def _truthy_variant(v: Column) -> Column:
     )
 
 
-def study_envelope(studies: DataFrame, run_ts: Column, study_col: str = "study") -> DataFrame:
+def _no_ts() -> Column:
+    return F.lit(None).cast("timestamp")
+
+
+def study_envelope(studies: DataFrame, run_ts: Column, study_col: str = "study", naive_tz: str = "UTC") -> DataFrame:
     """One registry study (VARIANT) -> envelope.
 
     ``studies`` has ``source_key, page_no, pos`` and the study variant.
@@ -154,11 +162,12 @@ def study_envelope(studies: DataFrame, run_ts: Column, study_col: str = "study")
         )
     ]
     interventions = _get(s, f"{ps}.armsInterventionsModule.interventions", "array<variant>")
+    dated = study_observed_at(dates, _no_ts(), naive_tz)
     return studies.select(
         *envelope(
             source=F.lit(REGISTRY),
             record_type=F.lit(CLINICAL_TRIAL),
-            observed_at=study_observed_at(dates, run_ts),
+            observed_at=F.coalesce(dated, run_ts),
             raw=s,
             normalized=normalized_struct(
                 trial_id=nct_id,
@@ -174,11 +183,12 @@ def study_envelope(studies: DataFrame, run_ts: Column, study_col: str = "study")
             source_key=F.col("source_key"),
             page_no=F.col("page_no"),
             pos=F.col("pos"),
+            undated=dated.isNull(),
         )
     )
 
 
-def recall_envelope(results: DataFrame, run_ts: Column, result_col: str = "result") -> DataFrame:
+def recall_envelope(results: DataFrame, run_ts: Column, result_col: str = "result", naive_tz: str = "UTC") -> DataFrame:
     """One recall result (VARIANT) -> envelope."""
     r = F.col(result_col)
     report_date = _get(r, "$.report_date")
@@ -189,12 +199,12 @@ def recall_envelope(results: DataFrame, run_ts: Column, result_col: str = "resul
     title = first_truthy(
         _get(r, "$.product_description"), _get(r, "$.reason_for_recall"), _get(r, "$.openfda.brand_name[0]")
     )
-    observed = parse_recall_date(first_truthy(report_date, _get(r, "$.recall_initiation_date")), run_ts)
+    dated = parse_recall_date(first_truthy(report_date, _get(r, "$.recall_initiation_date")), _no_ts(), naive_tz)
     return results.select(
         *envelope(
             source=F.lit(RECALLS),
             record_type=F.lit(REGULATORY_UPDATE),
-            observed_at=observed,
+            observed_at=F.coalesce(dated, run_ts),
             raw=r,
             normalized=normalized_struct(
                 title=title,
@@ -206,25 +216,28 @@ def recall_envelope(results: DataFrame, run_ts: Column, result_col: str = "resul
             source_key=F.col("source_key"),
             page_no=F.col("page_no"),
             pos=F.col("pos"),
+            undated=dated.isNull(),
         )
     )
 
 
-def rss_envelope(items: DataFrame, source: str, run_ts: Column) -> DataFrame:
+def rss_envelope(items: DataFrame, source: str, run_ts: Column, naive_tz: str = "UTC") -> DataFrame:
     """RSS item (title, link, pubDate text) -> envelope; ``source`` is ema or fda."""
     title, link, pub = F.col("title"), F.col("link"), F.col("pubDate")
     raw = F.to_variant_object(F.struct(title.alias("title"), link.alias("link"), pub.alias("pubDate")))
+    dated = parse_rss_date(pub, _no_ts(), naive_tz)
     return items.select(
         *envelope(
             source=F.lit(source),
             record_type=F.lit(REGULATORY_UPDATE),
-            observed_at=parse_rss_date(pub, run_ts),
+            observed_at=F.coalesce(dated, run_ts),
             raw=raw,
             normalized=normalized_struct(title=title, link=link),
             identifiers=identifiers_map(link=link),
             source_key=F.col("source_key"),
             page_no=F.col("page_no"),
             pos=F.col("pos"),
+            undated=dated.isNull(),
         )
     )
 

@@ -69,3 +69,17 @@ def test_iso_utc_forms(spark):
     assert r["a"] == "2026-04-14T00:00:00Z"
     assert r["b"] == "2026-04-14T00:00:00.120000Z"
     assert r["c"] == "2026-04-14T00:00:00+00:00"
+
+
+@pytest.mark.parametrize(
+    "text,expected",
+    [
+        ("Tue, 14 Apr 2026 10:00:00 EST", "2026-04-14 14:00:00"),  # zone name dropped, read in naive_tz
+        ("Tue, 14 Apr 2026 10:00:00 +0200", "2026-04-14 08:00:00"),  # offsets win
+        ("2026-04-14T10:00:00", "2026-04-14 14:00:00"),
+        ("2026-04-14T10:00:00Z", "2026-04-14 10:00:00"),
+        ("2026-04-14", "2026-04-14 04:00:00"),
+    ],
+)
+def test_naive_time_zone(spark, text, expected):
+    assert _ts(spark, lambda c: parse_rss_date(c, run_timestamp(RUN), naive_tz="America/New_York"), text) == expected
