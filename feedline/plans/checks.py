@@ -719,9 +719,9 @@ def validate_warn(spark: SparkSession, sf_dir: str) -> DataFrame:
     "validation_counts",
     f"""
 SELECT m.mode,
-       CASE WHEN m.mode = 'off' THEN 0 ELSE count_if({_VALID_SQL}) END AS passed,
-       CASE WHEN m.mode = 'off' THEN 0 ELSE count_if(NOT {_VALID_SQL}) END AS failed,
-       CASE WHEN m.mode = 'drop' THEN count_if({_VALID_SQL}) ELSE count(*) END AS written
+       CAST(CASE WHEN m.mode = 'off' THEN 0 ELSE count_if({_VALID_SQL}) END AS BIGINT) AS passed,
+       CAST(CASE WHEN m.mode = 'off' THEN 0 ELSE count_if(NOT {_VALID_SQL}) END AS BIGINT) AS failed,
+       CAST(CASE WHEN m.mode = 'drop' THEN count_if({_VALID_SQL}) ELSE count(*) END AS BIGINT) AS written
 FROM documents, (VALUES ('drop'), ('warn'), ('off')) m(mode)
 GROUP BY m.mode
 """,
@@ -1138,10 +1138,11 @@ _SPIDERS = ("click", "error", "purchase", "signup", "view")
 @check(
     "run_metrics",
     f"""
-WITH r AS (SELECT event_type AS spider, count_if(event_id % 17 <> 0) AS passed, count_if(event_id % 17 = 0) AS failed
+WITH r AS (SELECT event_type AS spider, CAST(count_if(event_id % 17 <> 0) AS BIGINT) AS passed, CAST(count_if(event_id % 17 = 0) AS BIGINT) AS failed
            FROM events GROUP BY event_type),
 m AS (SELECT list_extract({_sql_list(_SPIDERS)}, CAST(page_id % 5 + 1 AS INTEGER)) AS spider, count(*) AS req,
-             count_if(page_id % 4 = 0) AS h304, count_if(page_id % 4 <> 0 AND page_id % 9 = 0) AS h500
+             CAST(count_if(page_id % 4 = 0) AS BIGINT) AS h304,
+             CAST(count_if(page_id % 4 <> 0 AND page_id % 9 = 0) AS BIGINT) AS h500
       FROM pages GROUP BY 1)
 SELECT 'spider_metrics' AS event, '2025-01-01T00:00:00+00:00' AS "timestamp",
        coalesce(r.spider, m.spider) AS spider,
