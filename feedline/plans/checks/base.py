@@ -48,7 +48,7 @@ def ts_text(c) -> F.Column:
 
 
 # DuckDB spelling of ``ts_text``.
-def _sql_ts(expr: str) -> str:
+def sql_ts(expr: str) -> str:
     return f"strftime({expr}, '%Y-%m-%d %H:%M:%S.%f')"
 
 
@@ -75,42 +75,42 @@ def documents_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-_SQL_N1 = "nullif(trim(regexp_replace(lower({x}), '[^a-z0-9]+', ' ', 'g')), '')"
+SQL_N1 = "nullif(trim(regexp_replace(lower({x}), '[^a-z0-9]+', ' ', 'g')), '')"
 
 
-_SQL_SUFFIX = (
+SQL_SUFFIX = (
     "'(?:(?:^| )(?:inc|incorporated|corp|corporation|co|company|ltd|limited|llc|plc|sa|ag|gmbh|bv))+$'"
 )
 
 
-_SQL_FORMS = "('tablet','tablets','capsule','capsules','injection','solution','oral','iv','mg','mcg','ml')"
+SQL_FORMS = "('tablet','tablets','capsule','capsules','injection','solution','oral','iv','mg','mcg','ml')"
 
 
-def _sql_n1(x: str) -> str:
-    return _SQL_N1.format(x=x)
+def sql_n1(x: str) -> str:
+    return SQL_N1.format(x=x)
 
 
-def _sql_company(n: str) -> str:
-    return f"coalesce(nullif(regexp_replace({n}, {_SQL_SUFFIX}, ''), ''), {n})"
+def sql_company(n: str) -> str:
+    return f"coalesce(nullif(regexp_replace({n}, {SQL_SUFFIX}, ''), ''), {n})"
 
 
-def _sql_drug(n: str) -> str:
+def sql_drug(n: str) -> str:
     return (
         f"coalesce(nullif(array_to_string(list_filter(string_split({n}, ' '), "
-        f"lambda t: t NOT IN {_SQL_FORMS}), ' '), ''), {n})"
+        f"lambda t: t NOT IN {SQL_FORMS}), ' '), ''), {n})"
     )
 
 
-_TITLE_RE = "<title>(.*?)</title>"
+TITLE_RE = "<title>(.*?)</title>"
 
 
-_ISO_Z = "'%Y-%m-%dT%H:%M:%SZ'"
+ISO_Z = "'%Y-%m-%dT%H:%M:%SZ'"
 
 
-_EVENT_TITLE = "event_type || ' #' || CAST(event_id AS VARCHAR)"
+EVENT_TITLE = "event_type || ' #' || CAST(event_id AS VARCHAR)"
 
 
-_EVENT_LINK = "'https://feed.example/e/' || CAST(event_id AS VARCHAR)"
+EVENT_LINK = "'https://feed.example/e/' || CAST(event_id AS VARCHAR)"
 
 
 def events_feed(spark: SparkSession, sf_dir: str, observed: F.Column | None = None) -> DataFrame:
@@ -118,7 +118,7 @@ def events_feed(spark: SparkSession, sf_dir: str, observed: F.Column | None = No
     pages of 50 in id order."""
     e = table(spark, sf_dir, "events")
     obs = observed if observed is not None else F.col("ts").cast("timestamp")
-    link = F.expr(_EVENT_LINK.replace("VARCHAR", "STRING"))
+    link = F.expr(EVENT_LINK.replace("VARCHAR", "STRING"))
     return e.select(
         "event_id",
         "event_type",
@@ -134,17 +134,17 @@ def events_feed(spark: SparkSession, sf_dir: str, observed: F.Column | None = No
     )
 
 
-_LINE_DRUG_NAME = (
+LINE_DRUG_NAME = (
     "p_name || CASE l_linenumber % 3 WHEN 0 THEN ' tablet' "
     "WHEN 1 THEN ' ' || CAST(p_size AS VARCHAR) || ' mg' ELSE '' END"
 )
 
 
-def _sql_list(xs) -> str:
+def sql_list(xs) -> str:
     return "[" + ", ".join(f"'{x}'" for x in xs) + "]"
 
 
-def _land(spark: SparkSession, landed: DataFrame, name: str) -> DataFrame:
+def land_pages(spark: SparkSession, landed: DataFrame, name: str) -> DataFrame:
     """Write landed pages as Parquet to a fresh shared folder and read them back."""
     from feedline.session import scratch_path
     from feedline.sources.payloads import read_landed

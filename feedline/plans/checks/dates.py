@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from feedline.functions.dates import iso_utc
 from feedline.plans.checks.base import (
+    ISO_Z,
     RUN_TS,
-    _ISO_Z,
     check,
     run_ts,
     table,
@@ -45,7 +45,7 @@ SELECT l_orderkey, l_linenumber, strftime(CASE
     WHEN l_orderkey % 7 <> 0 THEN l_shipdate + INTERVAL 2 DAY
     WHEN l_orderkey % 11 <> 0 THEN l_shipdate + INTERVAL 510 MINUTE
     WHEN l_orderkey % 13 <> 0 THEN l_shipdate + INTERVAL 3 DAY
-    ELSE TIMESTAMP '{RUN_TS}' END, {_ISO_Z}) AS observed_at
+    ELSE TIMESTAMP '{RUN_TS}' END, {ISO_Z}) AS observed_at
 FROM lineitem
 """,
 )
@@ -74,7 +74,7 @@ SELECT o_orderkey, strftime(CASE o_orderkey % 7
     WHEN 0 THEN o_orderdate
     WHEN 1 THEN o_orderdate - INTERVAL 3477 SECOND
     WHEN 6 THEN o_orderdate + INTERVAL 12 HOUR
-    ELSE TIMESTAMP '{RUN_TS}' END, {_ISO_Z}) AS observed_at
+    ELSE TIMESTAMP '{RUN_TS}' END, {ISO_Z}) AS observed_at
 FROM orders
 """,
 )
@@ -99,7 +99,7 @@ def recall_date(spark: SparkSession, sf_dir: str) -> DataFrame:
     "rss_date",
     f"""
 SELECT event_id, strftime(CASE WHEN event_id % 10 = 4 THEN TIMESTAMP '{RUN_TS}'
-                               ELSE date_trunc('second', ts) END, {_ISO_Z}) AS observed_at
+                               ELSE date_trunc('second', ts) END, {ISO_Z}) AS observed_at
 FROM events
 """,
 )

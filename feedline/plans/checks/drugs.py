@@ -6,10 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feedline.plans.checks.base import (
-    _LINE_DRUG_NAME,
-    _sql_drug,
-    _sql_n1,
+    LINE_DRUG_NAME,
     check,
+    sql_drug,
+    sql_n1,
     table,
 )
 
@@ -17,11 +17,11 @@ from feedline.plans.checks.base import (
 @check(
     "canonical_drugs",
     f"""
-WITH li AS (SELECT l.l_orderkey, l.l_linenumber, l.l_partkey, {_LINE_DRUG_NAME} AS name
+WITH li AS (SELECT l.l_orderkey, l.l_linenumber, l.l_partkey, {LINE_DRUG_NAME} AS name
             FROM lineitem l JOIN part p ON p.p_partkey = l.l_partkey),
 k AS (SELECT l_orderkey,
              CASE WHEN l_partkey % 17 <> 0 AND l_linenumber % 6 IN (0, 2, 3, 4)
-                  THEN {_sql_drug(_sql_n1('name'))} END AS drug
+                  THEN {sql_drug(sql_n1('name'))} END AS drug
       FROM li)
 SELECT o.o_orderkey, count(DISTINCT k.drug) AS n_drugs,
        coalesce(string_agg(DISTINCT k.drug, '|' ORDER BY k.drug), '') AS drugs

@@ -6,10 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feedline.plans.checks.base import (
-    _sql_company,
-    _sql_list,
-    _sql_n1,
     check,
+    sql_company,
+    sql_list,
+    sql_n1,
     table,
 )
 
@@ -75,8 +75,8 @@ _WORDS = ("thhe", "ouvi", "anan", "ère", "ch", "x")
 
 _TARGET_SQL = (
     "CASE c_custkey % 4 WHEN 0 THEN 'Src' || CAST(c_custkey % 20 AS VARCHAR) || ' Inc' "
-    f"WHEN 1 THEN list_extract({_sql_list(_PAIRS)}, CAST((c_custkey // 4) % 8 + 1 AS INTEGER)) "
-    f"WHEN 2 THEN list_extract({_sql_list(_WORDS)}, CAST((c_custkey // 4) % 6 + 1 AS INTEGER)) "
+    f"WHEN 1 THEN list_extract({sql_list(_PAIRS)}, CAST((c_custkey // 4) % 8 + 1 AS INTEGER)) "
+    f"WHEN 2 THEN list_extract({sql_list(_WORDS)}, CAST((c_custkey // 4) % 6 + 1 AS INTEGER)) "
     "ELSE c_name END"
 )
 
@@ -88,13 +88,13 @@ WITH {_DOC_HAY_SQL},
 t AS (SELECT c_custkey, {_TARGET_SQL} AS target FROM customer),
 tt AS (SELECT c_custkey,
               list_filter(string_split_regex(lower(trim(target)), '\\s+'), lambda x: x <> '') AS terms,
-              {_sql_company(_sql_n1('target'))} AS canon
+              {sql_company(sql_n1('target'))} AS canon
        FROM t),
 m AS (SELECT tt.c_custkey, dh.doc_id FROM tt JOIN dh
         ON len(tt.terms) > 0 AND list_bool_and(list_transform(tt.terms, lambda x: contains(dh.h, x)))
       UNION
       SELECT tt.c_custkey, d.doc_id FROM tt JOIN d ON len(tt.terms) > 0
-        AND tt.canon = {_sql_company(_sql_n1('d.source'))})
+        AND tt.canon = {sql_company(sql_n1('d.source'))})
 SELECT c_custkey, count(*) AS n_docs FROM m GROUP BY c_custkey
 """,
 )
@@ -123,9 +123,9 @@ def company_match_many(spark: SparkSession, sf_dir: str) -> DataFrame:
 @check(
     "entity_join",
     f"""
-WITH c AS (SELECT {_sql_company(_sql_n1("n.n_name || CASE cu.c_custkey % 3 WHEN 0 THEN ', Inc.' WHEN 1 THEN ' Ltd' ELSE '' END"))} AS entity
+WITH c AS (SELECT {sql_company(sql_n1("n.n_name || CASE cu.c_custkey % 3 WHEN 0 THEN ', Inc.' WHEN 1 THEN ' Ltd' ELSE '' END"))} AS entity
            FROM customer cu JOIN nation n ON n.n_nationkey = cu.c_nationkey),
-s AS (SELECT {_sql_company(_sql_n1("n.n_name || CASE su.s_suppkey % 2 WHEN 0 THEN ' GmbH' ELSE ' Corp' END"))} AS entity
+s AS (SELECT {sql_company(sql_n1("n.n_name || CASE su.s_suppkey % 2 WHEN 0 THEN ' GmbH' ELSE ' Corp' END"))} AS entity
       FROM supplier su JOIN nation n ON n.n_nationkey = su.s_nationkey),
 ca AS (SELECT entity, count(*) AS n_customers FROM c GROUP BY entity),
 sa AS (SELECT entity, count(*) AS n_suppliers FROM s GROUP BY entity)

@@ -8,10 +8,10 @@ from pyspark.sql import functions as F
 from feedline.functions.dates import iso_utc
 from feedline.operators.validate import validate
 from feedline.plans.checks.base import (
-    _sql_list,
     check,
     events_feed,
     run_ts,
+    sql_list,
     table,
 )
 
@@ -24,7 +24,7 @@ _SPIDERS = ("click", "error", "purchase", "signup", "view")
     f"""
 WITH r AS (SELECT event_type AS spider, CAST(count_if(event_id % 17 <> 0) AS BIGINT) AS passed, CAST(count_if(event_id % 17 = 0) AS BIGINT) AS failed
            FROM events GROUP BY event_type),
-m AS (SELECT list_extract({_sql_list(_SPIDERS)}, CAST(page_id % 5 + 1 AS INTEGER)) AS spider, count(*) AS req,
+m AS (SELECT list_extract({sql_list(_SPIDERS)}, CAST(page_id % 5 + 1 AS INTEGER)) AS spider, count(*) AS req,
              CAST(count_if(page_id % 4 = 0) AS BIGINT) AS h304,
              CAST(count_if(page_id % 4 <> 0 AND page_id % 9 = 0) AS BIGINT) AS h500
       FROM pages GROUP BY 1)

@@ -6,11 +6,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feedline.plans.checks.base import (
-    _TITLE_RE,
-    _sql_company,
-    _sql_drug,
-    _sql_n1,
+    TITLE_RE,
     check,
+    sql_company,
+    sql_drug,
+    sql_n1,
     table,
 )
 
@@ -18,11 +18,11 @@ from feedline.plans.checks.base import (
 @check(
     "norm_text",
     f"""
-SELECT 'conversation' AS kind, conv_id AS id, CAST(turn AS BIGINT) AS turn, {_sql_n1('text')} AS norm
+SELECT 'conversation' AS kind, conv_id AS id, CAST(turn AS BIGINT) AS turn, {sql_n1('text')} AS norm
 FROM conversations
 UNION ALL
 SELECT 'page' AS kind, page_id AS id, CAST(0 AS BIGINT) AS turn,
-       {_sql_n1(f"regexp_extract(html, '{_TITLE_RE}', 1)")} AS norm
+       {sql_n1(f"regexp_extract(html, '{TITLE_RE}', 1)")} AS norm
 FROM pages
 """,
 )
@@ -35,7 +35,7 @@ def norm_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     pages = table(spark, sf_dir, "pages").select(
         F.lit("page").alias("kind"), F.col("page_id").alias("id"), F.lit(0).cast("bigint").alias("turn"),
-        normalize_text(F.regexp_extract("html", _TITLE_RE, 1)).alias("norm"),
+        normalize_text(F.regexp_extract("html", TITLE_RE, 1)).alias("norm"),
     )
     return conv.unionByName(pages)
 
@@ -49,8 +49,8 @@ _CUSTOMER_SUFFIX = (
 @check(
     "norm_company",
     f"""
-WITH n AS (SELECT c_custkey, {_sql_n1(f"c_name || {_CUSTOMER_SUFFIX}")} AS n FROM customer)
-SELECT c_custkey, {_sql_company('n')} AS company FROM n
+WITH n AS (SELECT c_custkey, {sql_n1(f"c_name || {_CUSTOMER_SUFFIX}")} AS n FROM customer)
+SELECT c_custkey, {sql_company('n')} AS company FROM n
 """,
 )
 def norm_company(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -70,8 +70,8 @@ _PART_FORM = (
 @check(
     "norm_drug",
     f"""
-WITH n AS (SELECT p_partkey, {_sql_n1(_PART_FORM)} AS n FROM part)
-SELECT p_partkey, {_sql_drug('n')} AS drug FROM n
+WITH n AS (SELECT p_partkey, {sql_n1(_PART_FORM)} AS n FROM part)
+SELECT p_partkey, {sql_drug('n')} AS drug FROM n
 """,
 )
 def norm_drug(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -102,8 +102,8 @@ _SUPPLIER_SUFFIX = "CASE s_suppkey % 4 WHEN 0 THEN ', Inc.' WHEN 1 THEN ' GmbH'
     "alias_company",
     f"""
 WITH a(alias, canonical) AS ({_COMPANY_ALIAS_SQL}),
-n AS (SELECT s_suppkey, {_sql_n1(f"s_name || {_SUPPLIER_SUFFIX}")} AS n FROM supplier),
-k AS (SELECT s_suppkey, n, {_sql_company('n')} AS k FROM n)
+n AS (SELECT s_suppkey, {sql_n1(f"s_name || {_SUPPLIER_SUFFIX}")} AS n FROM supplier),
+k AS (SELECT s_suppkey, n, {sql_company('n')} AS k FROM n)
 SELECT s_suppkey, coalesce(a1.canonical, a2.canonical, k.k) AS company
 FROM k LEFT JOIN a a1 ON a1.alias = k.n LEFT JOIN a a2 ON a2.alias = k.k
 """,
@@ -129,8 +129,8 @@ _PART_DOSE = "CASE p_partkey % 3 WHEN 0 THEN ' Tablets' WHEN 1 THEN ' 10 mg' ELS
     "alias_drug",
     f"""
 WITH a(alias, canonical) AS ({_DRUG_ALIAS_SQL}),
-n AS (SELECT p_partkey, {_sql_n1(f"p_name || {_PART_DOSE}")} AS n FROM part),
-k AS (SELECT p_partkey, n, {_sql_drug('n')} AS k FROM n)
+n AS (SELECT p_partkey, {sql_n1(f"p_name || {_PART_DOSE}")} AS n FROM part),
+k AS (SELECT p_partkey, n, {sql_drug('n')} AS k FROM n)
 SELECT p_partkey, coalesce(a1.canonical, a2.canonical, k.k) AS drug
 FROM k LEFT JOIN a a1 ON a1.alias = k.n LEFT JOIN a a2 ON a2.alias = k.k
 """,

@@ -8,10 +8,10 @@ from pyspark.sql import functions as F
 from feedline.operators.envelope import envelope, identifiers_map, normalized_struct
 from feedline.operators.validate import validate
 from feedline.plans.checks.base import (
-    _EVENT_LINK,
-    _EVENT_TITLE,
-    _ISO_Z,
-    _TITLE_RE,
+    EVENT_LINK,
+    EVENT_TITLE,
+    ISO_Z,
+    TITLE_RE,
     check,
     run_ts,
     table,
@@ -20,7 +20,7 @@ from feedline.plans.checks.base import (
 
 _PAGE_TITLE_SQL = (
     f"CASE WHEN page_id % 9 = 0 THEN NULL WHEN page_id % 13 = 0 THEN '' "
-    f"ELSE regexp_extract(html, '{_TITLE_RE}', 1) END"
+    f"ELSE regexp_extract(html, '{TITLE_RE}', 1) END"
 )
 
 
@@ -32,7 +32,7 @@ WITH p AS (SELECT page_id, url, {_PAGE_TITLE_SQL} AS title,
 SELECT page_id, 'fp:' || sha256('{{"identifiers":{{"link":' || to_json(url)
     || '}},"normalized":{{"lead_sponsor":null,"link":' || to_json(url)
     || ',"status":null,"title":' || coalesce(to_json(title), 'null')
-    || '}},"observed_at":"' || strftime(obs, {_ISO_Z})
+    || '}},"observed_at":"' || strftime(obs, {ISO_Z})
     || '","record_type":"regulatory_update","source":"fda"}}') AS fp
 FROM p
 """,
@@ -63,8 +63,8 @@ def events_rss_items(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("ema_rss:feed").alias("source_key"),
         F.floor(F.col("event_id") / 50).cast("bigint").alias("page_no"),
         F.col("event_id").alias("pos"),
-        F.expr(_EVENT_TITLE.replace("VARCHAR", "STRING")).alias("title"),
-        F.expr(_EVENT_LINK.replace("VARCHAR", "STRING")).alias("link"),
+        F.expr(EVENT_TITLE.replace("VARCHAR", "STRING")).alias("title"),
+        F.expr(EVENT_LINK.replace("VARCHAR", "STRING")).alias("link"),
         pub.alias("pubDate"),
     )
 
@@ -72,10 +72,10 @@ def events_rss_items(spark: SparkSession, sf_dir: str) -> DataFrame:
 @check(
     "kafka_values",
     f"""
-WITH e AS (SELECT event_id, {_EVENT_TITLE} AS title, {_EVENT_LINK} AS link,
+WITH e AS (SELECT event_id, {EVENT_TITLE} AS title, {EVENT_LINK} AS link,
                   strftime(ts, '%a, %d %b %Y %H:%M:%S') || ' +0000' AS pub, date_trunc('second', ts) AS obs
            FROM events)
-SELECT event_id, '{{"source":"ema","record_type":"regulatory_update","observed_at":"' || strftime(obs, {_ISO_Z})
+SELECT event_id, '{{"source":"ema","record_type":"regulatory_update","observed_at":"' || strftime(obs, {ISO_Z})
     || '","ingested_at":"2025-01-01T00:00:00Z","raw":{{"link":' || to_json(link) || ',"pubDate":' || to_json(pub)
     || ',"title":' || to_json(title) || '}},"normalized":{{"title":' || to_json(title) || ',"link":' || to_json(link)
     || '}},"identifiers":{{"link":' || to_json(link) || '}}}}' AS value

@@ -8,10 +8,10 @@ from pyspark.sql import functions as F
 from feedline.operators.watermark import advance_marks
 from feedline.plans.checks.base import (
     RUN_TS,
-    _sql_ts,
     check,
     events_feed,
     run_ts,
+    sql_ts,
     table,
     ts_text,
 )
@@ -133,8 +133,8 @@ new AS (
 SELECT coalesce(new.source_key, old.source_key) AS source_key,
        coalesce(new.etag, old.etag) AS etag,
        coalesce(new.last_modified, old.last_modified) AS last_modified,
-       {_sql_ts('coalesce(new.last_seen_ts, old.last_seen_ts)')} AS last_seen_ts,
-       {_sql_ts(f"CASE WHEN new.source_key IS NOT NULL THEN TIMESTAMP '{RUN_TS}' ELSE old.updated_at END")} AS updated_at
+       {sql_ts('coalesce(new.last_seen_ts, old.last_seen_ts)')} AS last_seen_ts,
+       {sql_ts(f"CASE WHEN new.source_key IS NOT NULL THEN TIMESTAMP '{RUN_TS}' ELSE old.updated_at END")} AS updated_at
 FROM old FULL OUTER JOIN new ON old.source_key = new.source_key
 """,
 )
