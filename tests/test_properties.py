@@ -1,6 +1,7 @@
 """Property tests: the Spark expressions against plain-Python statements of the
 same rules, on random (often hostile) text."""
 
+import datetime as dt
 import hashlib
 import json
 import re
@@ -103,3 +104,32 @@ def test_many_targets_equal_brute_force(spark, docs, targets):
             if terms and (canon_eq or any(all(x in h for x in terms) for h in hay)):
                 want.add((i, tid))
     assert got == want
+
+
+@settings(max_examples=3, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(points=st.lists(st.tuples(
+    st.datetimes(min_value=dt.datetime(1971, 1, 1), max_value=dt.datetime(2099, 12, 31)),
+    st.integers(min_value=-14 * 60, max_value=14 * 60)), min_size=10, max_size=25))
+def test_dates_round_trip(spark, points):
+    from email.utils import format_datetime
+
+    from feedline.functions.dates import parse_recall_date, parse_rss_date, run_timestamp
+
+    rows, want = [], []
+    for i, (naive, minutes) in enumerate(points):
+        naive = naive.replace(microsecond=0)
+        zone = dt.timezone(dt.timedelta(minutes=minutes))
+        aware = naive.replace(tzinfo=zone)
+        utc = aware.astimezone(dt.timezone.utc).strftime("%Y-%m-%d %H:%M:%S")
+        rows.append((i, format_datetime(aware), aware.isoformat(), naive.strftime("%Y%m%d")))
+        want.append((utc, utc, naive.strftime("%Y-%m-%d 00:00:00")))
+    df = spark.createDataFrame(rows, "i int, rfc string, iso string, ymd string")
+    run = run_timestamp("1900-01-01 00:00:00")
+    fmt = "yyyy-MM-dd HH:mm:ss"
+    got = df.select(
+        "i",
+        F.date_format(parse_rss_date("rfc", run), fmt).alias("a"),
+        F.date_format(parse_rss_date("iso", run), fmt).alias("b"),
+        F.date_format(parse_recall_date("ymd", run), fmt).alias("c"),
+    ).orderBy("i").collect()
+    assert [(r["a"], r["b"], r["c"]) for r in got] == want
