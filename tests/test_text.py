@@ -86,3 +86,23 @@ def test_alias_map_later_duplicate_wins(spark):
     rows = alias_table_from_json(spark, '{"ACME": "first", "acme": "second", "x": 7, "": "y"}').collect()
     got = {r["alias"]: r["canonical"] for r in rows}
     assert got == {"acme": "second", "x": "7"}
+
+
+def test_first_truthy_golden(spark):
+    from pyspark.sql import functions as F
+
+    from feedline.functions.expr import first_truthy
+
+    df = spark.createDataFrame([("", None, "x"), (None, "", ""), ("a", "b", "c")], "a string, b string, c string")
+    got = [r["v"] for r in df.select(first_truthy("a", "b", "c").alias("v")).collect()]
+    assert got == ["x", "", "a"]  # the last value is returned as it is
+
+
+def test_source_key(spark):
+    from pyspark.sql import functions as F
+
+    from feedline.functions.expr import source_key
+
+    df = spark.createDataFrame([("diabetes", 50)], "q string, n int")
+    got = df.select(source_key("clinicaltrials_api", F.col("q"), F.col("n"), "LastUpdatePostDate:desc").alias("k")).first()
+    assert got["k"] == "clinicaltrials_api:diabetes:50:LastUpdatePostDate:desc"
