@@ -89,8 +89,6 @@ def test_alias_map_later_duplicate_wins(spark):
 
 
 def test_first_truthy_golden(spark):
-    from pyspark.sql import functions as F
-
     from feedline.functions.expr import first_truthy
 
     df = spark.createDataFrame([("", None, "x"), (None, "", ""), ("a", "b", "c")], "a string, b string, c string")
