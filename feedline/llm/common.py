@@ -55,10 +55,6 @@ def texts(batch: pa.RecordBatch, name: str = "text") -> list[str]:
     return batch.column(name).to_pylist()
 
 
-def blobs(batch: pa.RecordBatch, name: str = "text") -> list[bytes]:
-    return batch.column(name).cast(pa.binary()).to_pylist()
-
-
 def chunks(items: list, sizes, limit: int) -> Iterator[tuple[int, int]]:
     """Consecutive ranges of a list whose sizes add up to about ``limit`` (at
     least one item each), to bound memory within a batch."""

@@ -129,7 +129,7 @@ def shard_spans(size: np.ndarray, order: np.ndarray, quota: int, block: int, see
 
 
 def mix(docs: DataFrame, weights: Sequence[float] = (3, 1, 2), share: float = 1.5, max_epochs: int = 2, block: int = 256,
-        shard_words: int = 2_000_000, seed: int = 17) -> DataFrame:
+        shard_words: int = 500_000, seed: int = 17) -> DataFrame:
     """Per input row: doc_id, size, source_size, target (of its source), taken,
     and where it lies: ``passes`` full passes plus the words ``[cut_from[i],
     cut_to[i])`` of one further, partial pass."""

@@ -23,10 +23,9 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 
-from feedline.llm.common import texts, with_text
+from feedline.llm.common import texts, with_text, word_hashes
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 SYMBOLS = "#*$%&|<>"
@@ -38,19 +37,6 @@ SYMBOL_LIMIT = 0.30  # symbols per word
 SHOUT_LIMIT = 0.30  # share of words ending in an exclamation mark
 
 
-class WordHashes(dict):
-    """Stable 64-bit hashes of words, remembered up to a bound."""
-
-    def __missing__(self, word: str) -> int:
-        if len(self) > 300_000:
-            self.clear()
-        h = self[word] = xxhash.xxh64_intdigest(word.encode("utf-8", "surrogatepass"))
-        return h
-
-
-HASHES = WordHashes()
-
-
 def rolling(words: np.ndarray, n: int) -> np.ndarray:
     """Polynomial hashes of all n-word windows (mod 2^64), finally mixed."""
     if len(words) < n:
@@ -101,7 +87,7 @@ def features(text: str) -> dict:
     words = WORD.findall(text)
     n = len(words)
     lengths = np.fromiter(map(len, words), np.int64, n)
-    hashes = np.fromiter(map(HASHES.__getitem__, words), np.uint64, n)
+    hashes = word_hashes(words)
     chars = int(lengths.sum())
     dup_lines, dup_chars, line_chars = repeated_lines(text)
     # Fewer than three words have no 3-word window.
@@ -109,10 +95,12 @@ def features(text: str) -> dict:
            "n_repeat_words": int(inside(repeated(rolling(hashes, 3)), 3, n).sum()) if n >= 3 else 0,
            "line_share": dup_chars / line_chars if line_chars else 0.0,
            "shout_share": sum(w.endswith("!") for w in words) / n if n else 0.0}
-    for k in GRAM_LIMITS:
+    more = out["n_repeat_words"] > 0  # a repeated n-gram repeats all shorter ones inside it
+    for k in sorted(GRAM_LIMITS):
         share = 0.0
-        if n > k:
+        if more and n > k:
             share = float(lengths[inside(repeated(rolling(hashes, k)), k, n)].sum()) / chars
+            more = share > 0
         out[f"gram{k}_share"] = share
     return out
 
