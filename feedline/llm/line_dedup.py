@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from feedline.llm.common import ascii_lower, row_key, staged, with_text
 
 BLANK = " \t\n\x0b\x0c\r"
+SALTS = 32
 
 
 def line_key(line: Column) -> Column:
@@ -57,7 +58,9 @@ def drop_common_lines(docs: DataFrame, min_docs: int = 10, min_chars: int = 1) -
     """``doc_id, text`` (what is kept, joined by newline), ``n_lines`` (before
     dropping) and ``n_dropped``; one row per input row."""
     lines = staged(line_hashes(docs, min_chars), "lines")
-    drops = (lines.join(common_lines(lines, min_docs), ["h1", "h2"])
+    # A line of very many documents is dealt to SALTS tasks by its document.
+    common = common_lines(lines, min_docs).withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    drops = (lines.withColumn("salt", F.pmod("k1", F.lit(SALTS)).cast("int")).join(common, ["h1", "h2", "salt"])
              .groupBy("k1", "k2").agg(F.sort_array(F.collect_set("pos")).alias("drops")))
     d = with_text(docs)
     d = d.select("doc_id", "text", *row_key(d["doc_id"], d["text"]))
