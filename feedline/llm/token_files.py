@@ -27,23 +27,34 @@ that repeat a doc_id are all written, in order of their texts.
 
 from __future__ import annotations
 
+import json
+import math
+import re
 import struct
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from feedline.llm.common import blobs, scratch_path, with_text
+from feedline.llm.common import scratch_path, split_words, with_text
+from feedline.llm.token_counts import byte_alphabet
 
 MAGIC = b"PFR1"
 BLOCK = 1024
 INDEX = np.dtype([("offset", "<u4"), ("low", "<u4"), ("width", "u1"), ("patches", "<u2")])
-CACHE = 500_000
+CACHE = 400_000
+# Fixed by the tokenizer file: how it normalises and splits.
+SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+CHAIN = [
+    {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]},
+    {"type": "Sequence", "pretokenizers": [{"type": "Split", "pattern": {"Regex": SPLIT}, "behavior": "Removed", "invert": True},
+                                           {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}]}]
 
 
 def pack(values: np.ndarray, width: int) -> bytes:
@@ -61,6 +72,33 @@ def unpack(data: bytes, width: int, n: int) -> np.ndarray:
     return (bits.astype(np.uint32) << np.arange(width, dtype=np.uint32)).sum(axis=1, dtype=np.uint32)
 
 
+def pack_blocks(blocks: np.ndarray, width: int) -> np.ndarray:
+    """:func:`pack` of many full blocks of one width: rows of bytes. 64 values
+    fill ``width`` 64-bit words."""
+    lanes = np.ascontiguousarray(blocks.astype("<u8").reshape(-1, 64).T)
+    out = np.zeros((width, lanes.shape[1]), "<u8")
+    for i in range(64):
+        word, shift = divmod(i * width, 64)
+        out[word] |= lanes[i] << np.uint64(shift)
+        if shift + width > 64:
+            out[word + 1] |= lanes[i] >> np.uint64(64 - shift)
+    return np.ascontiguousarray(out.T).reshape(len(blocks), -1).view(np.uint8)
+
+
+def unpack_blocks(data: np.ndarray, width: int) -> np.ndarray:
+    """The values of rows of packed bytes, a full block each."""
+    words = np.ascontiguousarray(np.ascontiguousarray(data).view("<u8").reshape(-1, width).T)
+    mask = np.uint64((1 << width) - 1)
+    out = np.empty((64, words.shape[1]), np.uint32)
+    for i in range(64):
+        word, shift = divmod(i * width, 64)
+        x = words[word] >> np.uint64(shift)
+        if shift + width > 64:
+            x = x | words[word + 1] << np.uint64(64 - shift)
+        out[i] = x & mask
+    return np.ascontiguousarray(out.T).reshape(len(data), BLOCK)
+
+
 def encode_block(ids: np.ndarray, percentile: float) -> tuple[int, int, int, bytes]:
     """(minimum, width, number of exceptions, data)."""
     low = int(ids.min())
@@ -79,15 +117,38 @@ def decode_block(data: bytes, low: int, width: int, patches: int, n: int) -> np.
     return ids
 
 
+def encode_blocks(blocks: np.ndarray, percentile: float) -> list[tuple[int, int, int, bytes]]:
+    """:func:`encode_block` of many full blocks, packed together by width."""
+    low = blocks.min(axis=1)
+    above = blocks - low[:, None]
+    k = math.ceil(percentile / 100 * (BLOCK - 1))
+    width = np.frexp(np.partition(above, k, axis=1)[:, k].astype(float))[1]  # bits of the percentile
+    outlier = above.astype(np.uint64) >> width[:, None].astype(np.uint64) > 0
+    above[outlier] = 0
+    n = outlier.sum(axis=1)
+    where, what = np.nonzero(outlier)[1].astype("<u2"), blocks[outlier].astype("<u4")
+    ends = np.cumsum(n)
+    packed: dict[int, bytes] = {}
+    for w in np.unique(width):
+        at = np.flatnonzero(width == w)
+        for i, row in zip(at, pack_blocks(above[at], int(w)) if w else [np.empty(0, np.uint8)] * len(at)):
+            packed[int(i)] = row.tobytes()
+    return [(int(low[i]), int(width[i]), int(n[i]), packed[i] + where[e - n[i]:e].tobytes() + what[e - n[i]:e].tobytes())
+            for i, e in enumerate(ends)]
+
+
 def encode_segment(ids: np.ndarray, lengths: list[int], percentile: float = 90.0) -> bytes:
-    index, data, at = [], [], 0
-    for i in range(0, len(ids), BLOCK):
-        low, width, patches, body = encode_block(ids[i:i + BLOCK], percentile)
+    ids = np.asarray(ids, np.uint32)
+    full = len(ids) // BLOCK
+    blocks = encode_blocks(ids[:full * BLOCK].reshape(full, BLOCK), percentile) if full else []
+    if len(ids) % BLOCK:
+        blocks.append(encode_block(ids[full * BLOCK:], percentile))
+    index, at = [], 0
+    for low, width, patches, body in blocks:
         index.append((at, low, width, patches))
-        data.append(body)
         at += len(body)
     head = MAGIC + struct.pack("<4I", 1, len(ids), len(lengths), len(index))
-    return head + np.array(lengths, "<u4").tobytes() + np.array(index, INDEX).tobytes() + b"".join(data)
+    return head + np.array(lengths, "<u4").tobytes() + np.array(index, INDEX).tobytes() + b"".join(b[3] for b in blocks)
 
 
 def read_head(payload: bytes) -> tuple[int, np.ndarray, np.ndarray, int]:
@@ -109,31 +170,90 @@ def read_ids(payload: bytes, begin: int = 0, end: int | None = None) -> np.ndarr
     if begin >= end:
         return np.empty(0, np.uint32)
     first, last = begin // BLOCK, (end - 1) // BLOCK
-    ends = np.append(index["offset"][1:].astype(np.int64), len(payload) - base)
-    parts = [decode_block(payload[base + int(index["offset"][b]):base + int(ends[b])], int(index["low"][b]), int(index["width"][b]),
-                          int(index["patches"][b]), min(BLOCK, n - b * BLOCK)) for b in range(first, last + 1)]
-    return np.concatenate(parts)[begin - first * BLOCK:end - first * BLOCK]
+    ends = np.append(index["offset"][1:].astype(np.int64), len(payload) - base) + base
+    starts = index["offset"].astype(np.int64) + base
+    out = np.empty((last - first + 1, BLOCK), np.uint32)
+    full = np.arange(first, min(last + 1, n // BLOCK))
+    raw = np.frombuffer(payload, np.uint8)
+    for w in np.unique(index["width"][full]):
+        at = full[index["width"][full] == w].astype(np.int64)
+        size = BLOCK * int(w) // 8
+        values = unpack_blocks(raw[starts[at][:, None] + np.arange(size)], int(w)) if w else np.zeros((len(at), BLOCK), np.uint32)
+        out[at - first] = values + index["low"][at][:, None]
+    for b in full[index["patches"][full] > 0]:
+        k, at = int(index["patches"][b]), int(starts[b]) + BLOCK * int(index["width"][b]) // 8
+        out[b - first, np.frombuffer(payload, "<u2", k, at)] = np.frombuffer(payload, "<u4", k, at + 2 * k)
+    if last >= n // BLOCK:
+        tail = n - last * BLOCK
+        out[last - first, :tail] = decode_block(payload[starts[last]:ends[last]], int(index["low"][last]), int(index["width"][last]), int(index["patches"][last]), tail)
+    return out.ravel()[begin - first * BLOCK:end - first * BLOCK]
 
 
 class WordEncoder:
-    """Ids of a text as little-endian u32 bytes. The tokenizer drops white
-    space and never looks across it, so texts are cut at ASCII blanks and each
-    distinct word is encoded by the library once (bounded cache)."""
+    """Ids of texts. The tokenizer drops white space and never looks across it,
+    so texts are cut at ASCII blanks, each distinct word is encoded by the
+    library once (bounded cache of two generations), and the ids are gathered
+    by word number.
 
-    def __init__(self, path: str):
-        self.encode = Tokenizer.from_file(path).encode_batch
-        self.words: dict[bytes, bytes] = {}
+    Words of plain Latin letters need no normalising but lower case; they are
+    split by the tokenizer file's own pattern here and only merged by the
+    library's model, which is several times faster than its whole chain."""
 
-    def texts(self, found: list[bytes]) -> list[bytes]:
-        split = [t.split() for t in found]
+    def __init__(self, path: str):
+        with open(path, encoding="utf-8") as f:
+            spec = json.load(f)
+        tokenizer = Tokenizer.from_file(path)
+        self.encode, self.merge = tokenizer.encode_batch_fast, tokenizer.model.tokenize
+        known = [spec.get("normalizer"), spec.get("pre_tokenizer")]
+        self.plain = re.compile(r"[!-~À-ÿ]+").fullmatch if known == CHAIN else lambda w: None
+        stand_in = {b: c for c, b in byte_alphabet().items()}
+        self.bytes = str.maketrans({chr(b): stand_in[b] for b in range(256)})
+        self.split = regex.compile(SPLIT).findall
+        self.pieces: dict[str, bytes] = {}
+        self.words: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+
+    def piece(self, piece: str) -> bytes:
+        if (ids := self.pieces.get(piece)) is None:
+            letters = piece if piece.isascii() else piece.encode().decode("latin-1").translate(self.bytes)
+            ids = self.pieces[piece] = np.array([t.id for t in self.merge(letters)], "<u4").tobytes()
+        return ids
+
+    def ids_of(self, words: list[str]) -> list[bytes]:
         if len(self.words) > CACHE:
-            self.words.clear()
-        new = list(set().union(*split) - self.words.keys())
-        for i in range(0, len(new), 4096):
-            part = new[i:i + 4096]
-            for w, e in zip(part, self.encode([w.decode("utf-8", "replace") for w in part], add_special_tokens=False)):
-                self.words[w] = np.array(e.ids, "<u4").tobytes()
-        return [b"".join(map(self.words.__getitem__, words)) for words in split]
+            self.words, self.older = {}, self.words
+        if len(self.pieces) > CACHE:
+            self.pieces.clear()
+        found = list(map(self.words.get, words))
+        rest = []
+        for i, ids in enumerate(found):
+            if ids is None:
+                w = words[i]
+                if (ids := self.older.get(w)) is None:
+                    if not self.plain(w) or "<|" in w:
+                        rest.append(i)
+                        continue
+                    ids = b"".join(map(self.piece, self.split(w.lower())))
+                found[i] = self.words[w] = ids
+        for i in range(0, len(rest), 4096):
+            part = rest[i:i + 4096]
+            for j, e in zip(part, self.encode([words[j] for j in part], add_special_tokens=False)):
+                found[j] = self.words[words[j]] = np.array(e.ids, "<u4").tobytes()
+        return found
+
+    def encode_batch(self, batch: pa.RecordBatch, end_id: int) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of a batch of texts, each text followed by ``end_id``, and
+        the number of ids of each text."""
+        words, numbers, offsets = split_words(batch)
+        ids = self.ids_of(words)
+        size = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        begin = np.cumsum(size) - size
+        flat = np.frombuffer(b"".join(ids), "<u4")
+        own = size[numbers]
+        ends = np.concatenate([[0], np.cumsum(own)])
+        gathered = flat[np.repeat(begin[numbers] - ends[:-1], own) + np.arange(ends[-1])]
+        at = ends[offsets]
+        return np.insert(gathered, at[1:], end_id), np.diff(at) + 1
 
 
 _ENCODERS: dict[str, WordEncoder] = {}
@@ -152,13 +272,12 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int =
     doc_ids, payload). Overwrites what is there."""
     d = with_text(docs).repartitionByRange(F.col("doc_id").asc_nulls_first(), F.col("text")).sortWithinPartitions(
         F.col("doc_id").asc_nulls_first(), "text")
-    d = d.select(F.spark_partition_id().alias("file_no"), "doc_id", F.col("text").cast("binary").alias("text"))
+    d = d.select(F.spark_partition_id().alias("file_no"), "doc_id", "text")
     kind = docs.schema["doc_id"].dataType.simpleString()
     id_type = d.select("doc_id").schema
     from pyspark.sql.pandas.types import to_arrow_type
 
     id_arrow = to_arrow_type(id_type[0].dataType)
-    end = np.array([end_id], "<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc, first = encoder(tokenizer), 0
@@ -166,25 +285,24 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int =
 
         def segment() -> pa.RecordBatch:
             nonlocal ids, lengths, names, held, first
-            flat = np.frombuffer(b"".join(ids), "<u4")
             out = pa.RecordBatch.from_arrays(
                 [pa.array([file_no], pa.int32()), pa.array([first], pa.int64()), pa.array([held], pa.int64()),
-                 pa.array([names], pa.list_(id_arrow)), pa.array([encode_segment(flat, lengths, percentile)], pa.binary())],
+                 pa.array([names], pa.list_(id_arrow)), pa.array([encode_segment(np.concatenate(ids), lengths, percentile)], pa.binary())],
                 names=["file_no", "first", "n_ids", "doc_ids", "payload"])
             first, ids, lengths, names, held = first + held, [], [], [], 0
             return out
 
         for batch in batches:
-            for i in range(0, batch.num_rows, 256):
-                part = batch.slice(i, 256)
+            for i in range(0, batch.num_rows, 1024):
+                part = batch.slice(i, 1024)
                 file_no = part.column("file_no")[0].as_py()
-                for name, data in zip(part.column("doc_id").to_pylist(), enc.texts(blobs(part))):
-                    ids.append(data + end)
-                    lengths.append(len(data) // 4 + 1)
-                    names.append(name)
-                    held += lengths[-1]
-                    if held >= segment_ids:
-                        yield segment()
+                flat, sizes = enc.encode_batch(part, end_id)
+                ids.append(flat)
+                lengths += sizes.tolist()
+                names += part.column("doc_id").to_pylist()
+                held += len(flat)
+                if held >= segment_ids:
+                    yield segment()
         if names:
             yield segment()
 
@@ -200,7 +318,8 @@ def read_token_files(spark, path: str) -> DataFrame:
     totals = files.groupBy("file_no").agg(F.sum("n_ids").alias("n"))
     before = F.sum("n").over(W.orderBy("file_no").rowsBetween(W.unboundedPreceding, -1))
     totals = totals.select("file_no", F.coalesce(before, F.lit(0)).alias("before"))  # one row per file
-    placed = files.join(totals, "file_no").select((F.col("before") + F.col("first")).alias("start"), "doc_ids", "payload")
+    # Broadcast: a row per file, of which there are as many as write tasks.
+    placed = files.join(F.broadcast(totals), "file_no").select((F.col("before") + F.col("first")).alias("start"), "doc_ids", "payload")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
