@@ -78,7 +78,9 @@ def find_windows(docs: DataFrame, benchmark: DataFrame, window: int = 10, shingl
         empty = windows.limit(0).select(F.lit(0).cast("long").alias("k1"), F.lit(0).cast("long").alias("k2"),
                                         F.lit(0).alias("start"), "len", "window")
         return empty, windows
-    hits = staged(document_hits(docs, parts.select("size", "shingle").distinct(), sizes).distinct(), "hits")
+    # Staged, so that its real size decides how it is joined.
+    wanted = staged(parts.select("size", "shingle").distinct(), "wanted")
+    hits = staged(document_hits(docs, wanted, sizes).distinct(), "hits")
     # Rarity: occurrences in the documents; the necessary prefix is the rarest shingle.
     seen = hits.groupBy("shingle").agg(F.count(F.lit(1)).alias("seen"))
     rank = F.struct(F.coalesce("seen", F.lit(0)).alias("seen"), F.col("shingle"), F.col("at"))
