@@ -73,11 +73,47 @@ def _parse_rfc822(c: Column, naive_tz: str = "UTC") -> Column:
     return F.when(body.rlike(_RFC_SHAPE), parsed)
 
 
+# Date, clock time (12 or 24 hours) and an optional zone.
+_CLOCK = r"^(.*?\d),?\s+(\d{1,2}):(\d{2})(?::(\d{2}))?\s*([AaPp][Mm])?\s*([A-Za-z]{1,5}|[+-]\d{2}:?\d{2})?$"
+# Shapes of the date alone (numeric ones month first unless the year leads).
+_DATES = (
+    *_NAMED,
+    (r"^\d{1,2}/\d{1,2}/\d{4}$", ("M/d/yyyy",)),
+    (r"^\d{4}/\d{1,2}/\d{1,2}$", ("yyyy/M/d",)),
+    (r"^\d{4}-\d{2}-\d{2}$", ("yyyy-MM-dd",)),
+    (r"^\d{1,2} [A-Za-z]{3} \d{2}$", ("d MMM yy",)),
+)
+
+
+def _date_only(c: Column) -> Column:
+    return F.coalesce(*[F.when(c.rlike(shape), F.coalesce(*[_try(c, f) for f in fmts])) for shape, fmts in _DATES])
+
+
+def _with_clock(c: Column, naive_tz: str) -> Column:
+    """A date followed by a clock time: AM/PM, offsets with or without a colon,
+    zone names dropped (the rest is wall-clock time in ``naive_tz``)."""
+    part = lambda k: F.regexp_extract(c, _CLOCK, k)
+    number = lambda k: F.coalesce(part(k).try_cast("int"), F.lit(0))
+    day = _date_only(F.regexp_replace(part(1), r"^[A-Za-z]{3,9},\s+", ""))
+    half, hour = F.lower(part(5)), number(2)
+    hour = F.when(half == "pm", hour % 12 + 12).when(half == "am", hour % 12).otherwise(hour)
+    ok = (number(2) < 24) & (number(3) < 60) & (number(4) < 60) & ((half == "") | number(2).between(1, 12))
+    zone = F.regexp_replace(part(6), ":", "")
+    numeric = zone.rlike(r"^[+-]\d{4}$")
+    minutes = F.when(numeric, F.substring(zone, 2, 2).try_cast("int") * 60 + F.substring(zone, 4, 2).try_cast("int")).otherwise(0)
+    minutes = F.when(zone.startswith("-"), -minutes).otherwise(minutes)
+    local = F.timestamp_seconds(F.unix_timestamp(day) + hour * 3600 + number(3) * 60 + number(4))
+    utc = F.timestamp_seconds(F.unix_timestamp(local) - minutes * 60)
+    return F.when(c.rlike(_CLOCK) & ok, F.when(numeric, utc).otherwise(_naive(local, naive_tz)))
+
+
 def parse_lenient(c: Column | str, naive_tz: str = "UTC") -> Column:
     """Lenient date text -> UTC timestamp or null (registry and RSS dates).
 
     Accepted: ISO date / date-time, ``yyyy-MM`` and ``yyyy`` (first day),
-    month-name dates and RFC 822 with numeric offset, zone name or none.
+    month-name dates, slash dates (month first unless the year leads), RFC 822
+    with numeric offset, zone name or none, and any of these dates followed by
+    a 12- or 24-hour clock time.
     Text without a numeric offset is wall-clock time in ``naive_tz``.
     """
     c = F.trim(_c(c))
@@ -86,6 +122,8 @@ def parse_lenient(c: Column | str, naive_tz: str = "UTC") -> Column:
         F.when(c.rlike(r"^\d{4}-\d{2}$"), _naive(_try(c, "yyyy-MM"), naive_tz)),
         F.when(c.rlike(r"^\d{4}$"), _naive(_try(c, "yyyy"), naive_tz)),
         *[F.when(c.rlike(shape), _naive(F.coalesce(*[_try(c, f) for f in fmts]), naive_tz)) for shape, fmts in _NAMED],
+        F.when(c.contains("/") | c.rlike(r"^\d{1,2} [A-Za-z]{3} \d{2}$"), _naive(_date_only(c), naive_tz)),
+        _with_clock(c, naive_tz),
         _parse_rfc822(c, naive_tz),
     )
 

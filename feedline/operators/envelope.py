@@ -247,11 +247,16 @@ def stamp_ingested_at(df: DataFrame, run_ts: Column) -> DataFrame:
     return df.withColumn("ingested_at", run_ts)
 
 
+def _list_or_text(c: Column) -> Column:
+    """A value kept as text that is a JSON list goes out as that list."""
+    return F.when(c.startswith("["), F.coalesce(F.try_parse_json(c), c.cast("variant"))).otherwise(c.cast("variant"))
+
+
 def _keys_json(col: Column, keys_by_source: dict[str, list[str]], source: Column) -> Column:
     """JSON of a struct restricted to the source's own keys (others: non-null fields)."""
     branches = None
     for src, keys in keys_by_source.items():
-        parts = [col[k].alias(k) for k in keys]
+        parts = [(_list_or_text(col[k]) if k == "phase" else col[k]).alias(k) for k in keys]
         js = F.to_json(F.struct(*parts), {"ignoreNullFields": "false"})
         branches = (F.when(source == src, js) if branches is None else branches.when(source == src, js))
     fallback = F.to_json(col)

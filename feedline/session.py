@@ -1,17 +1,11 @@
-"""Session helpers: time zone, scratch locations and size-checked broadcast."""
+"""Session helpers: settings every operator relies on, scratch locations, staging."""
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-# Rows a side may have to be broadcast without a further check.
-DEFAULT_BROADCAST_ROWS = 1_000_000
-
 
 def build_session(master: str | None = None, app: str = "feedline", shuffle_partitions: int | None = None) -> SparkSession:
     """A session configured the way the library expects (UTC, AQE on, no UI)."""
@@ -36,9 +30,11 @@ def prepare(spark: SparkSession) -> SparkSession:
     """Pin the session settings every operator relies on.
 
     Timestamps are instants rendered and parsed in UTC (naive text is read as
-    UTC), so the session time zone must be UTC.
+    UTC), so the session time zone must be UTC. A JSON object that repeats a
+    key keeps the last value instead of making the whole page unreadable.
     """
     spark.conf.set("spark.sql.session.timeZone", "UTC")
+    spark.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
     return spark
 
 
@@ -93,26 +89,3 @@ def stage(df: DataFrame, path: str, fmt: str = "parquet") -> DataFrame:
     spark = df.sparkSession
     df.write.mode("overwrite").format(fmt).save(path)
     return spark.read.format(fmt).load(path)
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast hint only when the frame is proven to hold at most ``max_rows``.
-
-    The check stops after ``max_rows + 1`` rows; a larger side is returned
-    untouched so the planner (and AQE at run time) picks a shuffled join.
-    """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
-def is_local(spark: SparkSession) -> bool:
-    sc = _context(spark)
-    master = sc.master if sc is not None else spark.conf.get("spark.master", "")
-    return master.startswith("local")
-
-
-def env_int(name: str, default: int) -> int:
-    try:
-        return int(os.environ.get(name, default))
-    except ValueError:
-        return default
