@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from feedline.llm.common import staged, with_text
+from feedline.llm.common import row_key, staged, with_text
 
 # Kinds in order, with the pattern as stated by the contract. Access and hex
 # runs are maximal, so their least length may stand in the pattern.
@@ -99,7 +99,9 @@ def log_ratio(random: DataFrame, ordinary: DataFrame, smooth: float = 0.5) -> Da
 def identifiers(docs: DataFrame, sample_docs: int) -> DataFrame:
     """ASCII runs of at most ``sample_docs`` documents, none of a base kind."""
     d = with_text(docs)
-    some = d.select(F.xxhash64("doc_id", "text").alias("h"), "text").orderBy("h").limit(sample_docs)
+    d = d.select("text", *row_key(d["doc_id"], d["text"]))
+    lowest = d.select("k1", "k2").distinct().orderBy("k1", "k2").limit(sample_docs)  # two numbers a row, no texts
+    some = d.join(F.broadcast(lowest), ["k1", "k2"]).select("text")
     plain = F.regexp_replace(F.regexp_replace("text", ASSIGN, " "), f"{ACCESS}|{HEX}|{TOKEN}", " ")
     return some.select(F.explode(F.regexp_extract_all(plain, F.lit(IDENTIFIER), F.lit(0))).alias("s"))
 
