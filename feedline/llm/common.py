@@ -45,10 +45,19 @@ def row_key(doc_id: Column, text: Column) -> list[Column]:
     return [F.xxhash64(F.lit(1), doc_id, text).alias("k1"), F.xxhash64(F.lit(2), text, doc_id).alias("k2")]
 
 
+def small_batches(df: DataFrame) -> DataFrame:
+    """Arrow batches of at most 2,048 rows from here on, so that batches of
+    long texts stay within a worker's memory."""
+    conf = df.sparkSession.conf
+    if int(conf.get("spark.sql.execution.arrow.maxRecordsPerBatch", "10000")) > 2048:
+        conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2048")
+    return df
+
+
 def with_text(docs: DataFrame) -> DataFrame:
     """Only what the operators read: doc_id and text (null as ''), so extra
     columns of any name cannot clash."""
-    return docs.select(docs["doc_id"].alias("doc_id"), text_of(docs).alias("text"))
+    return small_batches(docs).select(docs["doc_id"].alias("doc_id"), text_of(docs).alias("text"))
 
 
 def texts(batch: pa.RecordBatch, name: str = "text") -> list[str]:
@@ -88,7 +97,7 @@ class WordHashes(dict):
     """Stable 64-bit hashes of words, remembered up to a bound."""
 
     def __missing__(self, word: str) -> int:
-        if len(self) > 500_000:
+        if len(self) > 200_000:
             self.clear()
         h = self[word] = xxhash.xxh64_intdigest(word.encode("utf-8", "surrogatepass"))
         return h

@@ -25,7 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from feedline.llm.common import texts, with_text, word_hashes
+from feedline.llm.common import small_batches, texts, with_text, word_hashes
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 SYMBOLS = "#*$%&|<>"
@@ -170,4 +170,4 @@ def keep_good(docs: DataFrame) -> DataFrame:
                 kept = judge([t or "" for t in texts(part)])["kept"]
                 yield part.filter(pa.array(kept, pa.bool_()))
 
-    return docs.mapInArrow(run, schema)
+    return small_batches(docs).mapInArrow(run, schema)

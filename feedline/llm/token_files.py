@@ -48,7 +48,7 @@ from feedline.llm.token_counts import byte_alphabet
 MAGIC = b"PFR1"
 BLOCK = 1024
 INDEX = np.dtype([("offset", "<u4"), ("low", "<u4"), ("width", "u1"), ("patches", "<u2")])
-CACHE = 400_000
+CACHE = 250_000
 # Fixed by the tokenizer file: how it normalises and splits.
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 CHAIN = [
