@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from feedline.llm.common import texts, with_text
+from feedline.llm.common import staged, texts, with_text
 
 # Look-alikes (fixed by the scripts' shapes), then digits and signs used as letters.
 LOOKALIKES = dict(zip("аеорсхуіјѕһԁոѵԛԝгкмтвнАЕОРСХУІЈЅНВМТКαορνικτυχβηεωο", "aeopcxyijshdnvqwrkmtbhaeopcxyijshbmtkaopviktuxbnewo"))
@@ -168,7 +168,8 @@ def train(docs: DataFrame, labels: DataFrame, max_rows: int = 20_000, min_docs:
     """Fit on at most ``max_rows`` labelled rows outside the held-out fold."""
     known = labels.where("toxic IS NOT NULL").groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
     known = known.where(crc_fold(F.col("doc_id")) != 1).orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_rows)
-    sample = with_text(docs).join(known, "doc_id").select("text", "toxic")
+    # At most max_rows rows of two numbers, so they are broadcast; the sample is staged once.
+    sample = staged(with_text(docs).join(F.broadcast(known), "doc_id").select("text", "toxic"), "toxic-sample")
 
     def count(batches: Iterator[pa.RecordBatch], only: int) -> Iterator[pa.RecordBatch]:
         seen: Counter = Counter()

@@ -262,7 +262,7 @@ def test_random_tokens_are_told_from_identifiers(spark):
     rng = np.random.default_rng(5)
     letters = list("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789")
     word = lambda: "".join(rng.choice(letters, 32))
-    rows = [(i, f"some_plain_identifier_name and another_ordinary_identifier token={word()}") for i in range(200)]
+    rows = [(i, f"some_name plain_identifier another_value other_name and token={word()}") for i in range(200)]
     rows.append((999, f"see {word()} there"))
     rows.append((998, "see another_plain_identifier_name there"))
     got = {r["doc_id"]: r["spans"] for r in secret_scan.secrets(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
@@ -275,7 +275,7 @@ def test_toxicity_learns_a_folded_lexicon(spark):
         toxic = i % 4 == 0
         rows.append((i, f"w{i} plain words go here {'stupid' if toxic else 'clever'} end"))
         labels.append((i, int(toxic)))
-    rows += [(1000, "such a STуPID thing"), (1001, "such a 5tup1d thing"), (1002, "such a nice thing"), (1003, None), (1004, "")]
+    rows += [(1000, "such a ѕTUрID thing"), (1001, "such a 5tup1d thing"), (1002, "such a nice thing"), (1003, None), (1004, "")]
     docs, lab = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, toxic int")
     lexicon = toxicity.train(docs, lab)
     got = {r["doc_id"]: r for r in toxicity.score(docs, lexicon).collect()}
