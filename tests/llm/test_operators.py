@@ -103,6 +103,13 @@ def test_near_duplicates_equal_brute_force(docs):
     assert kept.columns == docs.columns and kept.where("text = '" + BODY + "'").count() == 1
 
 
+def test_every_row_of_a_large_batch_is_sketched_once(spark):
+    many = spark.range(3000).select(F.col("id").alias("doc_id"), F.concat(F.lit("text number "), F.col("id")).alias("text")).coalesce(1)
+    got = near_dedup.near_duplicates(many).collect()
+    assert sorted(r["doc_id"] for r in got) == list(range(3000)) and all(r["representative"] for r in got)
+    assert near_dedup.keep_representatives(many).count() == 3000
+
+
 def test_large_family_of_edited_copies_is_settled_exactly(spark):
     rng = np.random.default_rng(3)
     base = [f"b{i}" for i in range(80)]
