@@ -270,7 +270,9 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int =
     """Encode, append ``end_id`` to each document, and write the segments to
     ``path`` (Parquet rows: file_no, first (ids of the file before it), n_ids,
     doc_ids, payload). Overwrites what is there."""
-    d = with_text(docs).repartitionByRange(F.col("doc_id").asc_nulls_first(), F.col("text")).sortWithinPartitions(
+    # Spark samples the range keys on the driver, so they hold the beginning of
+    # a text only; it splits rows that share a doc_id, whole texts order them.
+    d = with_text(docs).repartitionByRange(F.col("doc_id").asc_nulls_first(), F.substring("text", 1, 64)).sortWithinPartitions(
         F.col("doc_id").asc_nulls_first(), "text")
     d = d.select(F.spark_partition_id().alias("file_no"), "doc_id", "text")
     kind = docs.schema["doc_id"].dataType.simpleString()
