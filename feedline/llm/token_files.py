@@ -48,7 +48,7 @@ from feedline.llm.token_counts import byte_alphabet
 MAGIC = b"PFR1"
 BLOCK = 1024
 INDEX = np.dtype([("offset", "<u4"), ("low", "<u4"), ("width", "u1"), ("patches", "<u2")])
-CACHE = 250_000
+CACHE = 320_000
 # Fixed by the tokenizer file: how it normalises and splits.
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 CHAIN = [
@@ -189,6 +189,11 @@ def read_ids(payload: bytes, begin: int = 0, end: int | None = None) -> np.ndarr
     return out.ravel()[begin - first * BLOCK:end - first * BLOCK]
 
 
+def u4_bytes(ids: list[int]) -> bytes:
+    """Few ids as little-endian u32."""
+    return struct.pack(f"<{len(ids)}I", *ids)
+
+
 class WordEncoder:
     """Ids of texts. The tokenizer drops white space and never looks across it,
     so texts are cut at ASCII blanks, each distinct word is encoded by the
@@ -216,7 +221,7 @@ class WordEncoder:
     def piece(self, piece: str) -> bytes:
         if (ids := self.pieces.get(piece)) is None:
             letters = piece if piece.isascii() else piece.encode().decode("latin-1").translate(self.bytes)
-            ids = self.pieces[piece] = np.array([t.id for t in self.merge(letters)], "<u4").tobytes()
+            ids = self.pieces[piece] = u4_bytes([t.id for t in self.merge(letters)])
         return ids
 
     def ids_of(self, words: list[str]) -> list[bytes]:
@@ -233,12 +238,12 @@ class WordEncoder:
                     if not self.plain(w) or "<|" in w:
                         rest.append(i)
                         continue
-                    ids = b"".join(map(self.piece, self.split(w.lower())))
+                    ids = self.piece(w.lower()) if w.isalpha() and w.isascii() else b"".join(map(self.piece, self.split(w.lower())))
                 found[i] = self.words[w] = ids
         for i in range(0, len(rest), 4096):
             part = rest[i:i + 4096]
             for j, e in zip(part, self.encode([words[j] for j in part], add_special_tokens=False)):
-                found[j] = self.words[words[j]] = np.array(e.ids, "<u4").tobytes()
+                found[j] = self.words[words[j]] = u4_bytes(e.ids)
         return found
 
     def encode_batch(self, batch: pa.RecordBatch, end_id: int) -> tuple[np.ndarray, np.ndarray]:
