@@ -120,13 +120,11 @@ def _get(v: Column, path: str, typ: str = "string") -> Column:
 
 
 def _truthy_variant(v: Column) -> Column:
-    """Python truthiness of a JSON value (null, '', [], {}, 0, false are falsy)."""
+    """Whether a JSON value says something: null, '', [], {}, 0 and false do not,
+    the texts '0' and 'false' do."""
     text = v.cast("string")
-    return (
-        v.isNotNull()
-        & ~F.is_variant_null(v)
-        & ~text.isin("", "[]", "{}", "0", "0.0", "false")
-    )
+    blank = F.when(F.schema_of_variant(v) == "STRING", text == "").otherwise(text.isin("[]", "{}", "0", "0.0", "false"))
+    return v.isNotNull() & ~F.is_variant_null(v) & ~F.coalesce(blank, F.lit(True))
 
 
 def _no_ts() -> Column:

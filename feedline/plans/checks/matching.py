@@ -6,8 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feedline.plans.checks.base import (
+    LINE_DRUG_NAME,
     check,
     sql_company,
+    sql_drug,
     sql_list,
     sql_n1,
     table,
@@ -20,11 +22,12 @@ def documents_as_trials(spark: SparkSession, sf_dir: str) -> DataFrame:
     from feedline.functions.text import normalize_company
 
     d = table(spark, sf_dir, "documents")
+    lines = F.split("text", "\n")
     return d.select(
         "doc_id",
         F.substring_index("text", "\n", 1).alias("title"),
         F.col("source").alias("lead_sponsor"),
-        F.slice(F.split("text", "\n"), 2, 1 << 30).alias("conditions"),
+        F.slice(lines, F.lit(2), F.size(lines)).alias("conditions"),
         normalize_company("source").alias("canonical_lead_sponsor"),
     )
 
@@ -120,6 +123,35 @@ def company_match_many(spark: SparkSession, sf_dir: str) -> DataFrame:
     return targets.join(per_pattern, "pattern_id").select(F.col("target_id").alias("c_custkey"), "n_docs")
 
 
+@check(
+    "entity_links",
+    f"""
+WITH li AS (SELECT l.l_orderkey, l.l_linenumber, l.l_partkey, {LINE_DRUG_NAME} AS name
+            FROM lineitem l JOIN part p ON p.p_partkey = l.l_partkey),
+d AS (SELECT DISTINCT l_orderkey, {sql_drug(sql_n1('name'))} AS drug FROM li
+      WHERE l_partkey % 17 <> 0 AND l_linenumber % 6 IN (0, 2, 3, 4)),
+p AS (SELECT {sql_drug(sql_n1('p_name'))} AS drug, count(*) AS n_parts, max(p_size) AS max_size FROM part GROUP BY 1)
+SELECT o_orderkey, d.drug AS entity, n_parts, CAST(max_size AS BIGINT) AS max_size
+FROM orders LEFT JOIN d ON l_orderkey = o_orderkey AND d.drug IS NOT NULL LEFT JOIN p ON p.drug = d.drug
+""",
+)
+def entity_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J6 row by row: every order (a trial) with each of its canonical drugs and
+    what is known of the parts of that name; orders without drugs stay."""
+    from feedline.functions.text import normalize_drug
+    from feedline.operators.drugs import canonical_drugs
+    from feedline.operators.match import entity_join
+    from feedline.plans.renders import interventions
+
+    iv = interventions(spark, sf_dir)
+    orders = table(spark, sf_dir, "orders").select("o_orderkey")
+    arr = F.try_variant_get(F.try_parse_json("interventions"), "$", "array<variant>")
+    trials = orders.join(iv, orders.o_orderkey == iv.l_orderkey, "left").select("o_orderkey", canonical_drugs(arr).alias("drugs"))
+    parts = table(spark, sf_dir, "part").select(normalize_drug("p_name").alias("drug"), "p_size")
+    j = entity_join(trials, parts, "drugs", "drug", [F.count(F.lit(1)).alias("n_parts"), F.max("p_size").alias("max_size")])
+    return j.select("o_orderkey", F.col("_entity").alias("entity"), "n_parts", F.col("max_size").cast("bigint").alias("max_size"))
+
+
 @check(
     "entity_join",
     f"""
