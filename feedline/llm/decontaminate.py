@@ -86,6 +86,9 @@ def find_windows(docs: DataFrame, benchmark: DataFrame, window: int = 10, shingl
     rank = F.struct(F.coalesce("seen", F.lit(0)).alias("seen"), F.col("shingle"), F.col("at"))
     prefix = (parts.join(seen, "shingle", "left").groupBy("window", "len", "size").agg(F.min(rank).alias("r"))
               .where("r.seen > 0").select("window", "len", "size", "r.shingle", F.col("r.at").alias("offset")))
+    # Staged too: no more rows than windows, so the documents' hits need not be
+    # dealt by shingle (a common passage would fill one task) to meet them.
+    prefix = staged(prefix, "prefixes")
     cand = hits.join(prefix, "shingle").withColumn("start", F.col("pos") - F.col("offset"))
     cand = cand.where("start >= 0 AND start + len <= n_words").select("k1", "k2", "start", "window", "len")
     # The shingles at 0, size, 2 size, ... and at the end cover every word of the window.
