@@ -18,7 +18,10 @@ larger bands every node is compared with the band's most central node only
 linear work. What that may leave apart is settled exactly by a prefix filter
 over the nodes of large bands: shingles ordered by rarity, necessary prefixes,
 length and positional bounds; only nodes of different components meet, and
-heavily edited members have prefixes that no other node holds.
+heavily edited members have prefixes that no other node holds. The filter holds
+for either measure: plain Jaccard is bounded by the number of shingles from a
+shared one on, probability Jaccard by their share of the text's weight (with
+shares P and Q in common it is at most PQ / (P + Q - PQ)).
 
 Scale: texts move once, and only those of candidate nodes; the sketch is 32
 band keys a document. Components are computed by label propagation with
@@ -242,37 +245,50 @@ def candidate_pairs(reps: DataFrame, small: int) -> tuple[DataFrame, DataFrame]:
 def residual_pairs(hot: DataFrame, sets: DataFrame, roots: DataFrame, threshold: float) -> DataFrame:
     """Candidate pairs between different components among the hot nodes, by an
     exact prefix filter: only prefixes of rare shingles are joined, under length
-    and positional bounds."""
+    and positional bounds on the plain Jaccard or, where a shingle repeats,
+    under positional bounds on the probability Jaccard."""
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for i in range(0, batch.num_rows, 256):
-                part = batch.slice(i, 256)
-                grams = [np.frombuffer(g.as_buffer(), "<i8") for g in part.column("grams")]
-                sizes = [len(g) for g in grams]
-                at = pa.array(np.repeat(np.arange(part.num_rows), sizes))
-                yield pa.RecordBatch.from_arrays([part.column("fp").take(at), part.column("n").take(at), pa.array(np.concatenate(grams), pa.int64())],
-                                                 names=["fp", "n", "gram"])
-
-    rows = staged(sets.join(hot, "fp", "left_semi").select("fp", "n", "grams").mapInArrow(spread, "fp binary, n long, gram long"), "hot-shingles")
+            numbers = batch.column("n").to_numpy()
+            for i, end in chunks(list(range(batch.num_rows)), numbers.tolist(), 200_000):
+                part = batch.slice(i, end - i)
+                at = pa.array(np.repeat(np.arange(part.num_rows, dtype=np.int32), numbers[i:end]))
+                weights = [1 + np.log(np.frombuffer(c.as_buffer(), "<u4")) for c in part.column("counts")]
+                repeats = pa.array([bool(w.max() > 1) for w in weights], pa.bool_())
+                grams = np.concatenate([np.frombuffer(g.as_buffer(), "<i8") for g in part.column("grams")])
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("fp").take(at), part.column("n").take(at), repeats.take(at),
+                     pa.array(np.concatenate([w / w.sum() for w in weights])), pa.array(grams)], names=["fp", "n", "repeats", "share", "gram"])
+
+    rows = sets.join(hot, "fp", "left_semi").select("fp", "n", "grams", "counts")
+    rows = staged(rows.mapInArrow(spread, "fp binary, n long, repeats boolean, share double, gram long"), "hot-shingles")
     shared = rows.groupBy("gram").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
     rows = rows.join(shared, "gram")
     # A node's unshared shingles are its rarest: they fill the first positions.
     rarest = W.partitionBy("fp").orderBy("df", "gram")
     rows = rows.withColumn("p", F.row_number().over(rarest) + F.col("n") - F.count(F.lit(1)).over(W.partitionBy("fp")))
+    # What a node can share by weight from here on.
+    before = F.sum("share").over(rarest.rowsBetween(W.unboundedPreceding, W.currentRow)) - F.col("share")
+    rows = rows.withColumn("s", F.sum("share").over(W.partitionBy("fp")) - before)
     least = F.ceil(F.col("n") * F.lit(threshold) - F.lit(1e-9))
-    prefix = rows.where(F.col("p") <= F.col("n") - least + 1).select("gram", "fp", "n", "p")
-    prefix = prefix.join(roots, prefix["fp"] == roots["node"], "left").select("gram", "fp", "n", "p", F.coalesce("root", "fp").alias("root"))
+    # A node without repeats may meet one that has some, and has one prefix by either measure.
+    own = ["gram", "fp", "n", "p", "s", "repeats"]
+    prefix = rows.where((F.col("p") <= F.col("n") - least + 1) | (F.col("s") >= threshold - 1e-9)).select(*own)
+    prefix = prefix.join(roots, prefix["fp"] == roots["node"], "left").select(*own, F.coalesce("root", "fp").alias("root"))
     prefix = staged(prefix, "prefixes")
     groups = prefix.groupBy("gram", "root").agg(F.count(F.lit(1)).alias("c"))
     main = groups.groupBy("gram").agg(F.max(F.struct("c", "root")).alias("top"), F.count(F.lit(1)).alias("k")).where("k > 1")
     main = main.select("gram", F.col("top.root").alias("main"))
     mixed = prefix.join(main, "gram")
-    x = mixed.where("root <> main").select("gram", *[F.col(c).alias(f"{c}1") for c in ("fp", "n", "p", "root")])
-    y = mixed.select("gram", *[F.col(c).alias(f"{c}2") for c in ("fp", "n", "p", "root")])
+    x = mixed.where("root <> main").select("gram", *[F.col(c).alias(f"{c}1") for c in [*own[1:], "root"]])
+    y = mixed.select("gram", *[F.col(c).alias(f"{c}2") for c in [*own[1:], "root"]])
     t = threshold
-    fits = ((F.col("root1") != F.col("root2")) & (F.least("n1", "n2") >= F.greatest("n1", "n2") * t - 1e-9)
-            & (1 + F.least(F.col("n1") - F.col("p1"), F.col("n2") - F.col("p2")) >= (F.col("n1") + F.col("n2")) * (t / (1 + t)) - 1e-9))
+    plain = ((F.least("n1", "n2") >= F.greatest("n1", "n2") * t - 1e-9)
+             & (1 + F.least(F.col("n1") - F.col("p1"), F.col("n2") - F.col("p2")) >= (F.col("n1") + F.col("n2")) * (t / (1 + t)) - 1e-9))
+    both = F.col("s1") * F.col("s2")
+    by_weight = (F.col("repeats1") | F.col("repeats2")) & (both >= (F.col("s1") + F.col("s2") - both) * t - 1e-9)
+    fits = (F.col("root1") != F.col("root2")) & (plain | by_weight)
     return x.join(y, (x["gram"] == y["gram"]) & fits).select(*ordered(F.col("fp1"), F.col("fp2"))).distinct()
 
 

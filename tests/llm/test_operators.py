@@ -138,6 +138,21 @@ def test_large_family_of_edited_copies_is_settled_exactly(spark):
     assert [got[i] for i in range(len(rows))] == want
 
 
+def test_family_with_repeated_passages_does_not_depend_on_band_size(spark):
+    # 100 shingles four times each and a tail: 1 and 2 (tails of 28) reach a
+    # probability Jaccard of 0.81 (plain 0.64), every other pair at most 0.78.
+    weight = 100 * (1 + np.log(4))
+    tails = {i: 28 if i in (1, 2) else 40 for i in range(200)}
+    assert weight / (weight + 28 + 28) >= 0.8 > weight / (weight + 28 + 40) and 100 / (100 + 56) < 0.8
+    passage = [f"p{i}" for i in range(100)]
+    rows = [(i, " ".join(passage * 4 + passage[:4] + [f"t{i}x{k}" for k in range(n)])) for i, n in tails.items()]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    want = {i: 1 if i == 2 else i for i in tails}
+    for small in (4, 1000):
+        got = {r["doc_id"]: r["class_id"] for r in near_dedup.near_duplicates(df, small=small).collect()}
+        assert got == want, small
+
+
 def test_probability_jaccard_is_estimated():
     rng = np.random.default_rng(1)
     a, b = rng.integers(1, 1 << 63, 300).astype(np.uint64), rng.integers(1, 1 << 63, 100).astype(np.uint64)
