@@ -120,7 +120,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = 10) -> Da
              .groupBy("k1", "k2").agg(F.sort_array(F.collect_list("item")).alias("items")))
     d = with_text(docs)
     d = d.select("doc_id", *row_key(d["doc_id"], d["text"]), F.size(words_of(d["text"])).cast("long").alias("n_words"))
-    out = d.join(spans.join(items, ["k1", "k2"]), ["k1", "k2"], "left")
+    out = d.join(spans.join(items, ["k1", "k2"], "left"), ["k1", "k2"], "left")
     none = F.array().cast("array<string>")
     return out.select("doc_id", "n_words", F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"), F.coalesce("items", none).alias("items"))
 

@@ -78,6 +78,16 @@ def test_decontamination_equals_brute_force(spark, docs):
     assert none == 0
 
 
+def test_item_without_id_alone_contaminates(spark):
+    docs = spark.createDataFrame([(1, "a b c d"), (2, "x y z"), (3, "c d x y z")], "doc_id long, text string")
+    bench = spark.createDataFrame([(None, "b c d"), (7, "x y z")], "item_id long, text string")
+    got = sorted(collected(decontaminate.contamination(docs, bench)))
+    assert got == [(1, 4, 3, []), (2, 3, 3, ["7"]), (3, 5, 3, ["7"])]
+    only = decontaminate.contamination(docs, bench.where("item_id IS NULL"))
+    assert sorted(collected(only)) == [(1, 4, 3, []), (2, 3, 0, []), (3, 5, 0, [])]
+    assert [r["doc_id"] for r in decontaminate.keep_clean(docs, bench).collect()] == []
+
+
 def test_near_duplicates_equal_brute_force(docs):
     def shingles(t):
         w = re.findall(r"[^\x20\x09-\x0D]+", t)
