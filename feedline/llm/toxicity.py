@@ -4,12 +4,14 @@ Texts are folded first: compatibility forms, look-alike letters of other
 scripts and digit substitutions become plain Latin letters, punctuation becomes
 a blank. The lexicon holds word beginnings (an entry matches at the start of a
 word) with weights; exception phrases mask the entries inside them. The summed
-weights, also per 100 words, go through a logistic curve.
+weights, also per 100 words, go through a logistic curve. Exception phrases are
+learned: up to three words around an entry that are clearly rarer in toxic rows
+than in others.
 
 Training uses a bounded sample of labelled rows (``max_rows``, lowest hash of
-doc_id first) of the training fold. Entry counts are summed in the tasks and in
-Spark; only the chosen entries (``max_entries``) and three numbers per sampled
-row reach the driver. Scoring is per document in Arrow batches without any
+doc_id first) of the training fold. Entry and phrase counts are summed in the
+tasks and in Spark; only the chosen entries (``max_entries``), the chosen
+phrases (``max_exceptions``) and three numbers per sampled row reach the driver. Scoring is per document in Arrow batches without any
 shuffle.
 
 Edge cases: null and empty texts score like texts without a match; without
@@ -71,6 +73,14 @@ def entries_of(text: str) -> set[str]:
     return {w[:k] for w in words for k in PREFIXES if len(w) >= k}
 
 
+def phrases_of(text: str, weights: dict[str, float]) -> set[str]:
+    """Candidate exceptions: one to three folded words that hold an entry."""
+    words = fold(text).split()
+    begins = {w: any(w[:k] in weights for k in PREFIXES) for w in set(words)}
+    return {" ".join(words[a:a + n]) for i, w in enumerate(words) if begins[w] for n in (1, 2, 3)
+            for a in range(max(0, i - n + 1), i + 1) if a + n <= len(words)}
+
+
 @dataclass
 class Lexicon:
     weights: dict[str, float]
@@ -87,27 +97,26 @@ class Matcher:
         self.automaton = ahocorasick.Automaton()
         for e, w in lexicon.weights.items():
             self.automaton.add_word(" " + e, (len(e), w))
-        for e in lexicon.exceptions:
-            self.automaton.add_word(" " + " ".join(fold(e).split()) + " ", (0, 0.0))
+        self.phrases = {" " + " ".join(fold(e).split()) + " " for e in lexicon.exceptions}
+        for p in self.phrases:
+            self.automaton.add_word(p, (0, len(p)))
         self.empty = not len(self.automaton)
         if not self.empty:
             self.automaton.make_automaton()
-        self.phrases = {" " + " ".join(fold(e).split()) + " " for e in lexicon.exceptions}
 
     def strength(self, text: str) -> tuple[float, float, int]:
         """(summed weight, weight per 100 words, matches)."""
         folded = fold(text)
         if self.phrases:
             folded = f" {' '.join(folded.split())} "
-        found, masked = [], []
+        found, spans = [], []
         if not self.empty:
             for end, (n, w) in self.automaton.iter(folded):
                 if n:
                     found.append((end - n + 1, end, w))
                 else:
-                    masked.append(end)
-        if masked:
-            spans = [(e - len(p) + 1, e) for e in masked for p in self.phrases if folded.endswith(p, 0, e + 1)]
+                    spans.append((end - w + 1, end))
+        if spans and found:
             found = [f for f in found if not any(a <= f[0] and f[1] <= b for a, b in spans)]
         total = sum(f[2] for f in found)
         words = len(folded.split()) if found else 1
@@ -146,6 +155,13 @@ def choose_entries(counts: list[tuple[str, int, int]], n_pos: int, n_neg: int, m
     return chosen
 
 
+def choose_exceptions(phrases: list[str]) -> list[str]:
+    """The phrases, in order, without those that hold another one."""
+    short = {f" {p} " for p in phrases}
+    parts = lambda w: {f" {' '.join(w[a:b])} " for a in range(len(w)) for b in range(a + 1, len(w) + 1) if b - a < len(w)}
+    return [p for p in phrases if not parts(p.split(" ")) & short]
+
+
 def fit_curve(x: np.ndarray, y: np.ndarray, ridge: float = 0.05) -> tuple[float, float, float]:
     """Logistic regression by Newton steps, classes weighted alike."""
     if not len(y) or y.min() == y.max():
@@ -164,8 +180,9 @@ def fit_curve(x: np.ndarray, y: np.ndarray, ridge: float = 0.05) -> tuple[float,
 
 
 def train(docs: DataFrame, labels: DataFrame, max_rows: int = 20_000, min_docs: int = 5, min_log_odds: float = 3.0, max_entries: int = 4_096,
-          exceptions: tuple[str, ...] = ()) -> Lexicon:
-    """Fit on at most ``max_rows`` labelled rows outside the held-out fold."""
+          exceptions: tuple[str, ...] = (), max_phrase_log_odds: float = -1.0, max_exceptions: int = 4_096) -> Lexicon:
+    """Fit on at most ``max_rows`` labelled rows outside the held-out fold.
+    ``exceptions`` are phrases besides the learned ones."""
     known = labels.where("toxic IS NOT NULL").groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
     known = known.where(crc_fold(F.col("doc_id")) != 1).orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_rows)
     # At most max_rows rows of two numbers, so they are broadcast; the sample is staged once.
@@ -194,6 +211,22 @@ def train(docs: DataFrame, labels: DataFrame, max_rows: int = 20_000, min_docs:
     best = both.where(odds >= min_log_odds).orderBy(odds.desc(), F.length("entry").desc(), "entry").limit(16 * max_entries)
     lexicon = Lexicon(choose_entries([tuple(r) for r in best.collect()], n_pos, n_neg, min_docs, min_log_odds, max_entries), list(exceptions))
 
+    def count_phrases(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: tuple[Counter, Counter] = (Counter(), Counter())
+        for batch in batches:
+            for t, y in zip(texts(batch), batch.column("toxic").to_pylist()):
+                seen[y == 1].update(phrases_of(t, lexicon.weights))
+        keys = list(seen[0].keys() | seen[1].keys())
+        yield pa.RecordBatch.from_arrays([pa.array(keys, pa.string()), pa.array([seen[0][k] for k in keys], pa.int64()),
+                                          pa.array([seen[1][k] for k in keys], pa.int64())], names=["phrase", "m", "n"])
+
+    if lexicon.weights:
+        phrases = sample.mapInArrow(count_phrases, "phrase string, m long, n long").groupBy("phrase").agg(F.sum("m").alias("m"), F.sum("n").alias("n"))
+        harmless = phrases.where((F.col("m") >= min_docs) & (odds <= max_phrase_log_odds))
+        # Short ones first: they stand for all that hold them.
+        harmless = harmless.orderBy(F.size(F.split("phrase", " ")), F.col("m").desc(), "phrase").limit(max_exceptions)
+        lexicon.exceptions += choose_exceptions([r["phrase"] for r in harmless.select("phrase").collect()])
+
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = lexicon.matcher()
         for batch in batches:

@@ -318,6 +318,24 @@ def test_toxicity_learns_a_folded_lexicon(spark):
     assert toxicity.train(docs, lab.limit(0)).weights == {}
 
 
+def test_toxicity_learns_exception_phrases(spark):
+    rows, labels = [], []
+    for i in range(1200):
+        toxic, excused = i % 4 == 0, i % 40 == 1
+        rows.append((i, f"w{i} plain words go here {'stupid' if toxic else 'a stupid, proof' if excused else 'clever'} end"))
+        labels.append((i, int(toxic)))
+    docs, lab = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, toxic int")
+    lexicon = toxicity.train(docs, lab)
+    assert "stupid proof" in lexicon.exceptions and "stupid" not in lexicon.exceptions and "stupid end" not in lexicon.exceptions
+    got = {r["doc_id"]: (r["predicted"], r["n_matches"]) for r in toxicity.score(docs, lexicon).collect()}
+    assert all(got[i] == (y, y) for i, y in labels)
+    matcher = lexicon.matcher()
+    assert matcher.score("one stupid-proof design")[1] == 0 and matcher.score("one stupid design")[1] == 1
+    assert matcher.score("stupid proof, stupid design")[1] == 1
+    # What holds a shorter phrase is dropped with it.
+    assert toxicity.choose_exceptions(["a b", "c", "x a b", "b c", "a c b", "d e"]) == ["a b", "c", "d e"]
+
+
 def test_pipeline_stages(spark, tmp_path):
     import corpus_pipeline
 
