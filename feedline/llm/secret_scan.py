@@ -4,8 +4,8 @@ Base spans come from three patterns (assignments, access keys, hex runs). The
 method adds long tokens that look random: two first-order Markov models over
 bytes, one of random strings and one of ordinary identifiers, compared by the
 mean log-likelihood ratio per step. Labelled samples come from the corpus: the
-values of base spans are the random strings, other ASCII runs of a bounded
-sample of documents (``sample_docs``, lowest hash first) the identifiers.
+values of base spans are the random strings, other ASCII runs of all documents
+the identifiers.
 
 Native DataFrame functions only. Positions follow from splitting at a pattern
 and adding up lengths. One scan stages narrow rows: base spans and candidate
@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from feedline.llm.common import row_key, staged, with_text
+from feedline.llm.common import staged, with_text
 
 # Kinds in order, with the pattern as stated by the contract. Access and hex
 # runs are maximal, so their least length may stand in the pattern.
@@ -96,23 +96,19 @@ def log_ratio(random: DataFrame, ordinary: DataFrame, smooth: float = 0.5) -> Da
     return g.agg(F.sort_array(F.collect_list(F.struct("step", "r"))).alias("x")).select(F.col("x.r").alias("ratios"))
 
 
-def identifiers(docs: DataFrame, sample_docs: int) -> DataFrame:
-    """ASCII runs of at most ``sample_docs`` documents, none of a base kind."""
-    d = with_text(docs)
-    d = d.select("text", *row_key(d["doc_id"], d["text"]))
-    lowest = d.select("k1", "k2").distinct().orderBy("k1", "k2").limit(sample_docs)  # two numbers a row, no texts
-    some = d.join(F.broadcast(lowest), ["k1", "k2"]).select("text")
+def identifiers(docs: DataFrame) -> DataFrame:
+    """ASCII runs of the documents, none of a base kind."""
     plain = F.regexp_replace(F.regexp_replace("text", ASSIGN, " "), f"{ACCESS}|{HEX}|{TOKEN}", " ")
-    return some.select(F.explode(F.regexp_extract_all(plain, F.lit(IDENTIFIER), F.lit(0))).alias("s"))
+    return with_text(docs).select(F.explode(F.regexp_extract_all(plain, F.lit(IDENTIFIER), F.lit(0))).alias("s"))
 
 
-def secrets(docs: DataFrame, sample_docs: int = 2_000, least: float = 0.5) -> DataFrame:
+def secrets(docs: DataFrame, least: float = 0.5) -> DataFrame:
     """Per input row: doc_id and ``spans`` (start, kind, end, s), sorted by
     start, then kind in the order of ``KINDS``; base spans always, and tokens
     whose mean ratio per step is at least ``least``."""
     rows = staged(scan(docs), "secret-spans")
     random = rows.select(F.explode("base").alias("b")).select("b.s").where(F.length("s") >= 16)
-    model = staged(log_ratio(step_counts(random), step_counts(identifiers(docs, sample_docs))), "markov")
+    model = staged(log_ratio(step_counts(random), step_counts(identifiers(docs))), "markov")
     trained = staged(random.limit(1).agg((F.count(F.lit(1)) > 0).alias("any")), "trained").select("any").scalar()
     rows = rows.withColumn("ratios", F.when(trained, model.select("ratios").scalar()))
 

@@ -301,6 +301,11 @@ def test_random_tokens_are_told_from_identifiers(spark):
     assert [s["kind"] for s in got[999]] == [3] and got[998] == []
 
 
+def test_identifiers_of_every_document_are_counted(spark):
+    docs = spark.range(2500).select(F.col("id").alias("doc_id"), F.concat(F.lit("the own_name_"), F.col("id"), F.lit(" is")).alias("text"))
+    assert secret_scan.identifiers(docs).distinct().count() == 2500
+
+
 def test_toxicity_learns_a_folded_lexicon(spark):
     rows, labels = [], []
     for i in range(400):
