@@ -64,7 +64,7 @@ def op3_minhash_near_dedup(spark, sf_dir):
 
 @query("op4_token_counts")
 def op4_token_counts(spark, sf_dir):
-    got = token_counts.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), budget=1024)
+    got = token_counts.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), budget=1024, table=False)
     return got.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > 1024).alias("over_limit"), "fits_chars")
 
 

@@ -6,9 +6,10 @@ such that the rest is the encoding of the shorter prefix and t can follow its
 last token (the pair encodes to itself). So ``count(i) = count(i - |t|) + 1``,
 filled in from left to right over the bytes of a piece of pre-tokenised text.
 Texts are cut at single spaces between other characters, where pre-tokenising
-cannot look across; the table of each distinct piece is computed once per
-worker (bounded cache) and joined as bytes, so long texts cost a dictionary
-look-up per word. The table of a text answers truncation and budget questions
+cannot look across. The pieces of a batch are numbered by Arrow; the table of
+each distinct piece is computed once per worker (bounded store) and kept in one
+flat array, so totals, budgets and whole tables are gathered by piece number.
+The table of a text answers truncation and budget questions
 (:func:`count_at`, :func:`longest_prefix`) without encoding again.
 
 Per-document work in Arrow batches, no shuffle; nothing is kept on the driver.
@@ -25,17 +26,20 @@ import json
 import re
 from array import array
 from collections.abc import Iterator
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 
-from feedline.llm.common import texts, with_text
+from feedline.llm.common import chunks, with_text
 
 # Fixed by the tokenizer family: the pattern that splits text before merges.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 CACHE = 500_000  # distinct pieces kept per worker
+PART_BYTES = 1 << 23  # texts handled at once
 
 
 def byte_alphabet() -> dict[str, int]:
@@ -45,6 +49,11 @@ def byte_alphabet() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(rest)}
 
 
+def by_char(data: bytes, count: list[int], chars: int) -> list[int]:
+    """Counts per byte as counts per code point."""
+    return count if len(data) == chars else [count[i] for i in range(len(data) + 1) if i == len(data) or data[i] & 0xC0 != 0x80]
+
+
 class PrefixCounter:
     """Exact token counts of all prefixes (in code points) of a text."""
 
@@ -105,12 +114,11 @@ class PrefixCounter:
         known = self.follows[a << 20 | b] = self.stay_apart(a, b)
         return known
 
-    def dynamic(self, piece: str) -> list[int]:
-        """Token counts of the prefixes of one pre-tokenised piece, by code point, the empty one first."""
-        data = piece.encode("utf-8", "surrogatepass")
-        last, count = [-1], [0]
+    def fill(self, data: bytes, last: list[int], count: list[int]) -> None:
+        """Carry the last token and the token count of the prefixes of ``data``
+        on to its end; the lists hold those of some shorter prefix's prefixes."""
         vocab, follows, reach = self.vocab, self.follows, self.reach
-        for end in range(1, len(data) + 1):
+        for end in range(len(count), len(data) + 1):
             begin = end - (reach.get(data[end - 3:end], 2) if end > 2 else end)
             for begin in range(begin if begin > 0 else 0, end):
                 if (token := vocab.get(data[begin:end])) is not None:
@@ -119,7 +127,33 @@ class PrefixCounter:
                     last.append(token)
                     count.append(count[begin] + 1)
                     break
-        return count if len(data) == len(piece) else [count[i] for i in range(len(data) + 1) if i == len(data) or data[i] & 0xC0 != 0x80]
+
+    def dynamic(self, piece: str) -> list[int]:
+        """Token counts of the prefixes of one pre-tokenised piece, by code point, the empty one first."""
+        data = piece.encode("utf-8", "surrogatepass")
+        last, count = [-1], [0]
+        self.fill(data, last, count)
+        return by_char(data, count, len(piece))
+
+    def learn(self, words: list[str]) -> None:
+        """Compute the pieces of many words at once, in order, so that the
+        common prefixes of neighbours are computed only once."""
+        pieces = set()
+        for w in words:
+            pieces.update((w,) if w.isalpha() or w[0] == " " and w[1:].isalpha() else self.split(w))
+        last, count, before = [-1], [0], b""
+        for piece in sorted(p for p in pieces if len(p) <= 64 and p not in self.words):
+            data = piece.encode("utf-8", "surrogatepass")
+            same = 0
+            for x, y in zip(data, before):
+                if x != y:
+                    break
+                same += 1
+            del last[same + 1:], count[same + 1:]
+            self.fill(data, last, count)
+            counts = by_char(data, count, len(piece))
+            self.keep(piece, array("h", map(int.__sub__, counts[1:], counts)).tobytes())
+            before = data
 
     def piece(self, piece: str) -> bytes:
         """The counts of :meth:`dynamic` as int16 steps, cached unless long."""
@@ -218,27 +252,153 @@ def counter(path: str) -> PrefixCounter:
     return _COUNTERS[path]
 
 
-def token_counts(docs: DataFrame, tokenizer: str, budget: int = 1024) -> DataFrame:
-    """Per input row: doc_id, n_bytes, ``prefix_steps`` (the prefix table),
-    n_tokens (its last entry) and ``fits_chars`` (code points of the longest
-    prefix within ``budget`` tokens)."""
+class PieceTables:
+    """The prefix tables of the distinct pieces met so far by a worker: one
+    flat array of steps, and per piece where its steps begin, how many there
+    are, their sum and the least count of any of its prefixes."""
+
+    def __init__(self, counter: PrefixCounter):
+        self.counter = counter
+        self.clear()
+
+    def clear(self) -> None:
+        self.number: dict[bytes, int] = {}
+        self.flat = array("h")
+        self.begin, self.total, self.least = array("q", [0]), array("q"), array("q")
+
+    def numbers(self, pieces: list[bytes]) -> np.ndarray:
+        """A number per piece; unknown ones are computed."""
+        if len(self.number) > CACHE or len(self.flat) > 40 * CACHE:
+            self.clear()
+        known = self.number
+        new = [p for p in pieces if p not in known]
+        words = [p.decode("utf-8", "surrogatepass") for p in new]
+        self.counter.learn(words)
+        for p, word in zip(new, words):
+            steps = array("h", self.counter.word(word))
+            known[p] = len(self.total)
+            self.flat.extend(steps)
+            self.begin.append(len(self.flat))
+            self.total.append(sum(steps))
+            self.least.append(min(accumulate(steps)))
+        return np.fromiter(map(known.__getitem__, pieces), np.int64, len(pieces))
+
+    def arrays(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        view = lambda a, t: np.frombuffer(a, t) if len(a) else np.zeros(0, t)
+        return view(self.flat, "i2"), view(self.begin, "i8"), view(self.total, "i8"), view(self.least, "i8")
+
+
+def bytes_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of an Arrow column of texts and the offsets of the texts."""
+    column = column.cast(pa.large_binary())
+    _, offsets, data = column.buffers()
+    at = np.frombuffer(offsets, np.int64, len(column) + 1, column.offset * 8)
+    raw = np.frombuffer(data, np.uint8)[at[0]:at[-1]] if data is not None else np.zeros(0, np.uint8)
+    return raw, at - at[0]
+
+
+# Byte classes: ASCII letters 1, ASCII punctuation without the apostrophe (it
+# may begin a contraction) 2, all else 0.
+CLASS = np.zeros(256, np.uint8)
+CLASS[[b for b in range(128) if chr(b).isalpha()]] = 1
+CLASS[[b for b in range(33, 127) if not chr(b).isalnum() and chr(b) != "'"]] = 2
+
+
+def cuts(raw: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Byte positions of the pieces of the texts: the begin of every text,
+    single spaces between two visible characters, and ASCII punctuation after a
+    Latin letter. Where a wider blank might stand beside a space nothing is cut
+    (a longer piece is as good)."""
+    space = np.flatnonzero(raw == 0x20)
+    space = space[(space > 0) & (space < len(raw) - 1)]
+    before, after = raw[space - 1], raw[space + 1]
+    wide = lambda b: (b == 0xC2) | ((b >= 0xE1) & (b <= 0xE3))
+    odd = (before >= 0x80) & (wide(raw[space - 2]) | ((space > 2) & wide(raw[space - 3])))
+    space = space[(before > 0x20) & (after > 0x20) & ~odd & ~wide(after)]
+    mark = np.flatnonzero(CLASS[raw] == 2)
+    mark = mark[mark > 1]
+    latin = (raw[mark - 2] == 0xC3) & (raw[mark - 1] >= 0x80) & (raw[mark - 1] != 0x97) & (raw[mark - 1] != 0xB7)
+    mark = mark[latin | (CLASS[raw[mark - 1]] == 1)]
+    edge = at[np.searchsorted(at, space)]  # a space that begins a text is no cut, nor one that ends it
+    ends = at[np.minimum(np.searchsorted(at, space + 1), len(at) - 1)]
+    mark = mark[at[np.searchsorted(at, mark)] != mark]
+    return np.sort(np.concatenate([at[:-1][at[1:] > at[:-1]], space[(edge != space) & (ends != space + 1)], mark]), kind="stable")
+
+
+def count_batch(tables: PieceTables, column: pa.Array, budget: int, with_table: bool):
+    """Per text ``(n_tokens, fits_chars, table)`` of a batch of texts without
+    special strings. Every distinct piece is looked up once; totals and the
+    places where the budget runs out follow by adding up pieces."""
+    raw, at = bytes_of(column)
+    begin = cuts(raw, at)
+    n = len(at) - 1
+    if not len(begin):
+        return np.zeros(n, np.int64), np.zeros(n, np.int64), [b""] * n
+    offsets = np.append(begin, len(raw)).astype(np.int64)
+    pieces = pa.Array.from_buffers(pa.large_binary(), len(begin), [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(raw))]).dictionary_encode()
+    numbers = tables.numbers(pieces.dictionary.to_pylist())[pieces.indices.to_numpy(zero_copy_only=False)]
+    flat, first, total, least = tables.arrays()
+    upto = np.concatenate([[0], np.cumsum(total[numbers])])
+    chars = np.concatenate([[0], np.cumsum(first[numbers + 1] - first[numbers])])
+    of = np.searchsorted(begin, at)  # the first piece of each text
+    n_tokens = upto[of[1:]] - upto[of[:-1]]
+    fits = chars[of[1:]] - chars[of[:-1]]
+    for i in np.flatnonzero(n_tokens > budget):
+        a, b = of[i], of[i + 1]
+        # The last piece with a prefix within the budget, and its longest one.
+        inside = np.flatnonzero(upto[a:b] - upto[a] + least[numbers[a:b]] <= budget)
+        fits[i] = 0
+        if len(inside):
+            k = a + inside[-1]
+            steps = np.cumsum(flat[first[numbers[k]]:first[numbers[k] + 1]], dtype=np.int64)
+            fits[i] = chars[k] - chars[a] + 1 + np.flatnonzero(upto[k] - upto[a] + steps <= budget)[-1]
+    if not with_table:
+        return n_tokens, fits, [None] * n
+    size = first[numbers + 1] - first[numbers]
+    where = np.repeat(first[numbers] - chars[:-1], size) + np.arange(chars[-1])
+    steps = flat[where]
+    return n_tokens, fits, [steps[chars[a]:chars[b]].astype("<i2").tobytes() for a, b in zip(of[:-1], of[1:])]
+
+
+_TABLES: dict[str, PieceTables] = {}
+
+
+def tables_of(path: str) -> PieceTables:
+    """One per worker process and tokenizer file."""
+    if path not in _TABLES:
+        _TABLES[path] = PieceTables(counter(path))
+    return _TABLES[path]
+
+
+def token_counts(docs: DataFrame, tokenizer: str, budget: int = 1024, table: bool = True) -> DataFrame:
+    """Per input row: doc_id, n_bytes, n_tokens (the last entry of the prefix
+    table), ``fits_chars`` (code points of the longest prefix within ``budget``
+    tokens) and, if ``table``, ``prefix_steps`` (the prefix table itself)."""
     d = with_text(docs)
     kind = d.schema["doc_id"].dataType.simpleString()
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        c = counter(tokenizer)
+        found = tables_of(tokenizer)
+        c = found.counter
+        special = c.specials.pattern if c.specials else None
         for batch in batches:
-            for i in range(0, batch.num_rows, 256):
-                part = batch.slice(i, 256)
-                found = texts(part)
-                tables = [c.steps(t) for t in found]
-                counts = [np.cumsum(np.frombuffer(t, "<i2"), dtype=np.int64) for t in tables]
-                total = [int(n[-1]) if len(n) else 0 for n in counts]
-                fits = [len(n) if k <= budget and (not len(n) or n.max() <= budget) else int(np.flatnonzero(np.append(n <= budget, False))[-1]) + 1 if (n <= budget).any() else 0
-                        for n, k in zip(counts, total)]
-                yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), pa.array([len(t.encode("utf-8", "surrogatepass")) for t in found], pa.int64()), pa.array(tables, pa.binary()),
-                     pa.array(total, pa.int64()), pa.array(fits, pa.int64())],
-                    names=["doc_id", "n_bytes", "prefix_steps", "n_tokens", "fits_chars"])
-
-    return d.mapInArrow(count, f"doc_id {kind}, n_bytes long, prefix_steps binary, n_tokens long, fits_chars long")
+            size = pc.binary_length(batch.column("text").cast(pa.large_binary())).to_numpy(zero_copy_only=False)
+            for lo, hi in chunks(range(batch.num_rows), size, PART_BYTES):
+                part = batch.slice(lo, hi - lo)
+                column = part.column("text")
+                held = np.flatnonzero(pc.match_substring_regex(column, special).to_numpy(zero_copy_only=False)) if special else []
+                if len(held):
+                    rest = np.ones(len(column), bool)
+                    rest[held] = False
+                    column = pc.if_else(pa.array(rest), column, "")
+                n_tokens, fits, steps = count_batch(found, column, budget, table)
+                for i in held:
+                    known = c.steps(part.column("text")[i].as_py())
+                    n_tokens[i], fits[i], steps[i] = table_of(known)[-1], longest_prefix(known, budget), known
+                out = {"doc_id": part.column("doc_id"), "n_bytes": pa.array(size[lo:hi], pa.int64()),
+                       "n_tokens": pa.array(n_tokens, pa.int64()), "fits_chars": pa.array(fits, pa.int64())}
+                if table:
+                    out["prefix_steps"] = pa.array(steps, pa.binary())
+                yield pa.RecordBatch.from_pydict(out)
+
+    return d.mapInArrow(count, f"doc_id {kind}, n_bytes long, n_tokens long, fits_chars long" + (", prefix_steps binary" if table else ""))
