@@ -13,7 +13,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedline.llm import decontaminate, line_dedup, mixing, near_dedup, quality, secret_scan, token_counts, token_files, toxicity, url_filter
+from feedline.llm import decontaminate, lexical_search, line_dedup, mixing, near_dedup, quality, secret_scan, source_audit, token_counts, token_files, toxicity, url_filter
 from feedline.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -150,6 +150,57 @@ def op10_decontamination(spark, sf_dir):
                       F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
 
 
+OP12_SQL = r"""
+WITH d AS (SELECT row_number() OVER () AS d, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                  '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
+q AS (SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                  '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark),
+size AS (SELECT count(*) AS n_docs, sum(len(w))::BIGINT AS n_terms FROM d WHERE len(w) > 0),
+tf AS (SELECT d, doc_id, n, term, count(*) AS tf FROM (SELECT d, doc_id, len(w) AS n, unnest(w) AS term FROM d)
+       WHERE term IN (SELECT term FROM q) GROUP BY ALL),
+weight AS (SELECT term, CAST(floor(1000 * ln((2 * n_docs + 2)::DOUBLE / (2 * count(*) + 1))) AS BIGINT) AS w FROM tf, size GROUP BY term, n_docs),
+part AS (SELECT d, doc_id, term, w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 90 + (90 * n * n_docs) // n_terms))) AS part FROM tf JOIN weight USING (term), size),
+total AS (SELECT item_id, d, doc_id, CAST(sum(part) AS BIGINT) AS score FROM q JOIN part USING (term) GROUP BY item_id, d, doc_id HAVING sum(part) > 0)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM total) WHERE rank <= 10
+"""
+
+
+@query("op12_lexical_search", OP12_SQL)
+def op12_lexical_search(spark, sf_dir):
+    return lexical_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), top=10)
+
+
+OP13_SQL = r"""
+WITH d AS (SELECT row_number() OVER () AS d, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+                  translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents),
+w AS (SELECT d, lang, source, unnest(regexp_extract_all(t, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM d),
+kept AS (SELECT lang, term, CAST(count(*) AS HUGEINT) AS n FROM w GROUP BY lang, term HAVING count(DISTINCT d) >= 30),
+l AS (SELECT lang, sum(n) AS total, count(*) AS v FROM kept GROUP BY lang),
+c AS (SELECT lang, source, term, count(*) AS n FROM w JOIN kept USING (lang, term) GROUP BY lang, source, term),
+g AS (SELECT lang, source, coalesce(total, 0) AS total FROM (SELECT DISTINCT lang, source FROM d)
+      LEFT JOIN (SELECT lang, source, sum(n) AS total FROM c GROUP BY lang, source) USING (lang, source)),
+p AS (SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n,
+             1 + (1000000000::HUGEINT * (coalesce(c.n, 0) + 5)) // (g.total + 5 * l.v)::HUGEINT AS p,
+             1 + (1000000000::HUGEINT * (k.n + 5)) // (l.total + 5 * l.v)::HUGEINT AS q
+      FROM g JOIN kept k ON g.lang = k.lang JOIN l ON l.lang = g.lang LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term),
+s AS (SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p)) AS value FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source
+      GROUP BY a.lang, a.source, b.source),
+pairs AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, CAST(coalesce(s.value, 0) AS BIGINT) AS value
+          FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+          LEFT JOIN s ON s.lang = a.lang AND s.source = a.source AND s.item = b.source),
+terms AS (SELECT lang, source, 'term' AS part, term AS item, CAST(p - q AS BIGINT) AS value FROM p WHERE n > 0 AND p > q)
+SELECT lang, source, part, item, value, CAST(rank AS INTEGER) AS rank
+FROM (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM (FROM pairs UNION ALL FROM terms))
+WHERE part = 'pair' OR rank <= 50
+"""
+
+
+@query("op13_source_divergence", OP13_SQL)
+def op13_source_divergence(spark, sf_dir):
+    return source_audit.source_divergence(table(spark, sf_dir, "documents"), min_docs=30, top=50)
+
+
 @query("pipeline")
 def pipeline(spark, sf_dir):
     return corpus_pipeline.run(spark, sf_dir)
