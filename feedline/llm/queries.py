@@ -13,7 +13,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedline.llm import decontaminate, lexical_search, line_dedup, mixing, near_dedup, quality, secret_scan, source_audit, token_counts, token_files, toxicity, url_filter
+from feedline.llm import decontaminate, lexical_search, line_dedup, mixing, near_dedup, pii, quality, secret_scan, source_audit, token_counts, token_files, toxicity, url_filter
 from feedline.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -150,6 +150,14 @@ def op10_decontamination(spark, sf_dir):
                       F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
 
 
+@query("op11_pii")
+def op11_pii(spark, sf_dir):
+    got = pii.personal_data(table(spark, sf_dir, "documents"))
+    base = F.col("base")
+    return got.select("doc_id", *[pii.kind_count(base, k).alias(f"n_{k}") for k in pii.KINDS],
+                      F.sha2(pii.span_text(base), 256).alias("base_sha256"), pii.span_text(F.col("spans")).alias("spans"))
+
+
 OP12_SQL = r"""
 WITH d AS (SELECT row_number() OVER () AS d, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
                   '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
