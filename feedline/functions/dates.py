@@ -1,9 +1,11 @@
 """Date parsing and rendering.
 
-Every parser is a ``coalesce`` of guarded ``try_to_timestamp`` calls over a
-fixed list of accepted spellings, so a bad value gives null (never an error
-under ANSI mode) and the caller decides the fallback (usually the run time).
-Naive text is read as UTC; the session time zone must be UTC (``prepare``).
+A text is rewritten to one ISO form by a chain of regex replacements that uses
+it once, and parsed once by the cast (no format objects, no exceptions), so the
+expression stays small whatever forms are accepted. A bad value gives null
+(never an error under ANSI mode) and the caller decides the fallback (usually
+the run time). Naive text is read as UTC; the session time zone must be UTC
+(``prepare``).
 """
 
 from __future__ import annotations
@@ -14,28 +16,38 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # ISO 8601 calendar date with optional time, fraction and offset.
-_ISO = r"^\d{4}-\d{2}-\d{2}([T ]\d{2}(:\d{2}(:\d{2}(\.\d{1,9})?)?)?)?(Z|[+-]\d{2}(:?\d{2})?)?$"
-# Month-name spellings, tried in this order; each only where the text has its
-# shape (a failed parse costs an exception inside the JVM, a regex test does not).
-_NAMED = (
-    (r"^[A-Za-z]+ \d{1,2}, \d{4}$", ("MMMM d, yyyy", "MMM d, yyyy")),
-    (r"^\d{1,2} [A-Za-z]+ \d{4}$", ("d MMMM yyyy", "d MMM yyyy")),
-    (r"^[A-Za-z]+ \d{4}$", ("MMMM yyyy", "MMM yyyy")),
+_OFFSET = r"(?:Z|[+-]\d{2}(?::?\d{2})?)"
+_ISO = r"^\d{4}-\d{2}-\d{2}(?:[T ]\d{2}(?::\d{2}(?::\d{2}(?:\.\d{1,9})?)?)?" + _OFFSET + r"?)?$"
+# A clock time that ends with a zone offset.
+_HAS_OFFSET = r"(?i)(?:[t ]\d{1,2}|:\d{2}(?:\.\d+)?\s*(?:[ap]m)?)\s*" + _OFFSET + r"\s*$"
+_PM = r"(?i):\d{2}\s*pm"
+
+# The rewriting of lower-case text, in order.
+_WEEKDAY = r"^[a-z]{3,9}(?:,\s+(?=[a-z]{3,9} \d|\d{1,2}[ /]|\d{4}[/-])|\s+(?=\d{1,2} [a-z]{3} \d{4} \d))"
+# A month's name becomes the one letter in its group, and that its number.
+_MONTH = (r"\b(?:(j)an(?:uary)?|(f)eb(?:ruary)?|(m)ar(?:ch)?|ap(r)(?:il)?|ma(y)|ju(n)e?|ju(l)y?|au(g)(?:ust)?|(s)ep(?:tember)?"
+          r"|(o)ct(?:ober)?|no(v)(?:ember)?|(d)ec(?:ember)?)\b")
+_DATE = (r"^(?:([a-z]) (\d{1,2}), (\d{4})|(\d{1,2}) ([a-z]) (\d{4})|(\d{1,2})/(\d{1,2})/(\d{4})|(\d{4})/(\d{1,2})/(\d{1,2}))(?=$|,?\s)")
+_REWRITES = (
+    (_WEEKDAY, ""),
+    (_MONTH, "".join(f"${i}" for i in range(1, 13))),
+    (r"^([a-z]) (\d{4})$", "$2-$1"),
+    (r"^(\d{1,2} [a-z]) (\d{2})(?=$|,?\s)", "$1 20$2"),
+    (_DATE, "$3$6$9$10-$1$5$7$11-$2$4$8$12"),
+    (r"(?<=-[a-z0-9]{1,2})(?:t|,?\s+)(?=\d)", " "),
+    (r"(:\d{2}(?:\.\d{1,9})?)\s*(?:([ap])m)?\s*(?:(z)|[a-z]{1,5}|([+-]\d{2}(?::?\d{2})?))?$", "$1$2$3$4"),
+    (r"(?<= )(\d{1,2}:\d{2})(?![\d:])", "$1:00"),
+    (r"(?<= )12(:[\d:]+[ap])", "0$1"),
 )
-# RFC 822 bodies after the weekday is removed.
-_RFC_SHAPE = r"^\d{1,2} [A-Za-z]{3} \d{4} \d{1,2}:\d{2}(:\d{2})?( .*)?$"
-_RFC_NUMERIC = ("d MMM yyyy HH:mm:ss Z", "d MMM yyyy HH:mm Z")
-_RFC_NAIVE = ("d MMM yyyy HH:mm:ss", "d MMM yyyy HH:mm")
+_ZONE = r"(?:z|[+-]\d{2}(?::?\d{2})?)?"
+_CANONICAL = (r"^\d{4}(?:-(?:\d{1,2}|[jfmrynlgsovd])(?:-\d{1,2}(?: (?:\d{1,2}(?::\d{2}(?::\d{2}(?:\.\d{1,9})?)?)?" + _ZONE
+              + r"|(?:0?\d|1[01]):\d{2}(?::\d{2})?[ap]" + _ZONE + r"))?)?)?$")
 
 
 def _c(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def _try(c: Column, fmt: str) -> Column:
-    return F.try_to_timestamp(c, F.lit(fmt))
-
-
 def run_timestamp(value: dt.datetime | str) -> Column:
     """A literal run time (UTC) - a job argument, so reruns repeat."""
     if isinstance(value, str):
@@ -45,66 +57,15 @@ def run_timestamp(value: dt.datetime | str) -> Column:
     return F.to_timestamp(F.lit(value.strftime("%Y-%m-%d %H:%M:%S.%f")))
 
 
-# An ISO time part that ends with a zone offset.
-_ISO_OFFSET = r"[T ]\d{2}(:\d{2}(:\d{2}(\.\d{1,9})?)?)?(Z|[+-]\d{2}(:?\d{2})?)$"
-
-
-def _naive(ts: Column, naive_tz: str) -> Column:
-    """A wall-clock time read in ``naive_tz`` (the parsers read it as UTC)."""
-    return ts if naive_tz == "UTC" else F.to_utc_timestamp(ts, naive_tz)
+def _in_zone(ts: Column, has_offset: Column, naive_tz: str) -> Column:
+    """Text without an offset is wall-clock time in ``naive_tz`` (it was read as UTC)."""
+    return ts if naive_tz == "UTC" else F.when(has_offset, ts).otherwise(F.to_utc_timestamp(ts, naive_tz))
 
 
 def parse_iso(c: Column | str, naive_tz: str = "UTC") -> Column:
     """ISO text only (the recall source's rule); offset -> UTC, no offset = ``naive_tz``."""
     c = F.trim(_c(c))
-    parsed = F.try_to_timestamp(c)
-    return F.when(c.rlike(_ISO), F.when(c.rlike(_ISO_OFFSET), parsed).otherwise(_naive(parsed, naive_tz)))
-
-
-def _parse_rfc822(c: Column, naive_tz: str = "UTC") -> Column:
-    body = F.trim(F.regexp_replace(c, r"^\s*[A-Za-z]{3,9},?\s+", ""))
-    numeric = body.rlike(r"[+-]\d{4}$")
-    # A zone name (GMT, UT, UTC, EST, ...) is dropped and the rest read as UTC.
-    naive = F.regexp_replace(body, r"\s+[A-Za-z]{1,5}$", "")
-    parsed = F.coalesce(
-        *[F.when(numeric, _try(body, f)) for f in _RFC_NUMERIC],
-        *[F.when(~numeric, _naive(_try(naive, f), naive_tz)) for f in _RFC_NAIVE],
-    )
-    return F.when(body.rlike(_RFC_SHAPE), parsed)
-
-
-# Date, clock time (12 or 24 hours) and an optional zone.
-_CLOCK = r"^(.*?\d),?\s+(\d{1,2}):(\d{2})(?::(\d{2}))?\s*([AaPp][Mm])?\s*([A-Za-z]{1,5}|[+-]\d{2}:?\d{2})?$"
-# Shapes of the date alone (numeric ones month first unless the year leads).
-_DATES = (
-    *_NAMED,
-    (r"^\d{1,2}/\d{1,2}/\d{4}$", ("M/d/yyyy",)),
-    (r"^\d{4}/\d{1,2}/\d{1,2}$", ("yyyy/M/d",)),
-    (r"^\d{4}-\d{2}-\d{2}$", ("yyyy-MM-dd",)),
-    (r"^\d{1,2} [A-Za-z]{3} \d{2}$", ("d MMM yy",)),
-)
-
-
-def _date_only(c: Column) -> Column:
-    return F.coalesce(*[F.when(c.rlike(shape), F.coalesce(*[_try(c, f) for f in fmts])) for shape, fmts in _DATES])
-
-
-def _with_clock(c: Column, naive_tz: str) -> Column:
-    """A date followed by a clock time: AM/PM, offsets with or without a colon,
-    zone names dropped (the rest is wall-clock time in ``naive_tz``)."""
-    part = lambda k: F.regexp_extract(c, _CLOCK, k)
-    number = lambda k: F.coalesce(part(k).try_cast("int"), F.lit(0))
-    day = _date_only(F.regexp_replace(part(1), r"^[A-Za-z]{3,9},\s+", ""))
-    half, hour = F.lower(part(5)), number(2)
-    hour = F.when(half == "pm", hour % 12 + 12).when(half == "am", hour % 12).otherwise(hour)
-    ok = (number(2) < 24) & (number(3) < 60) & (number(4) < 60) & ((half == "") | number(2).between(1, 12))
-    zone = F.regexp_replace(part(6), ":", "")
-    numeric = zone.rlike(r"^[+-]\d{4}$")
-    minutes = F.when(numeric, F.substring(zone, 2, 2).try_cast("int") * 60 + F.substring(zone, 4, 2).try_cast("int")).otherwise(0)
-    minutes = F.when(zone.startswith("-"), -minutes).otherwise(minutes)
-    local = F.timestamp_seconds(F.unix_timestamp(day) + hour * 3600 + number(3) * 60 + number(4))
-    utc = F.timestamp_seconds(F.unix_timestamp(local) - minutes * 60)
-    return F.when(c.rlike(_CLOCK) & ok, F.when(numeric, utc).otherwise(_naive(local, naive_tz)))
+    return _in_zone(F.try_to_timestamp(F.regexp_extract(c, _ISO, 0)), c.rlike(_HAS_OFFSET), naive_tz)
 
 
 def parse_lenient(c: Column | str, naive_tz: str = "UTC") -> Column:
@@ -113,19 +74,18 @@ def parse_lenient(c: Column | str, naive_tz: str = "UTC") -> Column:
     Accepted: ISO date / date-time, ``yyyy-MM`` and ``yyyy`` (first day),
     month-name dates, slash dates (month first unless the year leads), RFC 822
     with numeric offset, zone name or none, and any of these dates followed by
-    a 12- or 24-hour clock time.
-    Text without a numeric offset is wall-clock time in ``naive_tz``.
+    a 12- or 24-hour clock time; a weekday may lead. Zone names but Z are
+    dropped. Text without a numeric offset is wall-clock time in ``naive_tz``.
     """
-    c = F.trim(_c(c))
-    return F.coalesce(
-        parse_iso(c, naive_tz),
-        F.when(c.rlike(r"^\d{4}-\d{2}$"), _naive(_try(c, "yyyy-MM"), naive_tz)),
-        F.when(c.rlike(r"^\d{4}$"), _naive(_try(c, "yyyy"), naive_tz)),
-        *[F.when(c.rlike(shape), _naive(F.coalesce(*[_try(c, f) for f in fmts]), naive_tz)) for shape, fmts in _NAMED],
-        F.when(c.contains("/") | c.rlike(r"^\d{1,2} [A-Za-z]{3} \d{2}$"), _naive(_date_only(c), naive_tz)),
-        _with_clock(c, naive_tz),
-        _parse_rfc822(c, naive_tz),
-    )
+    c = _c(c)
+    t = F.lower(F.trim(c))
+    for pattern, by in _REWRITES:
+        t = F.regexp_replace(t, pattern, by)
+    t = F.translate(F.regexp_extract(t, _CANONICAL, 0), "jfmrynlgszap", "123456789Z")
+    for letter, number in (("o", "10"), ("v", "11"), ("d", "12")):
+        t = F.replace(t, F.lit(letter), F.lit(number))
+    ts = F.try_to_timestamp(t) + F.make_dt_interval(hours=F.when(c.rlike(_PM), 12).otherwise(0))
+    return _in_zone(ts, c.rlike(_HAS_OFFSET), naive_tz)
 
 
 def study_observed_at(dates: list[Column], run_ts: Column, naive_tz: str = "UTC") -> Column:
@@ -136,13 +96,8 @@ def study_observed_at(dates: list[Column], run_ts: Column, naive_tz: str = "UTC"
 def parse_recall_date(c: Column | str, run_ts: Column, naive_tz: str = "UTC") -> Column:
     """Eight digits = yyyyMMdd, else ISO, else the run time (the recall
     source reads naive text as UTC, hence the default)."""
-    c = _c(c)
-    eight = c.rlike(r"^[0-9]{8}$")
-    return F.coalesce(
-        F.when(eight, _naive(_try(c, "yyyyMMdd"), naive_tz)),
-        F.when(~eight, parse_iso(c, naive_tz)),
-        run_ts,
-    )
+    digits = F.regexp_replace(_c(c), r"^([0-9]{4})([0-9]{2})([0-9]{2})$", "$1-$2-$3")
+    return F.coalesce(parse_iso(digits, naive_tz), run_ts)
 
 
 def parse_rss_date(c: Column | str, run_ts: Column, naive_tz: str = "UTC") -> Column:
@@ -150,13 +105,10 @@ def parse_rss_date(c: Column | str, run_ts: Column, naive_tz: str = "UTC") -> Co
     return F.coalesce(parse_lenient(c, naive_tz), run_ts)
 
 
-
 def iso_utc(ts: Column | str, zulu: bool = True) -> Column:
     """ISO text in UTC; ``Z`` (validated form) or ``+00:00`` (raw form).
 
     Microseconds are written only when not zero, as Python does.
     """
-    ts = _c(ts)
-    micros = F.pmod(F.unix_micros(ts), F.lit(1_000_000))
-    frac = F.when(micros != 0, F.concat(F.lit("."), F.lpad(micros.cast("string"), 6, "0"))).otherwise(F.lit(""))
-    return F.concat(F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss"), frac, F.lit("Z" if zulu else "+00:00"))
+    text = F.date_format(_c(ts), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
+    return F.concat(F.regexp_replace(text, r"\.0{6}$", ""), F.lit("Z" if zulu else "+00:00"))
