@@ -131,7 +131,8 @@ def _no_ts() -> Column:
     return F.lit(None).cast("timestamp")
 
 
-def study_envelope(studies: DataFrame, run_ts: Column, study_col: str = "study", naive_tz: str = "UTC") -> DataFrame:
+def study_envelope(studies: DataFrame, run_ts: Column, study_col: str = "study", naive_tz: str = "UTC",
+                   keep: list[Column] | None = None) -> DataFrame:
     """One registry study (VARIANT) -> envelope.
 
     ``studies`` has ``source_key, page_no, pos`` and the study variant.
@@ -182,11 +183,13 @@ def study_envelope(studies: DataFrame, run_ts: Column, study_col: str = "study",
             page_no=F.col("page_no"),
             pos=F.col("pos"),
             undated=dated.isNull(),
-        )
+        ),
+        *(keep or []),
     )
 
 
-def recall_envelope(results: DataFrame, run_ts: Column, result_col: str = "result", naive_tz: str = "UTC") -> DataFrame:
+def recall_envelope(results: DataFrame, run_ts: Column, result_col: str = "result", naive_tz: str = "UTC",
+                    keep: list[Column] | None = None) -> DataFrame:
     """One recall result (VARIANT) -> envelope."""
     r = F.col(result_col)
     report_date = _get(r, "$.report_date")
@@ -215,11 +218,13 @@ def recall_envelope(results: DataFrame, run_ts: Column, result_col: str = "resul
             page_no=F.col("page_no"),
             pos=F.col("pos"),
             undated=dated.isNull(),
-        )
+        ),
+        *(keep or []),
     )
 
 
-def rss_envelope(items: DataFrame, source: str, run_ts: Column, naive_tz: str = "UTC") -> DataFrame:
+def rss_envelope(items: DataFrame, source: str, run_ts: Column, naive_tz: str = "UTC",
+                 keep: list[Column] | None = None) -> DataFrame:
     """RSS item (title, link, pubDate text) -> envelope; ``source`` is ema or fda."""
     title, link, pub = F.col("title"), F.col("link"), F.col("pubDate")
     raw = F.to_variant_object(F.struct(title.alias("title"), link.alias("link"), pub.alias("pubDate")))
@@ -236,7 +241,8 @@ def rss_envelope(items: DataFrame, source: str, run_ts: Column, naive_tz: str =
             page_no=F.col("page_no"),
             pos=F.col("pos"),
             undated=dated.isNull(),
-        )
+        ),
+        *(keep or []),
     )
 
 

@@ -50,7 +50,7 @@ WHERE obs > mark AND (last_page IS NULL OR page <= last_page)
 def page_cutoff(spark: SparkSession, sf_dir: str) -> DataFrame:
     """F7 with A2 page facts: the first non-empty page without a new record is
     the last one used; new rows on later pages are never fetched."""
-    from feedline.operators.pages import last_pages, page_facts, usable
+    from feedline.operators.pages import last_pages, on_usable_page, page_facts
     from feedline.operators.watermark import attach_state, is_new
 
     recs = events_pages_desc(spark, sf_dir)
@@ -64,7 +64,7 @@ def page_cutoff(spark: SparkSession, sf_dir: str) -> DataFrame:
         "next_token", F.when(F.col("page_no") < F.col("_last"), F.concat(F.lit("tok"), F.col("page_no").cast("string"))))
     last = last_pages(pages, page_facts(marked), incremental=True, cutoff_enabled=True,
                       sort_order="LastUpdatePostDate:desc")
-    used = usable(marked, last).where(is_new(F.col("observed_at"), F.col("_prev_mark")))
+    used = on_usable_page(marked, last).where(is_new(F.col("observed_at"), F.col("_prev_mark")))
     return used.select(F.col("_source_key").alias("source_key"), "event_id", F.col("_page_no").alias("page_no"))
 
 
@@ -89,7 +89,7 @@ FROM t LEFT JOIN stops USING (sk) WHERE last_page IS NULL OR page <= last_page
 def page_token_loop(spark: SparkSession, sf_dir: str) -> DataFrame:
     """F8: a page whose next token was already used is the last; so is one
     without. Pages are id ranges of 250 events, per event type."""
-    from feedline.operators.pages import last_pages, usable
+    from feedline.operators.pages import last_pages, on_usable_page
 
     feed = events_feed(spark, sf_dir).withColumn("_page_no", (F.floor(F.col("event_id") / 250) + 1).cast("bigint"))
     pages = feed.groupBy(F.col("_source_key").alias("source_key"), "event_type", F.col("_page_no").alias("page_no")) \
@@ -98,5 +98,5 @@ def page_token_loop(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = pages.join(mp, "source_key").withColumn("page", F.col("page_no")) \
         .withColumn("next_token", F.expr(_TOKEN_SQL.replace("VARCHAR", "STRING")))
     last = last_pages(pages, None)
-    kept = usable(pages.withColumnRenamed("source_key", "_source_key").withColumnRenamed("page_no", "_page_no"), last)
+    kept = on_usable_page(pages.withColumnRenamed("source_key", "_source_key").withColumnRenamed("page_no", "_page_no"), last)
     return kept.select(F.col("_source_key").alias("source_key"), F.col("_page_no").alias("page_no"), "n_records")

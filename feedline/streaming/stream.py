@@ -12,7 +12,6 @@ its own output (exactly-once effect on files).
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import replace
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -23,9 +22,6 @@ from feedline.operators.validate import validate
 from feedline.sinks.writers import write_jsonl, write_records
 from feedline.sources.state import append_seen, read_seen
 
-PAGES_SCHEMA = "source_key string, page_no bigint, next_token string, n_records bigint, oldest timestamp, any_new boolean, has_mark boolean"
-
-
 def run_available(stream: DataFrame, batch_fn: Callable[[DataFrame, int], None], checkpoint: str,
                   wait: bool = True) -> StreamingQuery:
     """Process everything landed so far, in micro-batches, then stop."""
@@ -72,60 +68,35 @@ def feed_batch_writer(
     return process
 
 
-def ingest_batch_writer(out_root: str, kind: str, config: Callable[[int], "IngestConfig"],
-                        rss_source: str = "ema") -> Callable[[DataFrame, int], None]:
-    """T1 + T2: a ``foreachBatch`` function running the whole batch job on each
-    micro-batch of landed pages (``source_key, page_no, payload``) of one kind
-    (``studies``, ``recalls`` or ``rss``), every batch a fetch of its own: use
-    :func:`ingest_available` where one fetch may be split over batches.
-    ``config(batch_id)`` gives the run settings (run id and time)."""
-    from feedline.plans.ingest import Landed, run_ingest
-
-    def process(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        pages = batch.select("source_key", F.col("page_no").cast("bigint"), "payload")
-        landed = Landed(rss={rss_source: pages}) if kind == "rss" else Landed(**{kind: pages})
-        run_ingest(spark, landed, out_root, config(batch_id))
-
-    return process
-
-
 def ingest_available(stream: DataFrame, out_root: str, kind: str, cfg: "IngestConfig", checkpoint: str,
                      rss_source: str = "ema") -> DataFrame:
     """T1 + T2: one run over everything landed since the last one, however it is
-    split into micro-batches. Every batch compares with the state as it was
-    when the run began and knows the page facts of earlier batches; the marks
-    of all batches are committed once, after the last (``cfg.run_id`` names the
-    snapshot). A run repeated after a crash goes on with the batches left and
-    commits the marks of all. Returns the new state."""
-    from feedline.functions.dates import run_timestamp
-    from feedline.operators.watermark import upsert_state
-    from feedline.plans.ingest import Landed, run_ingest
-    from feedline.sources.state import _exists, read_state, write_state
+    split into micro-batches (``source_key, page_no, payload`` of one kind:
+    ``studies``, ``recalls`` or ``rss``).
+
+    A batch only parses its pages and appends the rows to the run's pending
+    folder, compared with the state as it was when the run began; page rules,
+    validation, de-dup, marks, metrics and the commit are one plan over the
+    rows of all batches, at the end. A run repeated after a crash goes on with
+    the batches left and completes with the rows of all. Returns the new state."""
+    from feedline.plans.ingest import BATCH, Landed, base_state, complete, parse_landed
+    from feedline.sources import commits
+    from feedline.sources.state import _exists, read_version
 
     spark = stream.sparkSession
-    state = read_state(spark, f"{out_root}/state")
+    run = commits.begin(spark, out_root, cfg.run_id)
+    state = base_state(spark, out_root, run)
     pending = f"{out_root}/pending/run={cfg.run_id}"
 
     def process(batch: DataFrame, batch_id: int) -> None:
-        own = f"{batch_id:08d}"
         pages = batch.select("source_key", F.col("page_no").cast("bigint"), "payload")
         landed = Landed(rss={rss_source: pages}) if kind == "rss" else Landed(**{kind: pages})
-        earlier = None
-        if _exists(spark, f"{pending}/pages"):
-            done = spark.read.schema(PAGES_SCHEMA + ", batch string").parquet(f"{pending}/pages")
-            earlier = done.where(F.col("batch") != own).drop("batch")
-        res = run_ingest(spark, landed, out_root, replace(cfg, run_id=f"{cfg.run_id}-{own}"), state=state, earlier_pages=earlier, commit_state=False)
-        if res.pages is not None:
-            res.pages.write.mode("overwrite").parquet(f"{pending}/pages/batch={own}")
-        res.new_marks.select("source_key", "last_seen_ts").write.mode("overwrite").parquet(f"{pending}/marks/batch={own}")
+        parse_landed(landed, state, cfg).write.mode("overwrite").parquet(f"{pending}/{BATCH}={batch_id}")
 
     run_available(stream, process, checkpoint)
-    if _exists(spark, f"{pending}/marks"):
-        marks = spark.read.schema("source_key string, last_seen_ts timestamp, batch string").parquet(f"{pending}/marks")
-        marks = marks.groupBy("source_key").agg(F.max("last_seen_ts").alias("last_seen_ts"))
-        write_state(upsert_state(state, marks, run_timestamp(cfg.run_ts)), f"{out_root}/state", cfg.run_id)
-    return read_state(spark, f"{out_root}/state")
+    if not _exists(spark, pending):
+        return read_version(spark, f"{out_root}/state", commits.newest(spark, out_root))
+    return complete(spark, spark.read.parquet(pending), out_root, cfg, run, state).state
 
 
 def dedup_stream(stream: DataFrame, key: str = "dedup_key", watermark: tuple[str, str] | None = None) -> DataFrame:
@@ -145,5 +116,9 @@ def dedup_stream(stream: DataFrame, key: str = "dedup_key", watermark: tuple[str
 
 
 def read_written(spark: SparkSession, out_root: str) -> DataFrame:
-    """All records written by the batch writer (the Parquet table of every batch)."""
-    return spark.read.parquet(f"{out_root}/records")
+    """All records below an output root: those of committed runs, or of every
+    batch where :func:`feed_batch_writer` wrote them."""
+    from feedline.sources import commits
+
+    found = commits.read_committed(spark, out_root, "records")
+    return found if found is not None else spark.read.parquet(f"{out_root}/records")
