@@ -44,7 +44,7 @@ from feedline.llm.common import chunks, small_batches, staged
 
 TERM = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"
 SEPARATOR = r"[\x00-\x40\x5B-\x60\x7B-\x7F]"
-BLOCK_BYTES = 32 << 20
+BLOCK_BYTES = 12 << 20
 CELLS = 4_000_000  # of a matrix of terms by sources
 BLOCK_TERMS = 8192
 
