@@ -127,8 +127,9 @@ def blocks_of(batches: Iterator[pa.RecordBatch], limit: int) -> Iterator[pa.Reco
 
 
 def count_terms(found: pa.Table, block: pa.Table) -> pa.Table:
-    """Partial counts of one block: per (lang, source, term) the documents and
-    the occurrences; ``found`` holds the terms of its chunks with separators."""
+    """Partial counts of one block: per (lang, term) its sources, with the
+    documents and the occurrences in each; ``found`` holds the terms of the
+    chunks with separators."""
     per_doc, step, often, more, group = unpack(block.column("counts")[0].as_py())
     doc = np.repeat(np.arange(len(per_doc)), per_doc)
     n = np.ones(len(step), np.int64)
@@ -145,15 +146,21 @@ def count_terms(found: pa.Table, block: pa.Table) -> pa.Table:
     each = sizes[code]
     doc, n = np.repeat(doc, each), np.repeat(n, each)
     term = term[np.repeat(first[code] - np.concatenate([[0], np.cumsum(each)])[:-1], each) + np.arange(each.sum())]
-    width = max(1, len(terms))
-    key, at = np.unique(group[doc] * width + term, return_inverse=True)
+    # One row per (lang, term), with the groups that hold it: order by both.
+    lang_names, lang = coded(block.column("langs").combine_chunks().flatten())
+    source_names, source = coded(block.column("sources").combine_chunks().flatten())
+    width, many = max(1, len(terms)), max(1, len(source_names))
+    place = (lang[group][doc] * width + term) * many + source[group][doc]
+    key, at = np.unique(place, return_inverse=True)
     in_docs = np.unique(doc * width + term)
-    docs = np.bincount(np.searchsorted(key, group[in_docs // width] * width + in_docs % width), minlength=len(key))
-    which = pa.array(key // width)
+    of, t = np.divmod(in_docs, width)
+    docs = np.bincount(np.searchsorted(key, (lang[group][of] * width + t) * many + source[group][of]), minlength=len(key))
+    rows, first = np.unique(key // many, return_index=True)
+    offsets = pa.array(np.append(first, len(key)), pa.int32())
+    lists = lambda values: pa.ListArray.from_arrays(offsets, values)
     return pa.table({
-        "lang": block.column("langs").combine_chunks().flatten().take(which), "source": block.column("sources").combine_chunks().flatten().take(which),
-        "term": terms.take(pa.array(key % width)), "docs": pa.array(docs, pa.int64()),
-        "n": pa.array(np.bincount(at, weights=n, minlength=len(key)).astype(np.int64))})
+        "lang": lang_names.take(pa.array(rows // width)), "term": terms.take(pa.array(rows % width)), "sources": lists(source_names.take(pa.array(key % many))),
+        "docs": lists(pa.array(docs, pa.int32())), "n": lists(pa.array(np.bincount(at, weights=n, minlength=len(key)).astype(np.int32)))})
 
 
 def groups_of(docs: DataFrame) -> DataFrame:
@@ -169,8 +176,10 @@ def term_counts(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     tokenized = words.select("chunk").distinct().select("chunk", F.regexp_extract_all("chunk", F.lit(TERM), F.lit(0)).alias("terms"))
     back = words.join(tokenized, "chunk").select(F.col("block").alias("home"), "pos", "terms")
     partial = back.groupBy("home").cogroup(blocks.groupBy("block")).applyInArrow(
-        count_terms, "lang string, source string, term string, docs long, n long")
-    return partial.groupBy("lang", "source", "term").agg(F.sum("docs").alias("docs"), F.sum("n").alias("n"))
+        count_terms, "lang string, term string, sources array<string>, docs array<int>, n array<int>")
+    # Dealt by (lang, term) once: the sums, and what is asked per term, need no other shuffle.
+    each = partial.repartition("lang", "term").select("lang", "term", F.explode(F.arrays_zip("sources", "docs", "n")).alias("e"))
+    return each.groupBy("lang", F.col("e.sources").alias("source"), "term").agg(F.sum("e.docs").alias("docs"), F.sum("e.n").alias("n"))
 
 
 def probability(n: str, total: str, kept: str) -> Column:
