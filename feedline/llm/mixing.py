@@ -2,22 +2,25 @@ r"""Mixing sources to target weights by Sainte-Laguë apportionment.
 
 Sources get weights, weights become target sizes (water-filling under a cap of
 ``max_epochs`` times each source), and the targets become integer numbers of
-equal blocks of ``block`` words by highest quotients ``target / (2k - 1)``.
-Each source's blocks are handed to its shards the same way (by shard size).
-Within a shard documents lie in seeded order as one stream of words cut into
-blocks; a seeded start block and the blocks after it (cyclic) are taken, so
-documents stay whole but for those at the ends of the run. Blocks beyond a
-full pass start the second pass; none is taken more than ``max_epochs`` times.
-
-Scale: texts never move; sizes are counted in the scan and only
-``(doc_id, size)`` is shuffled, to shards of about ``shard_words`` words dealt
-by hash, so a source holding a third of all rows is spread over many groups.
-One row per source, and one row per shard of a source, meet in one task.
+equal blocks by highest quotients ``target / (2k - 1)``. One block size holds
+for all sources: at most ``block`` words, and at most an eighth of the smallest
+target, so a tiny source gets its share too. Each source's blocks are handed on
+the same way to groups of shards and to their shards (by size). A shard's
+documents lie in seeded order as one cyclic stream of words; from a seeded
+block on, exactly its quota of blocks is taken, so documents stay whole but for
+those at the ends of the run. Words beyond a full pass start the second pass;
+none is taken more than ``max_epochs`` times.
+
+Scale: only numbers are shuffled, one row of them per document, to shards of
+about ``shard_words`` words dealt by hash, so a source holding a third of all
+rows is spread over many groups (rows without words count as one word there).
+One row per source, one per group of shards, and one per shard of a group meet
+in a task; a group has at most ``GROUP_SHARDS`` shards.
 
 Edge cases: a null text has size 0 and nothing taken; a null source is a
-source of its own, sorted last; rows that repeat a doc_id share a place in the
-order (ties by size) and each is taken by itself; no words at all gives
-targets of 0; reruns agree because order and start depend on the seed only.
+source of its own, sorted last; rows that repeat a doc_id have places by their
+texts and each is taken by itself; no words at all gives targets of 0; reruns
+agree because order and start depend on the seed and the rows only.
 """
 
 from __future__ import annotations
@@ -33,6 +36,7 @@ from pyspark.sql import functions as F
 from feedline.llm.common import staged, text_of
 
 WORD = r"[^\x20\x09-\x0D]+"
+GROUP_SHARDS = 4096
 
 
 def word_count(text: Column) -> Column:
@@ -94,109 +98,114 @@ def mixed_hash(ids: np.ndarray, seed: int) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def n_blocks(size: np.ndarray, block: int) -> np.ndarray:
-    """Blocks of a shard: equal parts of about ``block`` words."""
-    size = np.asarray(size, np.int64)
-    return np.where(size > 0, np.maximum(1, np.rint(size / block).astype(np.int64)), 0)
-
-
-def taken_before(x: np.ndarray, size: int, blocks: int, quota: int, start: int) -> np.ndarray:
-    """Words taken of the first ``x`` of a shard's stream: ``quota // blocks``
-    full passes and the blocks ``start .. start + quota % blocks`` (cyclic)."""
-    passes, more = divmod(quota, blocks)
-    edge = lambda j: j * size // blocks
-    run = lambda a, b: np.clip(x, edge(a), edge(b)) - edge(a)
+def taken_before(x: np.ndarray, size: int, words: int, start: int) -> np.ndarray:
+    """Words taken of the first ``x`` of a shard's stream: ``words // size``
+    full passes and ``words % size`` words from ``start`` on (cyclic)."""
+    passes, more = divmod(words, size)
     end = start + more
-    extra = run(start, min(end, blocks)) + (run(0, end - blocks) if end > blocks else 0)
+    extra = np.clip(x, start, min(end, size)) - start + (np.minimum(x, end - size) if end > size else 0)
     return passes * x + extra
 
 
-def shard_spans(size: np.ndarray, order: np.ndarray, quota: int, block: int, seed: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Per document of one shard: words taken, full passes over it, and the
-    first and last + 1 word of the partial pass as at most one or two runs."""
-    by = np.lexsort((size, order))
+def shard_spans(size: np.ndarray, order: tuple[np.ndarray, ...], words: int, block: int, seed: int):
+    """Per document of one shard: words taken, and where it lies in the stream;
+    the full passes, and the partial pass as runs of the stream."""
+    by = np.lexsort((size, *order))
     ends = np.cumsum(size[by])
     total = int(ends[-1]) if len(ends) else 0
-    taken = np.zeros(len(size), np.int64)
     offset = np.zeros(len(size), np.int64)
     offset[by] = ends - size[by]
-    if not total or not quota:
-        return taken, offset, np.int64(0), np.int64(0)
-    blocks = int(n_blocks(total, block))
-    start = int(mixed_hash(np.array([total], np.uint64), seed)[0] % np.uint64(blocks))
-    taken = taken_before(offset + size, total, blocks, quota, start) - taken_before(offset, total, blocks, quota, start)
-    return taken, offset, blocks, start
+    if not total or not words:
+        return np.zeros(len(size), np.int64), offset, 0, []
+    start = int(mixed_hash(np.array([total], np.uint64), seed)[0] % np.uint64(-(-total // block))) * block
+    taken = taken_before(offset + size, total, words, start) - taken_before(offset, total, words, start)
+    passes, more = divmod(words, total)
+    end = start + more
+    return taken, offset, passes, [(start, min(end, total)), (0, max(0, end - total))]
 
 
-def mix(docs: DataFrame, weights: Sequence[float] = (3, 1, 2), share: float = 1.5, max_epochs: int = 2, block: int = 256,
-        shard_words: int = 500_000, seed: int = 17) -> DataFrame:
-    """Per input row: doc_id, size, source_size, target (of its source), taken,
-    and where it lies: ``passes`` full passes plus the words ``[cut_from[i],
-    cut_to[i])`` of one further, partial pass."""
-    d = docs.select(docs["doc_id"].alias("doc_id"), docs["source"].cast("string").alias("source"), word_count(text_of(docs)).alias("size"))
+def sized(docs: DataFrame, nr: Column, seed: int) -> DataFrame:
+    """What the mix needs of the rows: numbers and hashes."""
+    place = F.xxhash64(F.lit(seed + 1), docs["doc_id"], text_of(docs))
+    return docs.select(nr.alias("nr"), docs["doc_id"].alias("doc_id"), docs["source"].cast("string").alias("source"), word_count(text_of(docs)).alias("size"),
+                       place.alias("place"))
+
+
+def placed(d: DataFrame, weights: Sequence[float], share: float, max_epochs: int, block: int, shard_words: int, seed: int) -> DataFrame:
+    """The mix over the rows of :func:`sized`."""
     d = staged(d, "sizes")
-    sources = staged(targets(d.groupBy("source").agg(F.sum("size").alias("source_size")), weights, share, max_epochs), "targets")
+    per_source = d.groupBy("source").agg(F.sum("size").alias("source_size"), F.sum(F.greatest("size", F.lit(1))).alias("rows_size"))
+    sources = staged(targets(per_source, weights, share, max_epochs), "targets")
+    smallest = sources.where("target > 0").agg(F.min("target")).first()[0]
+    block = max(1, min(block, int((smallest or 1) / 8)))
+    shards = F.ceil(F.col("rows_size") / F.lit(shard_words)).cast("long")
+    sources = sources.join(per_source.select(F.col("source").alias("of"), "rows_size"), F.col("source").eqNullSafe(F.col("of")))
+    sources = sources.select("source", "source_size", "target", F.greatest(shards, F.lit(1)).alias("shards"))
+    same = lambda a, b, *on: a["source"].eqNullSafe(b["source"]) if not on else a["source"].eqNullSafe(b["source"]) & (a[on[0]] == b[on[0]])
+    d = d.join(sources, same(d, sources)).select("nr", "doc_id", d["source"], "size", "place", "source_size", "target", "shards")
+    d = d.withColumn("shard", F.pmod(F.xxhash64(F.lit(seed), "doc_id", "place"), F.col("shards")))
+    sizes = staged(d.groupBy("source", "shard").agg(F.sum("size").alias("shard_size")).withColumn("group", F.expr(f"shard div {GROUP_SHARDS}"))
+                   .withColumn("most", F.expr(f"shard_size * {max_epochs} div {block}")), "shards")
+    groups = sizes.groupBy("source", "group").agg(F.sum("shard_size").alias("group_size"), F.sum("most").alias("most"))
+    caps = groups.groupBy("source").agg(F.sum("most").alias("most"))
 
     def seat_sources(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("source", na_position="last", kind="stable")
-        most = max_epochs * n_blocks(pdf["source_size"], block)
-        seats = round(float(pdf["target"].sum()) / block)
-        return pdf.assign(quota=apportion(pdf["target"].to_numpy(), seats, most))
-
-    # One row per source; their number does not grow with the documents.
-    quotas = sources.withColumn("all", F.lit(True)).groupBy("all").applyInPandas(
-        lambda pdf: seat_sources(pdf.drop(columns="all")), "source string, source_size long, weight double, target double, quota long")
-    quotas = quotas.withColumn("shards", F.ceil(F.greatest(F.col("source_size"), F.lit(1)) / F.lit(shard_words)).cast("long"))
-    quotas = staged(quotas, "quotas")
-    same = lambda a, b: a["source"].eqNullSafe(b["source"])
-    d = d.join(quotas, same(d, quotas)).select(d["doc_id"], d["source"], "size", "source_size", "target", "quota", "shards")
-    d = d.withColumn("shard", F.pmod(F.xxhash64(F.lit(seed), "doc_id"), F.col("shards")))
-    shards = d.groupBy("source", "quota", "shard").agg(F.sum("size").alias("shard_size"))
-
-    def seat_shards(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("shard")
-        most = max_epochs * n_blocks(pdf["shard_size"], block)
-        return pdf.assign(quota=apportion(pdf["shard_size"].to_numpy(), int(pdf["quota"].iloc[0]), most))
-
-    seats = shards.groupBy("source").applyInPandas(seat_shards, "source string, quota long, shard long, shard_size long")
-    seats = staged(seats.select("source", "shard", F.col("quota").alias("shard_quota")), "seats")
-    d = d.join(seats, same(d, seats) & (d["shard"] == seats["shard"])).select(
-        "doc_id", d["source"], "size", "source_size", "target", d["shard"], "shard_quota",
-        F.xxhash64(F.lit(seed + 1), "doc_id").alias("place"))
+        return pdf.assign(quota=apportion(pdf["target"].to_numpy(), round(float(pdf["target"].sum()) / block), pdf["most"].to_numpy()))[["source", "quota"]]
+
+    def seat(by: str, votes: str):
+        def run(pdf: pd.DataFrame) -> pd.DataFrame:
+            pdf = pdf.sort_values(by)
+            got = apportion(pdf[votes].to_numpy(), int(pdf["quota"].iloc[0]), pdf["most"].to_numpy())
+            return pdf[["source", by]].assign(quota=got)
+        return run
+
+    # One row per source; then one per group of shards; then one per shard of a group.
+    quotas = sources.join(caps, same(sources, caps)).select(sources["source"], "target", "most").withColumn("all", F.lit(True))
+    quotas = quotas.groupBy("all").applyInPandas(lambda pdf: seat_sources(pdf.drop(columns="all")), "source string, quota long")
+    of_group = groups.join(quotas, same(groups, quotas)).select(groups["source"], "group", "group_size", "most", "quota")
+    of_group = of_group.groupBy("source").applyInPandas(seat("group", "group_size"), "source string, group long, quota long")
+    of_shard = sizes.join(of_group, same(sizes, of_group, "group")).select(sizes["source"], sizes["group"], "shard", "shard_size", "most", "quota")
+    seats = staged(of_shard.groupBy("source", "group").applyInPandas(seat("shard", "shard_size"), "source string, shard long, quota long"), "seats")
+    d = d.join(seats, same(d, seats, "shard")).select("nr", "doc_id", d["source"], "size", "source_size", "target", d["shard"], "quota", "place")
 
     def take(pdf: pd.DataFrame) -> pd.DataFrame:
-        size, quota = pdf["size"].to_numpy(np.int64), int(pdf["shard_quota"].iloc[0])
-        order = pdf["place"].to_numpy(np.int64)
-        taken, offset, blocks, start = shard_spans(size, order, quota, block, seed + int(pdf["shard"].iloc[0]))
-        out = pdf[["doc_id", "size", "source_size", "target"]].assign(taken=taken, passes=np.int64(0))
+        size, words = pdf["size"].to_numpy(np.int64), int(pdf["quota"].iloc[0]) * block
+        order = (pdf["nr"].to_numpy(np.int64), pdf["place"].to_numpy(np.int64))
+        taken, offset, passes, runs = shard_spans(size, order, words, block, seed + int(pdf["shard"].iloc[0]))
         cut_from, cut_to = [[] for _ in size], [[] for _ in size]
-        if quota and int(blocks):
-            total = int(size.sum())
-            passes, more = divmod(quota, int(blocks))
-            out["passes"] = passes
-            end = int(start) + more
-            for a, b in ((int(start), min(end, int(blocks))), (0, max(0, end - int(blocks)))):
-                lo, hi = a * total // int(blocks), b * total // int(blocks)
-                f, t = np.clip(lo - offset, 0, size), np.clip(hi - offset, 0, size)
-                for i in np.flatnonzero(t > f):
-                    cut_from[i].append(int(f[i]))
-                    cut_to[i].append(int(t[i]))
-        return out.assign(cut_from=cut_from, cut_to=cut_to)
-
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    return d.groupBy("source", "shard").applyInPandas(take, f"doc_id {kind}, size long, source_size long, target double, taken long, "
+        for lo, hi in runs:
+            f, t = np.clip(lo - offset, 0, size), np.clip(hi - offset, 0, size)
+            for i in np.flatnonzero(t > f):
+                cut_from[i].append(int(f[i]))
+                cut_to[i].append(int(t[i]))
+        return pdf[["nr", "doc_id", "size", "source_size", "target"]].assign(
+            taken=taken, passes=np.int64(passes), cut_from=cut_from, cut_to=cut_to)
+
+    kind = d.schema["doc_id"].dataType.simpleString()
+    return d.groupBy("source", "shard").applyInPandas(take, f"nr long, doc_id {kind}, size long, source_size long, target double, taken long, "
                                                       "passes long, cut_from array<long>, cut_to array<long>")
 
 
-def mixed_documents(docs: DataFrame, **how) -> DataFrame:
+def mix(docs: DataFrame, weights: Sequence[float] = (3, 1, 2), share: float = 1.5, max_epochs: int = 2, block: int = 256,
+        shard_words: int = 500_000, seed: int = 17) -> DataFrame:
+    """Per input row: doc_id, size, source_size, target (of its source), taken,
+    and where it lies: ``passes`` full passes plus the words ``[cut_from[i],
+    cut_to[i])`` of one further, partial pass."""
+    return placed(sized(docs, F.monotonically_increasing_id(), seed), weights, share, max_epochs, block, shard_words, seed).drop("nr")
+
+
+def mixed_documents(docs: DataFrame, weights: Sequence[float] = (3, 1, 2), share: float = 1.5, max_epochs: int = 2, block: int = 256,
+                    shard_words: int = 500_000, seed: int = 17) -> DataFrame:
     """The mix as rows with the columns of ``docs``: a document once for each
     full pass over it, and once more with the words of the partial pass. Text
     and ``n_chars`` of a cut row are those of its words; the rest is unchanged."""
-    placed = mix(docs, **how).where("taken > 0").select("doc_id", F.col("size").alias("_size"), "passes", "cut_from", "cut_to")
-    placed = staged(placed, "placed").dropDuplicates(["doc_id", "_size"])
-    row = F.struct(*[docs[c] for c in docs.columns]).alias("row")
-    d = docs.select(row, docs["doc_id"].alias("id"), word_count(text_of(docs)).alias("_size"))
-    d = d.join(placed, d["id"].eqNullSafe(placed["doc_id"]) & (d["_size"] == placed["_size"])).select("row", d["_size"].alias("size"), "passes", "cut_from", "cut_to")
+    rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), F.monotonically_increasing_id().alias("nr"))
+    rows = staged(rows, "numbered")  # the number names a row in both uses
+    read = rows.select("nr", "row.doc_id", "row.text", "row.source")
+    cuts = placed(sized(read, F.col("nr"), seed), weights, share, max_epochs, block, shard_words, seed)
+    cuts = cuts.where("taken > 0").select(F.col("nr").alias("at"), "size", "passes", "cut_from", "cut_to")
+    d = rows.join(cuts, rows["nr"] == cuts["at"]).select("row", "size", "passes", "cut_from", "cut_to")
     whole = (F.size("cut_from") == 1) & (F.get("cut_from", F.lit(0)) == 0) & (F.get("cut_to", F.lit(0)) == F.col("size"))
     text = F.col("row.text")
     words, blanks = F.regexp_extract_all(text, F.lit(WORD), F.lit(0)), F.split(text, WORD, -1)
