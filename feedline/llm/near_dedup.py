@@ -9,7 +9,10 @@ with the probability Jaccard similarity of their weights. ``rows`` registers
 make a band; texts that share a band are candidates (a pair at 0.8 is missed by
 all 32 bands of 5 with probability 3e-6) and are verified on their shingles:
 they are linked when the probability Jaccard or the plain Jaccard similarity
-reaches the threshold. A document's class is its connected component.
+reaches the threshold. A text that repeats shingles has bands of both, those
+of its weights and those of equal weights (of the others the two are the same),
+so the probability holds for either measure. A document's class is its
+connected component.
 
 Hot groups. Texts with equal shingles are one node from the start, so copies
 cost nothing. Bands of up to ``small`` nodes are compared pair by pair. In
@@ -132,6 +135,13 @@ def sketch_rows(batch: pa.RecordBatch, size: int, bands: int, rows: int) -> tupl
         signature = prob_minhash(np.concatenate([s for s, _ in sets]), weights, doc, len(who), bands * rows)
         for i, k in zip(who, band_keys(signature, bands, rows)):
             keys[i] = k
+        plain = [(i, s) for i, (s, c) in zip(who, sets) if c.max() > 1]
+        if plain:
+            flat = np.concatenate([s for _, s in plain])
+            doc = np.repeat(np.arange(len(plain)), [len(s) for _, s in plain])
+            signature = prob_minhash(flat, np.ones(len(flat)), doc, len(plain), bands * rows)
+            for (i, _), k in zip(plain, band_keys(signature, bands, rows)):
+                keys[i] = np.union1d(keys[i], k)
     return prints, keys
 
 
@@ -278,18 +288,20 @@ def residual_pairs(hot: DataFrame, sets: DataFrame, roots: DataFrame, threshold:
     prefix = prefix.join(roots, prefix["fp"] == roots["node"], "left").select(*own, F.coalesce("root", "fp").alias("root"))
     prefix = staged(prefix, "prefixes")
     groups = prefix.groupBy("gram", "root").agg(F.count(F.lit(1)).alias("c"))
-    main = groups.groupBy("gram").agg(F.max(F.struct("c", "root")).alias("top"), F.count(F.lit(1)).alias("k")).where("k > 1")
-    main = main.select("gram", F.col("top.root").alias("main"))
+    main = groups.groupBy("gram").agg(F.max(F.struct("c", "root")).alias("top"), F.count(F.lit(1)).alias("k"), F.sum("c").alias("all")).where("k > 1")
+    # A gram of many nodes is dealt to several tasks.
+    main = main.select("gram", F.col("top.root").alias("main"), (1 + F.floor(F.col("all") / 1000)).cast("int").alias("salts"))
     mixed = prefix.join(main, "gram")
-    x = mixed.where("root <> main").select("gram", *[F.col(c).alias(f"{c}1") for c in [*own[1:], "root"]])
-    y = mixed.select("gram", *[F.col(c).alias(f"{c}2") for c in [*own[1:], "root"]])
+    x = mixed.where("root <> main").withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)))
+    x = x.select("gram", "salt", *[F.col(c).alias(f"{c}1") for c in [*own[1:], "root"]])
+    y = mixed.withColumn("salt", F.pmod(F.hash("fp"), F.col("salts"))).select("gram", "salt", *[F.col(c).alias(f"{c}2") for c in [*own[1:], "root"]])
     t = threshold
     plain = ((F.least("n1", "n2") >= F.greatest("n1", "n2") * t - 1e-9)
              & (1 + F.least(F.col("n1") - F.col("p1"), F.col("n2") - F.col("p2")) >= (F.col("n1") + F.col("n2")) * (t / (1 + t)) - 1e-9))
     both = F.col("s1") * F.col("s2")
     by_weight = (F.col("repeats1") | F.col("repeats2")) & (both >= (F.col("s1") + F.col("s2") - both) * t - 1e-9)
     fits = (F.col("root1") != F.col("root2")) & (plain | by_weight)
-    return x.join(y, (x["gram"] == y["gram"]) & fits).select(*ordered(F.col("fp1"), F.col("fp2"))).distinct()
+    return x.join(y, (x["gram"] == y["gram"]) & (x["salt"] == y["salt"]) & fits).select(*ordered(F.col("fp1"), F.col("fp2"))).distinct()
 
 
 def classes(docs: DataFrame, words: int = 5, similarity: float = 0.8, bands: int = BANDS, rows: int = ROWS, small: int = SMALL) -> DataFrame:
@@ -334,6 +346,6 @@ def keep_representatives(docs: DataFrame, words: int = 5, similarity: float = 0.
     stay = got.where("k1 = r1 AND k2 = r2").groupBy("k1", "k2").agg(F.count(F.lit(1)).alias("copies"))
     keyed = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), *row_key(docs["doc_id"], F.coalesce(docs["text"], F.lit(""))))
     kept = keyed.join(stay, ["k1", "k2"])
-    if not stay.where("copies > 1").isEmpty():  # rows that repeat in full
-        kept = kept.dropDuplicates(["k1", "k2"])
+    if not stay.where("copies > 1").isEmpty():  # rows with equal doc_id and text: the one of least hash
+        kept = kept.groupBy("k1", "k2").agg(F.min_by("row", F.xxhash64("row")).alias("row"))
     return kept.select("row.*")
