@@ -44,9 +44,10 @@ from feedline.llm.common import chunks, small_batches, staged
 
 TERM = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"
 SEPARATOR = r"[\x00-\x40\x5B-\x60\x7B-\x7F]"
-BLOCK_BYTES = 12 << 20
+BLOCK_BYTES = 20 << 20
 CELLS = 4_000_000  # of a matrix of terms by sources
 BLOCK_TERMS = 8192
+BROADCAST_TERMS = 500_000  # kept terms, of some ten bytes each
 
 BLOCKS = "block long, langs array<string>, sources array<string>, plain array<string>, mixed array<string>, counts binary"
 
@@ -127,9 +128,8 @@ def blocks_of(batches: Iterator[pa.RecordBatch], limit: int) -> Iterator[pa.Reco
 
 
 def count_terms(found: pa.Table, block: pa.Table) -> pa.Table:
-    """Partial counts of one block: per (lang, term) its sources, with the
-    documents and the occurrences in each; ``found`` holds the terms of the
-    chunks with separators."""
+    """Partial counts of one block: per (lang, source, term) the documents and
+    the occurrences; ``found`` holds the terms of the chunks with separators."""
     per_doc, step, often, more, group = unpack(block.column("counts")[0].as_py())
     doc = np.repeat(np.arange(len(per_doc)), per_doc)
     n = np.ones(len(step), np.int64)
@@ -142,25 +142,23 @@ def count_terms(found: pa.Table, block: pa.Table) -> pa.Table:
     lists = found.column("terms").combine_chunks()
     sizes = np.concatenate([np.ones(len(plain), np.int64), pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64)])
     terms, term = coded(pa.concat_arrays([plain.cast(pa.string()), lists.flatten().cast(pa.string())]))
+    rank = pc.sort_indices(terms)  # neighbours alike, for the shuffle's compression
+    place = np.empty(len(terms), np.int64)
+    place[rank.to_numpy()] = np.arange(len(terms))
+    terms, term = terms.take(rank), place[term]
     first = np.concatenate([[0], np.cumsum(sizes)])
     each = sizes[code]
     doc, n = np.repeat(doc, each), np.repeat(n, each)
     term = term[np.repeat(first[code] - np.concatenate([[0], np.cumsum(each)])[:-1], each) + np.arange(each.sum())]
-    # One row per (lang, term), with the groups that hold it: order by both.
-    lang_names, lang = coded(block.column("langs").combine_chunks().flatten())
-    source_names, source = coded(block.column("sources").combine_chunks().flatten())
-    width, many = max(1, len(terms)), max(1, len(source_names))
-    place = (lang[group][doc] * width + term) * many + source[group][doc]
-    key, at = np.unique(place, return_inverse=True)
+    width = max(1, len(terms))
+    key, at = np.unique(group[doc] * width + term, return_inverse=True)
     in_docs = np.unique(doc * width + term)
-    of, t = np.divmod(in_docs, width)
-    docs = np.bincount(np.searchsorted(key, (lang[group][of] * width + t) * many + source[group][of]), minlength=len(key))
-    rows, first = np.unique(key // many, return_index=True)
-    offsets = pa.array(np.append(first, len(key)), pa.int32())
-    lists = lambda values: pa.ListArray.from_arrays(offsets, values)
+    docs = np.bincount(np.searchsorted(key, group[in_docs // width] * width + in_docs % width), minlength=len(key))
+    which = pa.array(key // width)
     return pa.table({
-        "lang": lang_names.take(pa.array(rows // width)), "term": terms.take(pa.array(rows % width)), "sources": lists(source_names.take(pa.array(key % many))),
-        "docs": lists(pa.array(docs, pa.int32())), "n": lists(pa.array(np.bincount(at, weights=n, minlength=len(key)).astype(np.int32)))})
+        "lang": block.column("langs").combine_chunks().flatten().take(which), "source": block.column("sources").combine_chunks().flatten().take(which),
+        "term": terms.take(pa.array(key % width)), "docs": pa.array(docs, pa.int64()),
+        "n": pa.array(np.bincount(at, weights=n, minlength=len(key)).astype(np.int64))})
 
 
 def groups_of(docs: DataFrame) -> DataFrame:
@@ -175,11 +173,10 @@ def term_counts(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     words = blocks.select("block", F.posexplode("mixed").alias("pos", "chunk"))
     tokenized = words.select("chunk").distinct().select("chunk", F.regexp_extract_all("chunk", F.lit(TERM), F.lit(0)).alias("terms"))
     back = words.join(tokenized, "chunk").select(F.col("block").alias("home"), "pos", "terms")
-    partial = back.groupBy("home").cogroup(blocks.groupBy("block")).applyInArrow(
-        count_terms, "lang string, term string, sources array<string>, docs array<int>, n array<int>")
-    # Dealt by (lang, term) once: the sums, and what is asked per term, need no other shuffle.
-    each = partial.repartition("lang", "term").select("lang", "term", F.explode(F.arrays_zip("sources", "docs", "n")).alias("e"))
-    return each.groupBy("lang", F.col("e.sources").alias("source"), "term").agg(F.sum("e.docs").alias("docs"), F.sum("e.n").alias("n"))
+    own = blocks.select("block", "langs", "sources", "plain", "counts")
+    partial = back.groupBy("home").cogroup(own.groupBy("block")).applyInArrow(
+        count_terms, "lang string, source string, term string, docs long, n long")
+    return partial.groupBy("lang", "source", "term").agg(F.sum("docs").alias("docs"), F.sum("n").alias("n"))
 
 
 def probability(n: str, total: str, kept: str) -> Column:
@@ -196,9 +193,12 @@ class Audit:
     (V), for every occurring group."""
 
     def __init__(self, docs: DataFrame, min_docs: int = 30):
-        same_term = W.partitionBy("lang", "term")
-        counts = term_counts(docs).withColumn("in_docs", F.sum("docs").over(same_term)).withColumn("lang_n", F.sum("n").over(same_term))
-        self.entries = staged(counts.where(F.col("in_docs") >= min_docs).select("lang", "source", "term", "n", "lang_n"), "terms")
+        counts = staged(term_counts(docs), "counts")
+        kept = counts.groupBy("lang", "term").agg(F.sum("docs").alias("in_docs"), F.sum("n").alias("lang_n"))
+        kept = staged(kept.where(F.col("in_docs") >= min_docs).select("lang", "term", "lang_n"), "kept")
+        if kept.count() <= BROADCAST_TERMS:  # else the counts are shuffled to them
+            kept = F.broadcast(kept)
+        self.entries = staged(counts.join(kept, ["lang", "term"]).select("lang", "source", "term", "n", "lang_n"), "terms")
         langs = self.entries.groupBy("lang", "term").agg(F.first("lang_n").alias("lang_n"))
         langs = langs.groupBy("lang").agg(F.sum("lang_n").alias("lang_total"), F.count(F.lit(1)).alias("kept"))
         totals = self.entries.groupBy("lang", "source").agg(F.sum("n").alias("total"))
