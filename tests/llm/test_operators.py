@@ -163,6 +163,22 @@ def test_family_with_repeated_passages_does_not_depend_on_band_size(spark):
         assert got == want, small
 
 
+@pytest.mark.parametrize("times", [1, 5, 60])
+def test_pairs_at_the_threshold_are_linked(spark, times):
+    # Plain Jaccard exactly 0.8 (100 of 125 shingles): 20 own words in a circle,
+    # repeated, weigh more and more against the shared ones.
+    rows = []
+    for i in range(60):
+        shared, own = [f"s{i}x{k}" for k in range(104)], [f"o{i}x{k}" for k in range(20 if times > 1 else 25)]
+        tail = own * times + own[:1] if times > 1 else own
+        rows += [(2 * i, " ".join(shared)), (2 * i + 1, " ".join(shared + tail))]
+    sets = [{tuple(t.split()[k:k + 5]) for k in range(len(t.split()) - 4)} for _, t in rows]
+    ratio = [len(sets[2 * i] & sets[2 * i + 1]) / len(sets[2 * i] | sets[2 * i + 1]) for i in range(60)]
+    assert 0.8 <= min(ratio) <= 0.81
+    got = {r["doc_id"]: r["class_id"] for r in near_dedup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert sum(got[2 * i + 1] == 2 * i for i in range(60)) >= 0.99 * 60
+
+
 def test_probability_jaccard_is_estimated():
     rng = np.random.default_rng(1)
     a, b = rng.integers(1, 1 << 63, 300).astype(np.uint64), rng.integers(1, 1 << 63, 100).astype(np.uint64)
@@ -270,13 +286,52 @@ def test_mixing_meets_targets(docs):
         s = by_size[r["source_size"]]
         assert abs(r["target"] - target[s]) < 1e-6 and 0 <= r["taken"] <= 2 * r["size"]
         taken[s] += r["taken"]
-    assert all(abs(taken[s] - target[s]) <= 64 for s in size)
+    block = max(1, min(16, int(min(t for t in target.values() if t) / 8)))
+    assert all(abs(taken[s] - target[s]) <= block for s in size)
     votes = np.array([53000, 24000, 23000])
     assert mixing.apportion(votes, 7, np.full(3, 99)).tolist() == [3, 2, 2]
     rows = mixing.mixed_documents(docs, block=16, shard_words=500)
     assert rows.columns == docs.columns
 
 
+def test_every_source_is_taken_to_within_a_block(spark):
+    sizes = {"a": [60], "b": [300, 600], "c": [20_000] * 5, "d": [], None: [7]}
+    rows = [(n, f"{s}{k}", s) for n, (s, k) in enumerate((s, k) for s, v in sizes.items() for k in v)]
+    rows = [(i, " ".join(f"{t}x{j}" for j in range(int(t.lstrip("abcdNone")))), s) for i, t, s in rows] + [(99, None, "d"), (98, " ", "d")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    for shard_words in (500_000, 3_000):
+        got = mixing.mix(df, shard_words=shard_words).collect()
+        target, taken = {}, Counter()
+        for r in got:
+            s = next(s for i, _, s in rows if i == r["doc_id"])
+            target[s], taken[s] = r["target"], taken[s] + r["taken"]
+            assert 0 <= r["taken"] <= 2 * r["size"]
+        block = max(1, min(256, int(min(t for t in target.values() if t) / 8)))
+        assert target["a"] == 120 and taken["d"] == 0
+        shards = {s: max(1, -(-sum(v) // shard_words)) for s, v in sizes.items()}
+        assert all(abs(taken[s] - target[s]) <= block * shards[s] for s in target), (taken, target, block)
+
+
+def test_mixed_rows_hold_the_words_taken(spark):
+    # Two rows share doc_id and size but not the text.
+    rows = [(i, f"s{i % 3}", " ".join(f"d{i}w{k}" for k in range(n)), n, "x") for i, n in enumerate((40, 3, 0, 500, 77, 120, 9, 260))]
+    rows += [(3, "s0", " ".join(f"other{k}" for k in range(500)), 500, "y"), (5, "s2", "a\n b\t\tc ", 9, "z")]
+    df = spark.createDataFrame(rows, "doc_id long, source string, text string, n_chars long, nr string")
+    taken = Counter()
+    for r in mixing.mix(df, shard_words=200).collect():
+        taken[r["doc_id"], r["size"]] += r["taken"]
+    seen = Counter()
+    for r in mixing.mixed_documents(df, shard_words=200).collect():
+        whole = [t for i, s, t, _, x in rows if (i, s, x) == (r["doc_id"], r["source"], r["nr"])][0]
+        words = r["text"].split()
+        seen[r["doc_id"], len(whole.split())] += len(words)
+        runs = [x.split() for x in r["text"].split("\n")] if r["text"] != whole else [words]
+        ring = whole.split()
+        assert all(any(ring[a:a + len(run)] == run for a in range(len(ring))) for run in runs if run)
+        assert r["text"] == whole or r["n_chars"] == len(r["text"])
+    assert {k: n for k, n in seen.items() if n} == {k: n for k, n in taken.items() if n}
+
+
 def test_secret_spans_equal_brute_force(docs):
     assign = re.compile(r"""((?:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?)([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
     got = sorted((r["doc_id"] is not None, r["doc_id"] or 0, secret) for r in secret_scan.secrets(docs).select(
