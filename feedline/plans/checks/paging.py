@@ -100,3 +100,30 @@ def page_token_loop(spark: SparkSession, sf_dir: str) -> DataFrame:
     last = last_pages(pages, None)
     kept = on_usable_page(pages.withColumnRenamed("source_key", "_source_key").withColumnRenamed("page_no", "_page_no"), last)
     return kept.select(F.col("_source_key").alias("source_key"), F.col("_page_no").alias("page_no"), "n_records")
+
+
+@check(
+    "newest_first",
+    """
+WITH r AS (SELECT event_id, 'events:' || event_type AS sk, CASE WHEN event_id % 23 = 0 THEN NULL ELSE date_trunc('hour', ts) END AS obs FROM events),
+n AS (SELECT *, row_number() OVER (PARTITION BY sk ORDER BY obs DESC NULLS LAST, event_id) - 1 AS k FROM r),
+p AS (SELECT sk, event_id, obs, k // 20 + 1 AS page_no, k % 20 AS pos FROM n),
+lp AS (SELECT sk, min(page_no) AS last FROM (SELECT sk, page_no, bool_or(obs > TIMESTAMP '{mark}') AS any_new FROM p GROUP BY sk, page_no) WHERE NOT coalesce(any_new, false) GROUP BY sk)
+SELECT sk AS source_key, event_id, page_no, pos FROM p JOIN lp USING (sk) WHERE page_no <= last
+""".format(mark=_MARK_BEFORE),
+)
+def newest_first_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O1 with ties (times cut to the hour) and nulls: pages of 20 per event
+    type, and the newest-first cutoff (F7) run on them."""
+    from feedline.operators.order import newest_first
+    from feedline.operators.pages import last_pages, on_usable_page, page_facts
+
+    e = events_feed(spark, sf_dir)
+    obs = F.when(F.col("event_id") % 23 != 0, F.date_trunc("hour", "observed_at"))
+    feed = e.withColumn("observed_at", obs).select("_source_key", "_page_no", "_pos", "event_id", "observed_at")
+    paged = newest_first(feed, 20).drop("_page_no", "_pos")
+    paged = paged.withColumn("_prev_mark", F.to_timestamp(F.lit(_MARK_BEFORE)))
+    facts = page_facts(paged, page="page_no")
+    tokens = facts.select("source_key", "page_no", F.concat(F.lit("t"), F.col("page_no").cast("string")).alias("next_token"))
+    last = last_pages(tokens, facts, sort_order="LastUpdatePostDate:desc")
+    return on_usable_page(paged, last, page="page_no").select(F.col("_source_key").alias("source_key"), "event_id", "page_no", "pos")

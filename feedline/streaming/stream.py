@@ -11,16 +11,20 @@ its own output (exactly-once effect on files).
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from feedline.operators.dedup import dedup, with_dedup_key
-from feedline.operators.validate import validate
-from feedline.sinks.writers import write_jsonl, write_records
-from feedline.sources.state import append_seen, read_seen
+from feedline.operators.dedup import ROW_ID, first_seen, with_dedup_key
+from feedline.operators.metrics import METRIC_COLUMNS, record_counts, run_metrics
+from feedline.operators.validate import annotate, validate
+from feedline.session import scratch_path, stage
+from feedline.sinks.writers import append_metrics, write_jsonl, write_records
+from feedline.sources import keystore
+from feedline.sources.state import folders
 
 def run_available(stream: DataFrame, batch_fn: Callable[[DataFrame, int], None], checkpoint: str,
                   wait: bool = True) -> StreamingQuery:
@@ -42,32 +46,43 @@ def feed_batch_writer(
     validation_mode: str = "drop",
     key_path: str | None = "identifiers.nct_id",
     fallback: bool = True,
-    metrics: list | None = None,
+    run_ts: Column | None = None,
 ) -> Callable[[DataFrame, int], None]:
-    """A ``foreachBatch`` function: envelope -> validate -> de-dup against the
-    key store (W1 inside the batch, J2 across batches) -> JSON + Parquet ->
-    new keys. ``metrics`` (a list) receives one dict per batch (T4)."""
+    """A ``foreachBatch`` function: envelope -> validate -> de-dup with a fixed
+    survivor (W1 inside the batch by arrival, J2 against the keys of all earlier
+    batches in the key store) -> JSON + Parquet -> new keys -> metrics (T4).
+
+    Every folder is named by the batch, so a replayed batch writes the same
+    again. Metrics are A3 rows per spider under ``metrics/run=<batch>``."""
 
     def process(batch: DataFrame, batch_id: int) -> None:
+        started = time.time()
         spark = batch.sparkSession
         run = f"b{batch_id:08d}"
-        v = validate(to_envelope(batch), validation_mode)
+        spider = F.substring_index("_source_key", ":", 1)
+        checked = with_dedup_key(annotate(to_envelope(batch)), key_path, fallback, F.col("_valid"))
+        checked = stage(checked.withColumn(ROW_ID, F.monotonically_increasing_id()), scratch_path(spark, "batch"))
+        v = validate(checked, validation_mode)
         v.raise_if_strict()
-        keyed = with_dedup_key(v.accepted, key_path, fallback, F.col("_valid"))
-        kept, _ = dedup(keyed, read_seen(spark, f"{out_root}/seen", exclude_run=run))
-        written = write_records(kept, f"{out_root}/records", run)
-        # T4: counters collected while the JSON lines are written (no extra job).
-        obs = Observation(f"batch_{batch_id}")
-        write_jsonl(written.observe(obs, F.count(F.lit(1)).alias("written")), f"{out_root}/jsonl/{run}")
-        append_seen(written.where(F.col("dedup_key").isNotNull()).select("dedup_key"), f"{out_root}/seen/run={run}")
-        if metrics is not None:
-            c = v.counts().first()
-            metrics.append({"batch_id": batch_id, "written": obs.get["written"],
-                            "validation_passed": c["validation_passed"], "validation_failed": c["validation_failed"]})
+        earlier = [r for r in folders(spark, f"{out_root}/seen/keys", "run=") if r < run]
+        kept = first_seen(v.accepted, drop_seen=lambda winners: keystore.new_only(winners, f"{out_root}/seen", earlier))
+        written = write_records(kept.drop(ROW_ID), f"{out_root}/records", run)
+        write_jsonl(written, f"{out_root}/jsonl/{run}")
+        keystore.write_keys(written.select("dedup_key"), f"{out_root}/seen", run)
+        counts = record_counts(v.checked.withColumn("spider", spider), v.accepted.withColumn("spider", spider))
+        responses = counts.select("spider").limit(0).selectExpr("spider", *[f"0L AS {c}" for c in ("requests_total", "responses_total", "http_200", "http_304", "errors")])
+        stamp = F.current_timestamp() if run_ts is None else run_ts
+        append_metrics(run_metrics(counts, responses, stamp, time.time() - started), f"{out_root}/metrics/run={run}")
 
     return process
 
 
+def read_metrics(spark: SparkSession, out_root: str) -> DataFrame:
+    """The metrics lines (K3) of all runs or batches below an output root."""
+    fields = ", ".join(f"{c} {'string' if c in ('event', 'timestamp', 'spider', 'finish_reason') else 'double' if c == 'elapsed_seconds' else 'bigint'}" for c in METRIC_COLUMNS)
+    return spark.read.schema(fields + ", run string").json(f"{out_root}/metrics")
+
+
 def ingest_available(stream: DataFrame, out_root: str, kind: str, cfg: "IngestConfig", checkpoint: str,
                      rss_source: str = "ema") -> DataFrame:
     """T1 + T2: one run over everything landed since the last one, however it is
