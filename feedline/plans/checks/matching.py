@@ -123,6 +123,38 @@ def company_match_many(spark: SparkSession, sf_dir: str) -> DataFrame:
     return targets.join(per_pattern, "pattern_id").select(F.col("target_id").alias("c_custkey"), "n_docs")
 
 
+_NATION_TARGET_SQL = (
+    "CASE n_nationkey % 5 WHEN 0 THEN 'Src' || CAST(n_nationkey AS VARCHAR) || ' Inc' "
+    f"WHEN 1 THEN '  ' WHEN 2 THEN upper(list_extract({sql_list(_PAIRS)}, CAST((n_nationkey // 5) % 8 + 1 AS INTEGER))) "
+    f"WHEN 3 THEN list_extract({sql_list(_WORDS)}, CAST((n_nationkey // 5) % 6 + 1 AS INTEGER)) || ' ' || n_name "
+    f"ELSE list_extract({sql_list(_WORDS)}, CAST((n_nationkey // 5) % 6 + 1 AS INTEGER)) END"
+)
+
+
+@check(
+    "match_targets",
+    f"""
+WITH {_DOC_HAY_SQL},
+t AS (SELECT n_nationkey, {_NATION_TARGET_SQL} AS target FROM nation),
+tt AS (SELECT n_nationkey, list_filter(string_split_regex(lower(trim(target)), '\\s+'), lambda x: x <> '') AS terms, {sql_company(sql_n1('target'))} AS canon FROM t)
+SELECT tt.n_nationkey AS target_id, dh.doc_id FROM tt JOIN dh
+    ON len(tt.terms) > 0 AND list_bool_and(list_transform(tt.terms, lambda x: contains(dh.h, x)))
+UNION
+SELECT tt.n_nationkey, d.doc_id FROM tt JOIN d ON len(tt.terms) > 0 AND tt.canon = {sql_company(sql_n1('d.source'))}
+""",
+)
+def match_targets_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J4 pair by pair: a target per nation (also blank ones and ones that share
+    a pattern) against every document, in portions of patterns."""
+    from feedline.operators.match import match_targets, prepare_targets
+
+    targets = table(spark, sf_dir, "nation").select(
+        "n_nationkey", F.expr(_NATION_TARGET_SQL.replace("VARCHAR", "STRING").replace("list_extract", "element_at").replace("//", "div")
+                              .replace("[", "array(").replace("]", ")")).alias("target"))
+    prepared = prepare_targets(targets, "n_nationkey", "target")
+    return match_targets(documents_as_trials(spark, sf_dir), ["doc_id"], prepared, portion=7).select("target_id", "doc_id")
+
+
 @check(
     "entity_links",
     f"""

@@ -7,14 +7,14 @@ from feedline.operators.dedup import dedup, first_seen, record_fingerprint, reco
 from feedline.operators.validate import ValidationFailed, validate
 from tests.helpers import records
 
-VALID = dict(source=" clinicaltrials.gov ", record_type=" clinical_trial ", observed_at="2025-11-03 08:15:00",
-             raw={"foo": "bar"}, normalized={"title": "sample"}, identifiers={"nct_id": "NCT77700042"})
+VALID = dict(source="harbour\t", record_type="\n tide table", observed_at="2023-02-28 23:59:30.25", ingested_at="2023-03-01 00:00:00",
+             raw={"gauge": [4, 7], "unit": "m"}, normalized={"link": "tides/4", "status": "open"}, identifiers={"nct_id": "NCT77700042", "event_id": "g4-0059", "link": "tides/4"})
 
 
 def test_valid_record_is_trimmed(spark):
     v = validate(records(spark, [VALID]), "drop")
     r = v.accepted.first()
-    assert (r["source"], r["record_type"]) == ("clinicaltrials.gov", "clinical_trial")
+    assert (r["source"], r["record_type"], r["normalized"]["status"]) == ("harbour", "tide table", "open")
     assert v.counts().first().asDict() == {"validation_passed": 1, "validation_failed": 0}
 
 
@@ -80,7 +80,7 @@ def test_key_path_falls_back_to_fingerprint(spark):
 def test_record_path_not_object(spark):
     df = records(spark, [VALID])
     assert df.select(record_path(df, "source.x").alias("k")).first()["k"] is None
-    assert df.select(record_path(df, "raw.foo").alias("k")).first()["k"] == "bar"
+    assert df.select(record_path(df, "raw.unit").alias("k")).first()["k"] == "m"
     assert df.select(record_path(df, "").alias("k")).first()["k"] is None
 
 
@@ -94,7 +94,7 @@ def test_first_wins_then_later_run(spark, scratch):
     kept, new_keys = dedup(keyed, read_seen(spark, store))
     rows = kept.orderBy("_page_no", "_pos").collect()
     assert [(r["_page_no"], r["_pos"]) for r in rows] == [(1, 0), (2, 0), (2, 1)]
-    assert rows[0]["normalized"]["title"] == "sample"
+    assert rows[0]["normalized"]["status"] == "open"
     append_seen(new_keys, f"{store}/run=r1")
     again, _ = dedup(keyed, read_seen(spark, store))
     assert again.where(F.col("dedup_key").isNotNull()).count() == 0
