@@ -411,5 +411,93 @@ def test_pipeline_stages(spark, tmp_path):
     assert sum(r["n_tokens"] for r in last) == max(r["start"] + r["n_tokens"] for r in last)
 
 
+def test_pipeline_stages_keep_and_drop_what_they_should(spark, tmp_path):
+    import corpus_pipeline
+    from tokenizers import Tokenizer
+
+    rng = np.random.default_rng(6)
+    prose = lambda i, n: " ".join(f"{'bcdfg'[k % 5]}{'aeiou'[k % 3]}{k}q{i}" for k in rng.permutation(n))
+    passage = [f"bench{k}" for k in range(14)]
+    text = {i: prose(i, 120) for i in range(30)}
+    text[5] = text[4]  # a copy, and one with a changed word
+    text[7] = " ".join(["changed", *text[6].split()[1:]])
+    text[9] = " ".join([*text[9].split()[:60], *passage[2:13], *text[9].split()[60:]])
+    text[10] = " ".join([*text[10].split()[:60], *passage[2:11], *text[10].split()[60:]])  # nine words: no window
+    text[11], text[12], text[13] = "too few words", None, ""
+    text[14] = "over and over again it goes " * 40
+    rows = [(i, t, "en", f"s{i % 3}", len(t or "")) for i, t in text.items()] + [(3, prose(77, 90), "en", "s0", 1), (20, text[20], "en", "s2", 1)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").repartition(3)
+    spark.createDataFrame([(1, " ".join(passage)), (2, None)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    known = Counter((i, t) for i, t, *_ in rows)
+    bad, copies, leaked = {11, 12, 13, 14}, {5, 7}, {9}
+    want, kept = known, docs
+    for n, (name, stage) in enumerate(corpus_pipeline.STAGES[:3]):
+        kept = stage(spark, kept, str(tmp_path))
+        kept.write.parquet(f"{tmp_path}/{n}")
+        kept = spark.read.parquet(f"{tmp_path}/{n}")
+        gone = (bad, copies, leaked)[n]
+        want = Counter({k: c if n == 0 else 1 for k, c in want.items() if k[0] not in gone})
+        got = Counter((r["doc_id"], r["text"]) for r in kept.collect())
+        assert got == want, name
+    sizes = {k: len(k[1].split()) for k in want}
+    mixed = corpus_pipeline.STAGES[3][1](spark, kept, str(tmp_path))
+    mixed.write.parquet(f"{tmp_path}/mixed")
+    mixed = spark.read.parquet(f"{tmp_path}/mixed")
+    of = {k: r["source"] for r in kept.collect() for k in [(r["doc_id"], r["text"])]}
+    all_words, taken = sum(sizes.values()), Counter()
+    for r in mixed.collect():
+        whole = [t for i, t in want if i == r["doc_id"] and set(r["text"].split()) <= set(t.split())]
+        assert len(whole) == 1 and r["source"] == of[r["doc_id"], whole[0]]
+        taken[r["doc_id"], whole[0]] += len(r["text"].split())
+    assert all(taken[k] <= 2 * sizes[k] for k in want)
+    per = {s: sum(n for k, n in taken.items() if of[k] == s) for s in ("s0", "s1", "s2")}
+    total = {s: sum(n for k, n in sizes.items() if of[k] == s) for s in per}
+    target, open_, left = {}, dict(zip(per, (3, 1, 2))), 1.5 * all_words
+    while over := [s for s in open_ if left * open_[s] / sum(open_.values()) > 2 * total[s]]:
+        for s in over:
+            target[s] = 2 * total[s]
+        left -= sum(target[s] for s in over)
+        open_ = {s: w for s, w in open_.items() if s not in over}
+    target |= {s: left * w / sum(open_.values()) for s, w in open_.items()}
+    assert all(abs(per[s] - target[s]) <= min(256, min(target.values()) / 8) for s in per)
+    lib = Tokenizer.from_file(WORD)
+    last = corpus_pipeline.STAGES[4][1](spark, mixed, str(tmp_path)).collect()
+    tokens = Counter((r["doc_id"], len(lib.encode(r["text"], add_special_tokens=False).ids) + 1) for r in mixed.collect())
+    assert Counter((r["doc_id"], r["n_tokens"]) for r in last) == tokens
+
+
+@pytest.mark.parametrize("run", [
+    lambda d, b, p: toxicity.score(d, toxicity.Lexicon({"bad": 1.0})), lambda d, b, p: line_dedup.drop_common_lines(d), lambda d, b, p: near_dedup.near_duplicates(d),
+    lambda d, b, p: token_counts.token_counts(d, BYTE), lambda d, b, p: quality.quality(d), lambda d, b, p: token_files.token_files(d, WORD),
+    lambda d, b, p: url_filter.judge_urls(p, url_filter.tracking_hosts(p)), lambda d, b, p: mixing.mix(d), lambda d, b, p: secret_scan.secrets(d),
+    lambda d, b, p: decontaminate.contamination(d, b)])
+def test_empty_tables_and_clashing_columns(spark, docs, run):
+    bench = spark.createDataFrame([(1, "w1 w2 w3", 1)], "item_id long, text string, n_hit long")
+    pages = spark.createDataFrame([(1, "https://a.example/x?utm_source=1", None, "h", True), (2, None, "x", None, None)], "page_id long, url string, html string, host string, rule boolean")
+    assert run(docs.limit(0), bench.limit(0), pages.limit(0)).count() == 0
+    got = run(docs, bench, pages)
+    assert got.count() == (2 if "page_id" in got.columns else docs.count())
+
+
+def test_toxicity_matches_equal_naive_search(spark):
+    rng = np.random.default_rng(8)
+    entries = {e: float(k + 1) for k, e in enumerate(("stupid", "idio", "ciown", "ass"))}
+    exceptions = ["stupid proof", "a ciown fish"]
+    words = ["stupid", "stupidly", "ѕtupid", "5tup1d", "proof", "a", "clown", "fish", "class", "assess", "idiot", "x", "", "Stupid-proof", "c l o w n"]
+    matcher = toxicity.Lexicon(entries, exceptions).matcher()
+    for _ in range(3000):
+        text = " ".join(rng.choice(words, rng.integers(0, 12)))
+        folded = toxicity.fold(text).split()
+        covered = set()
+        for e in exceptions:
+            parts = e.split()
+            for a in range(len(folded) - len(parts) + 1):
+                if folded[a:a + len(parts)] == parts:
+                    covered |= set(range(a, a + len(parts)))
+        found = [w for k, word in enumerate(folded) if k not in covered for e, w in entries.items() if word.startswith(e)]
+        total, _, n = matcher.strength(text)
+        assert (round(total, 6), n) == (round(sum(found), 6), len(found)), text
+
+
 def test_sha_of_empty_items():
     assert hashlib.sha256(b"").hexdigest().startswith("e3b0c442")
