@@ -1,7 +1,8 @@
 r"""Secret scan: fixed patterns, and character Markov models.
 
 Base spans come from three patterns (assignments, access keys, hex runs). The
-method adds long tokens that look random: two first-order Markov models over
+method adds tokens of at least ``least_chars`` characters, or what base spans
+leave of them if that is as long, that look random: two first-order Markov models over
 bytes, one of random strings and one of ordinary identifiers, compared by the
 mean log-likelihood ratio per step. Labelled samples come from the corpus: the
 values of base spans are the random strings, other ASCII runs of all documents
@@ -31,7 +32,9 @@ ASSIGN_VALUE = r"(?i:password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\x20*[
 ACCESS = r"AKIA[A-Z0-9]{16,}"
 HEX = r"[0-9a-f]{24,}"
 KINDS = ("assign", "access", "hex", "markov")
-TOKEN = r"[A-Za-z0-9+/_=-]{20,}"
+TOKEN = r"[A-Za-z0-9+/_=-]"
+LONG_RUN = TOKEN + "{20,}"  # no example of an ordinary identifier
+LEAST_CHARS = 16  # of a token that is scored, and of a base value that is an example of a random one
 IDENTIFIER = r"[A-Za-z0-9_]{6,}"
 MIN_VALUE = 6
 CODES = 128
@@ -53,9 +56,21 @@ def found(text: Column, pattern: str) -> Column:
     return F.when(F.size(hits) == 0, none).otherwise(F.aggregate(pairs, zero, step, lambda a: a["out"]))
 
 
-def scan(docs: DataFrame) -> DataFrame:
-    """doc_id, ``base`` (kind number, start, end, value) and ``tokens`` (long
-    runs outside all base spans)."""
+def uncovered(token: Column, base: Column, least_chars: int) -> Column:
+    """The parts of a token between the base spans (sorted by start) that are
+    long enough."""
+    part = lambda a, b: F.struct(a.alias("start"), b.alias("end"), F.substring(token["s"], a - token["start"] + 1, b - a).alias("s"))
+    none = F.array().cast("array<struct<start:int,end:int,s:string>>")
+    add = lambda out, a, b: F.when(b - a >= least_chars, F.concat(out, F.array(part(a, b)))).otherwise(out)
+    on = F.filter(base, lambda b: (b["start"] < token["end"]) & (token["start"] < b["end"]))
+    zero = F.struct(token["start"].alias("at"), none.alias("out"))
+    step = lambda a, b: F.struct(F.greatest(a["at"], b["end"]).alias("at"), add(a["out"], a["at"], b["start"]).alias("out"))
+    return F.when(F.size(on) == 0, F.array(token)).otherwise(F.aggregate(on, zero, step, lambda a: add(a["out"], a["at"], token["end"])))
+
+
+def scan(docs: DataFrame, least_chars: int = LEAST_CHARS) -> DataFrame:
+    """doc_id, ``base`` (kind number, start, end, value) and ``tokens`` (runs
+    of at least ``least_chars`` outside all base spans)."""
     d = with_text(docs)
     t = F.col("text")
     value = lambda s: F.regexp_extract(s, ASSIGN_VALUE, 1)
@@ -63,9 +78,8 @@ def scan(docs: DataFrame) -> DataFrame:
         s["start"].alias("start"), F.lit(kind).alias("kind"), s["end"].alias("end"), val(s["s"]).alias("s")))
     assign = F.filter(tag(0, found(t, ASSIGN), value), lambda s: F.length(s["s"]) >= MIN_VALUE)
     base = F.sort_array(F.concat(assign, tag(1, found(t, ACCESS), lambda s: s), tag(2, found(t, HEX), lambda s: s)))
-    d = d.select("doc_id", base.alias("base"), found(t, TOKEN).alias("tokens"))
-    free = lambda x: ~F.exists("base", lambda b: (b["start"] < x["end"]) & (x["start"] < b["end"]))
-    return d.select("doc_id", "base", F.filter("tokens", free).alias("tokens"))
+    d = d.select("doc_id", base.alias("base"), found(t, f"{TOKEN}{{{least_chars},}}").alias("tokens"))
+    return d.select("doc_id", "base", F.flatten(F.transform("tokens", lambda x: uncovered(x, F.col("base"), least_chars))).alias("tokens"))
 
 
 def steps(s: Column) -> Column:
@@ -76,9 +90,11 @@ def steps(s: Column) -> Column:
 
 
 def step_counts(strings: DataFrame) -> DataFrame:
-    """``step, n`` of a column ``s`` of strings."""
-    at = strings.select(F.explode(F.filter(steps(F.col("s")), lambda x: x.isNotNull())).alias("step"))
-    return at.groupBy("step").agg(F.count(F.lit(1)).alias("n"))
+    """``step, n`` of a column ``s`` of strings; every distinct string is taken
+    apart once."""
+    counted = strings.groupBy("s").agg(F.count(F.lit(1)).alias("times"))
+    at = counted.select("times", F.explode(F.filter(steps(F.col("s")), lambda x: x.isNotNull())).alias("step"))
+    return at.groupBy("step").agg(F.sum("times").alias("n"))
 
 
 def log_ratio(random: DataFrame, ordinary: DataFrame, smooth: float = 0.5) -> DataFrame:
@@ -98,16 +114,16 @@ def log_ratio(random: DataFrame, ordinary: DataFrame, smooth: float = 0.5) -> Da
 
 def identifiers(docs: DataFrame) -> DataFrame:
     """ASCII runs of the documents, none of a base kind."""
-    plain = F.regexp_replace(F.regexp_replace("text", ASSIGN, " "), f"{ACCESS}|{HEX}|{TOKEN}", " ")
+    plain = F.regexp_replace(F.regexp_replace("text", ASSIGN, " "), f"{ACCESS}|{HEX}|{LONG_RUN}", " ")
     return with_text(docs).select(F.explode(F.regexp_extract_all(plain, F.lit(IDENTIFIER), F.lit(0))).alias("s"))
 
 
-def secrets(docs: DataFrame, least: float = 0.5) -> DataFrame:
+def secrets(docs: DataFrame, least: float = 0.5, least_chars: int = LEAST_CHARS) -> DataFrame:
     """Per input row: doc_id and ``spans`` (start, kind, end, s), sorted by
     start, then kind in the order of ``KINDS``; base spans always, and tokens
     whose mean ratio per step is at least ``least``."""
-    rows = staged(scan(docs), "secret-spans")
-    random = rows.select(F.explode("base").alias("b")).select("b.s").where(F.length("s") >= 16)
+    rows = staged(scan(docs, least_chars), "secret-spans")
+    random = rows.select(F.explode("base").alias("b")).select("b.s").where(F.length("s") >= LEAST_CHARS)
     model = staged(log_ratio(step_counts(random), step_counts(identifiers(docs))), "markov")
     trained = staged(random.limit(1).agg((F.count(F.lit(1)) > 0).alias("any")), "trained").select("any").scalar()
     rows = rows.withColumn("ratios", F.when(trained, model.select("ratios").scalar()))

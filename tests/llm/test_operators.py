@@ -352,8 +352,52 @@ def test_random_tokens_are_told_from_identifiers(spark):
     rows = [(i, f"some_name plain_identifier another_value other_name and token={word()}") for i in range(200)]
     rows.append((999, f"see {word()} there"))
     rows.append((998, "see another_plain_identifier_name there"))
+    hexes = "deadbeef" * 3
+    rows.append((997, f"see {word()[:18]} there"))
+    rows.append((996, f"see {word()[:20]}-{hexes}+{word()[:17]} there"))  # a hex run inside a token
+    rows.append((995, f"see {hexes}short there"))
     got = {r["doc_id"]: r["spans"] for r in secret_scan.secrets(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert [s["kind"] for s in got[999]] == [3] and got[998] == []
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    tokens = {r["doc_id"]: [(s["start"], s["end"]) for s in r["tokens"]] for r in secret_scan.scan(df).where("doc_id > 990").collect()}
+    assert tokens == {999: [(4, 36)], 998: [(4, 33)], 997: [(4, 22)], 996: [(4, 25), (49, 67)], 995: []}
+
+
+def test_random_spans_equal_plain_python(spark):
+    rng = np.random.default_rng(12)
+    chars = list("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/=_-")
+    rows = []
+    for i in range(150):
+        parts = [f"token={''.join(rng.choice(chars[:62], 24))}" if i % 3 == 0 else "", "".join(rng.choice(chars, rng.integers(10, 40))), "plain_words_of_a_kind",
+                 "0123456789abcdef" * 2 + "".join(rng.choice(chars, 20)), "some_ordinary_name other_value plain_words " * 40]
+        rows.append((i, " ".join(parts[k] for k in rng.permutation(5))))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"]: [(s["start"], s["kind"], s["end"]) for s in r["spans"]] for r in secret_scan.secrets(docs).collect()}
+    base = {r["doc_id"]: [(s["start"], s["kind"], s["end"], s["s"]) for s in r["base"]] for r in secret_scan.scan(docs).collect()}
+    step = lambda w: [(min(ord(a), 127), min(ord(b), 127)) for a, b in zip(w, w[1:])]
+    count = [Counter(s for spans in base.values() for *_, w in spans if len(w) >= 16 for s in step(w)), Counter()]
+    for _, t in rows:
+        plain = re.sub(r"AKIA[A-Z0-9]{16,}|[0-9a-f]{24,}|[A-Za-z0-9+/_=-]{20,}", " ", re.sub(secret_scan.ASSIGN.replace("(?i:", "(?i:"), " ", t))
+        count[1].update(s for w in re.findall(r"[A-Za-z0-9_]{6,}", plain) for s in step(w))
+    row = [Counter(), Counter()]
+    for k in (0, 1):
+        for (a, _), n in count[k].items():
+            row[k][a] += n
+    score = lambda w: np.mean([np.log((count[0][s] + 0.5) / (row[0][s[0]] + 47.5)) - np.log((count[1][s] + 0.5) / (row[1][s[0]] + 47.5)) for s in step(w)])
+    added = 0
+    for i, t in rows:
+        want = [(a, k, b) for a, k, b, _ in base[i]]
+        taken = np.zeros(len(t), bool)
+        for a, _, b in want:
+            taken[a:b] = True
+        for m in re.finditer(r"[A-Za-z0-9+/_=-]{16,}", t):
+            free = "".join(" " if taken[k] else t[k] for k in range(*m.span()))
+            for p in re.finditer(r"\S{16,}", free):
+                if abs(score(p[0]) - 0.5) < 1e-9 or score(p[0]) >= 0.5:
+                    want.append((m.start() + p.start(), 3, m.start() + p.end()))
+                    added += 1
+        assert got[i] == sorted(want), (t, got[i], sorted(want))
+    assert added > 20
 
 
 def test_identifiers_of_every_document_are_counted(spark):
