@@ -127,3 +127,38 @@ def newest_first_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     tokens = facts.select("source_key", "page_no", F.concat(F.lit("t"), F.col("page_no").cast("string")).alias("next_token"))
     last = last_pages(tokens, facts, sort_order="LastUpdatePostDate:desc")
     return on_usable_page(paged, last, page="page_no").select(F.col("_source_key").alias("source_key"), "event_id", "page_no", "pos")
+
+
+_FETCHED_SQL = """
+WITH p AS (SELECT 'events:' || event_type AS source_key, event_id // 100 AS seq, event_type FROM events GROUP BY ALL),
+f AS (SELECT source_key, seq % 7 + 1 AS page_no, TIMESTAMP '2024-01-01 20:00:00' + to_minutes(CAST(seq * 3 AS INTEGER))
+             + to_hours(CASE WHEN event_type = 'click' AND seq % 7 >= 4 THEN 2 ELSE 0 END) + to_hours(CAST(seq // 7 * 3 AS INTEGER)) AS fetched_at FROM p),
+l AS (SELECT *, lag(fetched_at) OVER w AS bt, lag(page_no) OVER w AS bp FROM f WINDOW w AS (PARTITION BY source_key ORDER BY fetched_at, page_no)),
+s AS (SELECT *, CASE WHEN bt IS NULL OR page_no <= bp OR fetched_at - bt > INTERVAL 1 HOUR THEN 1 ELSE 0 END AS start FROM l),
+n AS (SELECT source_key, page_no, fetched_at, CAST(sum(start) OVER (PARTITION BY source_key ORDER BY fetched_at, page_no) AS BIGINT) AS fetch FROM s),
+e AS (SELECT source_key, fetch, min(page_no) AS last FROM n WHERE page_no = 6 OR page_no = 7 GROUP BY source_key, fetch)"""
+
+
+@check(
+    "fetch_sessions",
+    _FETCHED_SQL + """
+SELECT n.source_key, n.page_no, strftime(fetched_at, '%Y-%m-%d %H:%M:%S') AS fetched_at, n.fetch
+FROM n LEFT JOIN e USING (source_key, fetch) WHERE last IS NULL OR n.page_no <= last
+""",
+)
+def fetch_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Several fetches of a source key in one landing: page numbers that go back
+    and long pauses tell them apart; tokens repeat from fetch to fetch, and each
+    fetch ends by its own page rules (F8)."""
+    from feedline.operators.pages import fetch_ids, last_pages, on_usable_page
+
+    seq = F.floor(F.col("event_id") / 100)
+    p = events_feed(spark, sf_dir).select(F.col("_source_key").alias("source_key"), "event_type", seq.alias("seq")).distinct()
+    late = F.when((F.col("event_type") == "click") & (F.col("seq") % 7 >= 4), 120).otherwise(0) + F.floor(F.col("seq") / 7) * 180
+    at = F.to_timestamp(F.lit("2024-01-01 20:00:00")) + F.make_dt_interval(mins=(F.col("seq") * 3 + late).cast("int"))
+    pages = p.select("source_key", (F.col("seq") % 7 + 1).alias("page_no"), at.alias("fetched_at"))
+    found = fetch_ids(pages).withColumn("key", F.struct("source_key", "fetch"))
+    token = F.when(F.col("page_no") < 6, F.concat(F.lit("t"), F.col("page_no").cast("string")))
+    last = last_pages(found.select(F.col("key").alias("source_key"), "page_no", token.alias("next_token")))
+    used = on_usable_page(found, last, key="key", page="page_no")
+    return used.select("source_key", "page_no", F.date_format("fetched_at", "yyyy-MM-dd HH:mm:ss").alias("fetched_at"), "fetch")

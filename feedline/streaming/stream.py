@@ -104,7 +104,8 @@ def ingest_available(stream: DataFrame, out_root: str, kind: str, cfg: "IngestCo
     pending = f"{out_root}/pending/run={cfg.run_id}"
 
     def process(batch: DataFrame, batch_id: int) -> None:
-        pages = batch.select("source_key", F.col("page_no").cast("bigint"), "payload")
+        fetched = [c for c in ("fetched_at",) if c in batch.columns]
+        pages = batch.select("source_key", F.col("page_no").cast("bigint"), "payload", *fetched)
         landed = Landed(rss={rss_source: pages}) if kind == "rss" else Landed(**{kind: pages})
         parse_landed(landed, state, cfg).write.mode("overwrite").parquet(f"{pending}/{BATCH}={batch_id}")
 
