@@ -135,15 +135,15 @@ f AS (SELECT source_key, seq % 7 + 1 AS page_no, TIMESTAMP '2024-01-01 20:00:00'
              + to_hours(CASE WHEN event_type = 'click' AND seq % 7 >= 4 THEN 2 ELSE 0 END) + to_hours(CAST(seq // 7 * 3 AS INTEGER)) AS fetched_at FROM p),
 l AS (SELECT *, lag(fetched_at) OVER w AS bt, lag(page_no) OVER w AS bp FROM f WINDOW w AS (PARTITION BY source_key ORDER BY fetched_at, page_no)),
 s AS (SELECT *, CASE WHEN bt IS NULL OR page_no <= bp OR fetched_at - bt > INTERVAL 1 HOUR THEN 1 ELSE 0 END AS start FROM l),
-n AS (SELECT source_key, page_no, fetched_at, CAST(sum(start) OVER (PARTITION BY source_key ORDER BY fetched_at, page_no) AS BIGINT) AS fetch FROM s),
-e AS (SELECT source_key, fetch, min(page_no) AS last FROM n WHERE page_no = 6 OR page_no = 7 GROUP BY source_key, fetch)"""
+n AS (SELECT source_key, page_no, fetched_at, CAST(sum(start) OVER (PARTITION BY source_key ORDER BY fetched_at, page_no) AS BIGINT) AS "fetch" FROM s),
+e AS (SELECT source_key, "fetch", min(page_no) AS last FROM n WHERE page_no = 6 OR page_no = 7 GROUP BY source_key, "fetch")"""
 
 
 @check(
     "fetch_sessions",
     _FETCHED_SQL + """
-SELECT n.source_key, n.page_no, strftime(fetched_at, '%Y-%m-%d %H:%M:%S') AS fetched_at, n.fetch
-FROM n LEFT JOIN e USING (source_key, fetch) WHERE last IS NULL OR n.page_no <= last
+SELECT n.source_key, n.page_no, strftime(fetched_at, '%Y-%m-%d %H:%M:%S') AS fetched_at, n."fetch"
+FROM n LEFT JOIN e USING (source_key, "fetch") WHERE last IS NULL OR n.page_no <= last
 """,
 )
 def fetch_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
