@@ -89,3 +89,38 @@ def kafka_values_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = stamp_ingested_at(rss_envelope(events_rss_items(spark, sf_dir), "ema", run_ts()), run_ts())
     v = validate(rows, "drop")
     return kafka_values(v.accepted, keep=[F.col("_pos").alias("event_id")])
+
+
+@check(
+    "recall_jsonl",
+    f"""
+WITH e AS (SELECT event_id AS i, event_type, user_id, CAST(ts AS DATE) AS d FROM events),
+f AS (SELECT *, CASE WHEN i % 4 = 1 THEN '' WHEN i % 4 >= 2 THEN strftime(d, '%Y%m%d') END AS report_date, strftime(d + 1, '%Y-%m-%d') AS initiation,
+             CASE WHEN i % 3 = 0 THEN '' ELSE 'E' || i END AS event_id, CASE WHEN i % 5 <> 0 THEN 'R-' || i END AS recall_number,
+             CASE WHEN i % 6 = 0 THEN '' ELSE event_type || ' product' END AS product, CASE WHEN i % 12 <> 0 THEN 'reason ' || user_id END AS reason,
+             'Class ' || (i % 3 + 1) AS class FROM e),
+g AS (SELECT *, coalesce(nullif(event_id, ''), nullif(recall_number, ''), 'S' || i) AS id, coalesce(nullif(product, ''), nullif(reason, ''), upper(event_type)) AS title,
+             CASE WHEN i % 4 <= 1 THEN d + 1 ELSE d END AS obs FROM f)
+SELECT '{{"source":"fda_openfda","record_type":"regulatory_update","observed_at":"' || strftime(obs, {ISO_Z}) || '","ingested_at":"2025-01-01T00:00:00Z","raw":{{"classification":"'
+    || class || '","event_id":"' || event_id || '","openfda":{{"brand_name":["' || upper(event_type) || '"]}},"product_description":"' || product || '"'
+    || coalesce(',"reason_for_recall":"' || reason || '"', '') || ',"recall_initiation_date":"' || initiation || '"' || coalesce(',"recall_number":"' || recall_number || '"', '')
+    || coalesce(',"report_date":"' || report_date || '"', '') || ',"safetyreportid":"S' || i || '","status":"Ongoing"}},"normalized":{{"title":"' || title
+    || '","status":"Ongoing","classification":"' || class || '","report_date":' || coalesce('"' || report_date || '"', 'null') || '}},"identifiers":{{"event_id":"' || id
+    || '","recall_number":' || coalesce('"' || recall_number || '"', 'null') || '}}}}' AS line
+FROM g
+""",
+)
+def recall_jsonl(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K1 + P9 in full: recall result sets scanned, projected, validated, written
+    as JSON lines and read back line by line."""
+    from feedline.operators.envelope import recall_envelope, stamp_ingested_at
+    from feedline.plans.checks.base import land_pages
+    from feedline.plans.renders import recall_pages
+    from feedline.session import scratch_path
+    from feedline.sinks.writers import write_jsonl
+    from feedline.sources.payloads import result_rows
+
+    rows = recall_envelope(result_rows(land_pages(spark, recall_pages(spark, sf_dir), "jsonl")), run_ts())
+    path = scratch_path(spark, "checks", "recall_jsonl")
+    write_jsonl(validate(stamp_ingested_at(rows, run_ts()), "drop").accepted, path)
+    return spark.read.text(path).select(F.col("value").alias("line"))
