@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from feedline.functions.dates import iso_utc
 from feedline.operators.envelope import envelope, identifiers_map, normalized_struct
-from feedline.plans.checks.base import ISO_Z, RUN_TS, check, land_pages, table
+from feedline.plans.checks.base import ISO_Z, RUN_TS, check, files_per_batch, land_pages, table
 from feedline.session import scratch_path, stage
 
 _RECALLS_SQL = """
@@ -200,9 +200,9 @@ def _events_in_three_landings(spark: SparkSession, sf_dir: str, out: str) -> Non
 
     e = table(spark, sf_dir, "events")
     landing = scratch_path(spark, "checks", "event_landings")
-    third = F.col("event_id") % 3
+    third, files = F.col("event_id") % 3, files_per_batch(spark, e.rdd.getNumPartitions(), 1)
     for part in (e.where(third == 1), e.where(third == 0), e.where(third != 2), e.where(third == 2)):
-        part.repartition(3, "ts").write.mode("append").parquet(landing)
+        part.repartition(files, "event_id").write.mode("append").parquet(landing)
         stream = spark.readStream.schema(e.schema).parquet(landing)
         run_available(stream, feed_batch_writer(out, _events_envelope, fallback=False, run_ts=F.to_timestamp(F.lit(RUN_TS))), f"{out}/_checkpoint")
 
