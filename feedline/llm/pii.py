@@ -9,15 +9,17 @@ its format and its context; a threshold per kind, calibrated on held-out
 proposals to a stated precision, selects what is added. Of overlapping accepted
 proposals the likeliest is kept, none that touches a base span.
 
-Training sample, at most ``max_samples`` proposals chosen by hash: base spans
-in their place and rewritten into the other forms are positive; proposals
-outside base spans that fail their kind's own check, and numbers of other
-meanings (dates, amounts, versions, ids, failing check digits) put in the place
-of base spans, are negative. The sample is collected and the trees are fitted
-on the driver.
+Examples, all there are: base spans in their place and rewritten into the other
+forms are positive; proposals outside base spans that fail their kind's own
+check, and numbers of other meanings (dates, amounts, versions, ids, failing
+check digits) put in the place of base spans, are negative. The trees of all
+kinds grow together: each level is one job over the staged examples, whose tasks
+sum gradients per node, feature and bin; the driver sees these sums only and
+picks the splits.
 
 Scale: one scan of the texts stages narrow rows (spans and features of the few
-proposals); no shuffle but the bounded sample. Texts without a digit, an ``@``
+proposals) and one more the examples; no shuffle but of exact quantiles and
+counts. A task hands the driver 32 kB a kind, however many examples. Texts without a digit, an ``@``
 or a spelled-out *at* are passed over in Arrow.
 
 Edge cases: a null text is empty and has no spans; without any base span of a
@@ -214,40 +216,71 @@ def training_samples(text: str, base: list, found: list, seed: int) -> list[tupl
 
 
 class Trees:
-    """Gradient-boosted trees of fixed depth for a yes-no label (log loss)."""
+    """Gradient-boosted trees of fixed depth for a yes-no label (log loss),
+    grown level by level from sums of gradients (:meth:`sums`, which add up over
+    parts of the examples). With examples given, grown from them at once."""
 
-    def __init__(self, x: np.ndarray, y: np.ndarray, rounds: int = 40, depth: int = 3, rate: float = 0.25, bins: int = 16, ridge: float = 2.0):
-        self.depth = depth
-        edges = [np.unique(np.quantile(col, np.linspace(0, 1, bins + 1)[1:-1])) for col in x.T]
-        binned = np.column_stack([np.searchsorted(e, col, side="left") for e, col in zip(edges, x.T)])
-        self.base = float(np.log((y.sum() + 1) / (len(y) - y.sum() + 1)))
+    def __init__(self, x: np.ndarray | None = None, y: np.ndarray | None = None, rounds: int = 40, depth: int = 3, rate: float = 0.25, bins: int = 16, ridge: float = 2.0):
+        self.rounds, self.depth, self.rate, self.bins, self.ridge = rounds, depth, rate, bins, ridge
         self.trees: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-        margin = np.full(len(y), self.base)
-        for _ in range(rounds):
-            p = 1 / (1 + np.exp(-margin))
-            grad, hess = y - p, p * (1 - p)
-            feature, cut = np.zeros(2**depth - 1, np.int64), np.full(2**depth - 1, np.inf)
-            node = np.zeros(len(y), np.int64)
-            for level in range(depth):
-                first, width = 2**level - 1, 2**level
-                best = np.full(width, 1e-6)
-                for j, e in enumerate(edges):
-                    if not len(e):
-                        continue
-                    at = (node - first) * (bins + 1) + binned[:, j]
-                    g = np.cumsum(np.bincount(at, grad, width * (bins + 1)).reshape(width, -1), axis=1)
-                    h = np.cumsum(np.bincount(at, hess, width * (bins + 1)).reshape(width, -1), axis=1)
-                    gain = g**2 / (h + ridge) + (g[:, -1:] - g)**2 / (h[:, -1:] - h + ridge) - g[:, -1:]**2 / (h[:, -1:] + ridge)
-                    gain = gain[:, :len(e)]
-                    k = gain.argmax(axis=1)
-                    better = gain[np.arange(width), k] > best
-                    best[better] = gain[np.arange(width), k][better]
-                    feature[first:first + width][better], cut[first:first + width][better] = j, e[k[better]]
-                node = 2 * node + 1 + (x[np.arange(len(y)), feature[node]] > cut[node])
-            leaf = node - (2**depth - 1)
-            value = rate * np.bincount(leaf, grad, 2**depth) / (np.bincount(leaf, hess, 2**depth) + ridge)
-            self.trees.append((feature, cut, value))
-            margin = margin + value[leaf]
+        if x is not None:
+            self.begin(np.quantile(x, self.fractions(), axis=0).T, len(y), float(y.sum()))
+            for _ in range(rounds * depth):
+                self.grow(self.sums(x, y))
+
+    def fractions(self) -> list[float]:
+        return [float(f) for f in np.linspace(0, 1, self.bins + 1)[1:-1]]
+
+    def begin(self, quantiles, n: int, positive: float) -> "Trees":
+        """Bin edges of the features (their quantiles at ``fractions``) and the
+        margin without trees."""
+        self.edges = [np.unique(np.asarray(q, float)) for q in quantiles]
+        self.base = float(np.log((positive + 1) / (n - positive + 1)))
+        self._new_tree()
+        return self
+
+    def _new_tree(self) -> None:
+        self.level = 0
+        self.feature, self.cut = np.zeros(2**self.depth - 1, np.int64), np.full(2**self.depth - 1, np.inf)
+
+    def sums(self, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        """Gradients and Hessians of some examples, added up per node of the
+        level to grow, feature and bin."""
+        p = 1 / (1 + np.exp(-self.margin(x)))
+        grad, hess = y - p, p * (1 - p)
+        node, rows, width = np.zeros(len(y), np.int64), np.arange(len(y)), 2**self.level
+        for _ in range(self.level):
+            node = 2 * node + 1 + (x[rows, self.feature[node]] > self.cut[node])
+        out = np.zeros((2, len(self.edges), width, self.bins))
+        for j, e in enumerate(self.edges):
+            at = (node - (width - 1)) * self.bins + np.searchsorted(e, x[:, j], side="left")
+            for k, v in enumerate((grad, hess)):
+                out[k, j] = np.bincount(at, v, width * self.bins).reshape(width, -1)
+        return out
+
+    def grow(self, sums: np.ndarray) -> None:
+        """The splits of one level from the sums over all examples; the last
+        level ends the tree."""
+        first, width, nodes = 2**self.level - 1, 2**self.level, np.arange(2**self.level)
+        best = np.full(width, 1e-6)
+        all_g, all_h = (s[0].sum(axis=1) for s in sums)
+        left_g, left_h = all_g.copy(), all_h.copy()  # of a node that is not split
+        for j, e in enumerate(self.edges):
+            if not len(e):
+                continue
+            g, h = (np.cumsum(s[j], axis=1)[:, :len(e)] for s in sums)
+            rest_g, rest_h = all_g[:, None] - g, all_h[:, None] - h
+            gain = g**2 / (h + self.ridge) + rest_g**2 / (rest_h + self.ridge) - (all_g**2 / (all_h + self.ridge))[:, None]
+            k = gain.argmax(axis=1)
+            better = gain[nodes, k] > best
+            best[better] = gain[nodes, k][better]
+            left_g[better], left_h[better] = g[nodes, k][better], h[nodes, k][better]
+            self.feature[first:first + width][better], self.cut[first:first + width][better] = j, e[k[better]]
+        self.level += 1
+        if self.level == self.depth:
+            leaf_g, leaf_h = (np.column_stack([left, every - left]).ravel() for left, every in ((left_g, all_g), (left_h, all_h)))
+            self.trees.append((self.feature, self.cut, self.rate * leaf_g / (leaf_h + self.ridge)))
+            self._new_tree()
 
     def margin(self, x: np.ndarray) -> np.ndarray:
         out = np.full(len(x), self.base)
@@ -260,13 +293,14 @@ class Trees:
         return out
 
 
-def threshold(margin: np.ndarray, y: np.ndarray, precision: float) -> float:
+def threshold(margin: np.ndarray, y: np.ndarray, precision: float, n: np.ndarray | None = None) -> float:
     """The least margin at which held-out proposals from there on are right
     with ``precision`` (one wrong one added), halfway to the next lower margin;
-    infinite if there is none."""
+    infinite if there is none. With ``n``, an entry stands for that many
+    proposals, ``y`` of them right."""
     order = np.argsort(-margin, kind="stable")
     m = margin[order]
-    right, n = np.cumsum(y[order]), np.arange(1, len(y) + 1)
+    right, n = np.cumsum(y[order]), np.cumsum(np.ones(len(y)) if n is None else n[order])
     ends = np.append(m[1:] != m[:-1], True) if len(y) else np.zeros(0, bool)
     good = np.flatnonzero(ends & (right / (n + 1) >= precision))
     if not len(good):
@@ -319,20 +353,63 @@ def outside(spans: list, taken: list) -> list:
     return out
 
 
-def train(scanned: DataFrame, max_samples: int = 40_000, precision: float = 0.97) -> dict[int, tuple[Trees, float]]:
-    """Trees and threshold per kind. Four fifths of the samples fit the trees,
-    the rest calibrates the threshold."""
+def _arrays(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """kind, label and features of a batch of examples."""
+    kind, label = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("kind", "label"))
+    return kind, label.astype(float), batch.column("features").flatten().to_numpy(zero_copy_only=False).reshape(-1, len(FEATURES)).astype(float)
+
+
+def _all_sums(examples: DataFrame, growing: dict[int, Trees]) -> dict[int, np.ndarray]:
+    """:meth:`Trees.sums` of every kind over all examples; a task adds up its own."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total: dict[int, np.ndarray] = {}
+        for batch in batches:
+            kind, y, x = _arrays(batch)
+            for k, trees in growing.items():
+                own = kind == k
+                if own.any():
+                    total[k] = total.get(k, 0) + trees.sums(x[own], y[own])
+        yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int32()), pa.array([t.ravel() for t in total.values()], pa.list_(pa.float64()))], names=["kind", "sums"])
+
+    out = {k: np.zeros((2, len(FEATURES), 2**t.level, t.bins)) for k, t in growing.items()}
+    for r in examples.mapInArrow(run, "kind int, sums array<double>").collect():  # 32 kB a task and kind at most
+        out[r["kind"]] += np.array(r["sums"]).reshape(out[r["kind"]].shape)
+    return out
+
+
+def train(scanned: DataFrame, precision: float = 0.97) -> dict[int, tuple[Trees, float]]:
+    """Trees and threshold per kind, from all examples: four fifths of them (by
+    hash) fit the trees, the rest calibrates the threshold."""
     rows = scanned.select(F.explode("samples").alias("s")).select("s.*")
-    place = F.xxhash64("kind", "label", "features")
-    got = rows.orderBy(place, "kind", "label").limit(max_samples).collect()  # at most max_samples small rows
+    held = F.pmod(F.xxhash64("kind", "label", "features"), F.lit(5)) == 0
+    rows = staged(rows.withColumn("held", held).hint("rebalance"), "pii-examples")
+    fit, rest = rows.where("NOT held").drop("held"), rows.where("held").drop("held")
+    trees = Trees()
+    fractions = F.array(*[F.lit(f) for f in trees.fractions()])
+    quantiles = F.array(*[F.percentile(F.get("features", F.lit(j)), fractions) for j in range(len(FEATURES))])
+    found = fit.groupBy("kind").agg(F.count(F.lit(1)).alias("n"), F.sum("label").alias("positive"), quantiles.alias("quantiles")).collect()  # a row per kind
+    growing = {r["kind"]: Trees().begin(r["quantiles"], r["n"], r["positive"]) for r in found if r["n"] >= 16 and 0 < r["positive"] < r["n"]}
+    if not growing:
+        return {}
+    for _ in range(trees.rounds * trees.depth):
+        for kind, sums in _all_sums(fit, growing).items():
+            growing[kind].grow(sums)
+
+    def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            kind, y, x = _arrays(batch)
+            margin = np.full(len(y), np.nan)
+            for k, t in growing.items():
+                margin[kind == k] = t.margin(x[kind == k])
+            yield pa.RecordBatch.from_arrays([pa.array(kind, pa.int32()), pa.array(y.astype(np.int32)), pa.array(np.round(margin, 3))], names=["kind", "label", "margin"])
+
+    # Margins to three places: at most some ten thousand rows a kind, with the counts of all.
+    judged = rest.where(F.col("kind").isin(list(growing))).mapInArrow(judge, "kind int, label int, margin double")
+    judged = judged.groupBy("kind", "margin").agg(F.count(F.lit(1)).alias("n"), F.sum("label").alias("right")).collect()
     models = {}
-    for kind in range(len(KINDS)):
-        own = [r for r in got if r["kind"] == kind]
-        x, y = np.array([r["features"] for r in own], float), np.array([r["label"] for r in own], float)
-        held = np.arange(len(own)) % 5 == 0
-        if len(own) >= 20 and 0 < y[~held].sum() < (~held).sum():
-            trees = Trees(x[~held], y[~held])
-            models[kind] = (trees, threshold(trees.margin(x[held]), y[held], precision))
+    for kind, t in growing.items():
+        m, right, n = (np.array([r[c] for r in judged if r["kind"] == kind], float) for c in ("margin", "right", "n"))
+        models[kind] = (t, threshold(m, right, precision, n))
     return models
 
 
@@ -351,11 +428,11 @@ def accepted(spans: list[tuple[int, int, int]], x: np.ndarray, models: dict[int,
     return out
 
 
-def personal_data(docs: DataFrame, max_samples: int = 40_000, precision: float = 0.97) -> DataFrame:
+def personal_data(docs: DataFrame, precision: float = 0.97) -> DataFrame:
     """Per input row: doc_id, ``base`` and ``spans`` (base and added ones), as
     arrays of (start, kind, end) sorted by start, then kind."""
     rows = staged(scan(docs), "pii")
-    models = train(rows, max_samples, precision)
+    models = train(rows, precision)
     kind = rows.schema["doc_id"].dataType.simpleString()
     span = pa.struct([("start", pa.int32()), ("kind", pa.int32()), ("end", pa.int32())])
 

@@ -185,3 +185,22 @@ def test_trees_learn_and_thresholds_hold_their_precision():
 def test_redaction(spark, private):
     got = pii.personal_data(private).where("doc_id = 1003").join(private.select("doc_id", "text"), "doc_id")
     assert got.select(pii.redacted(F.col("text"), F.col("spans"))).first()[0] == "é" * 5000 + " [email] [ip]"
+
+
+def test_trees_are_fitted_to_all_examples(spark):
+    f = lambda j: F.pmod(F.xxhash64("id", F.lit(j)), F.lit(50 if j < 8 else 2))
+    label = (F.pmod(F.xxhash64("id", F.lit(0)), F.lit(50)) > 30).cast("int")
+    sample = F.struct(F.lit(1).alias("kind"), label.alias("label"), F.array(*[f(j).cast("float") for j in range(len(pii.FEATURES))]).alias("features"))
+    scanned = spark.range(0, 45_000, 1, 3).select(F.array(sample).alias("samples")).cache()
+    rows = scanned.select(F.explode("samples").alias("s")).select("s.*")
+    fit = rows.where(F.pmod(F.xxhash64("kind", "label", "features"), F.lit(5)) != 0)
+    n, positive = fit.agg(F.count(F.lit(1)), F.sum("label")).first()
+    trees, least = pii.train(scanned)[1]
+    assert n > 35_000 and trees.base == pytest.approx(np.log((positive + 1) / (n - positive + 1)), abs=0)
+    got = fit.collect()
+    x, y = np.array([r["features"] for r in got], float), np.array([r["label"] for r in got], float)
+    alone = pii.Trees(x, y)
+    assert np.allclose(alone.margin(x[:500]), trees.margin(x[:500]))
+    assert ((trees.margin(x) >= least) == (y == 1)).mean() > 0.97  # 16 bins of 50 values: one value shares its bin
+    start = pii.Trees().begin(np.quantile(x, alone.fractions(), axis=0).T, n, positive)
+    assert np.allclose(pii._all_sums(fit, {1: start})[1], start.sums(x, y))
