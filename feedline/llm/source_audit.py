@@ -16,7 +16,7 @@ sources differ by the sum of ``|p - q|`` over the kept terms of their language
 than its language does (:func:`source_terms`).
 
 Scale: the texts are read twice (once for the groups, which needs two columns
-only) and never shuffled; what moves are blocks of chunk counts, chunks that
+only), held in slices of a block and never shuffled; what moves are blocks of chunk counts, chunks that
 need tokenizing, and partial counts. A frequent chunk or term costs one row a
 block. Kept terms are compared in blocks of (lang, terms), a dense matrix of
 terms by sources of bounded size each; all sources of one language meet there,
@@ -45,6 +45,8 @@ from feedline.llm.common import chunks, small_batches, staged
 TERM = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"
 SEPARATOR = r"[\x00-\x40\x5B-\x60\x7B-\x7F]"
 BLOCK_BYTES = 20 << 20
+SLICE_BYTES = 4 << 20  # of a block's texts, held at once
+SLICE_COUNTS = 1 << 18  # of a block's counts, spread at once
 CELLS = 4_000_000  # of a matrix of terms by sources
 BLOCK_TERMS = 8192
 BROADCAST_TERMS = 500_000  # kept terms, of some ten bytes each
@@ -64,7 +66,7 @@ def unpack(data: bytes) -> list[np.ndarray]:
     sizes = np.frombuffer(data, "<u4", n, 4).astype(np.int64)
     total = int(sizes.sum())
     raw = pa.decompress(data[4 * (n + 1):], decompressed_size=4 * total, codec="zstd", asbytes=True) if total else b""
-    flat = np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(4, -1).T).view("<u4").ravel().astype(np.int64)
+    flat = np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(4, -1).T).view("<u4").ravel()
     return np.split(flat, np.cumsum(sizes)[:-1])
 
 
@@ -79,64 +81,86 @@ def coded(values: pa.Array) -> tuple[pa.Array, np.ndarray]:
     return d.dictionary, d.indices.to_numpy(zero_copy_only=False).astype(np.int64)
 
 
-def factor(table: pa.Table, block: int) -> pa.RecordBatch:
-    """One block: its groups, its distinct chunks, and per document the counts
-    of its chunks."""
-    words = pc.ascii_split_whitespace(pc.ascii_lower(table.column("text").combine_chunks().cast(pa.large_string())))
-    size = pc.list_value_length(words).to_numpy(zero_copy_only=False).astype(np.int64)
-    doc = np.repeat(np.arange(len(size)), size)
-    distinct, code = coded(words.flatten())
-    # Chunks without a separator first; the empty string at an edge is no chunk.
-    empty = pc.equal(distinct, "").to_numpy(zero_copy_only=False)
-    mixed = pc.match_substring_regex(distinct, SEPARATOR).to_numpy(zero_copy_only=False)
-    place = np.full(len(distinct), -1, np.int64)
-    first, second = np.flatnonzero(~mixed & ~empty), np.flatnonzero(mixed)
-    place[first], place[second] = np.arange(len(first)), len(first) + np.arange(len(second))
-    code = place[code]
-    key, n = np.unique(doc[code >= 0] * (len(distinct) + 1) + code[code >= 0], return_counts=True)
-    doc, code = np.divmod(key, len(distinct) + 1)
-    per_doc = np.bincount(doc, minlength=len(size))
-    begins = np.concatenate([[0], np.cumsum(per_doc)])[:-1]
-    step = np.diff(code, prepend=0)
-    step[begins[per_doc > 0]] = code[begins[per_doc > 0]]
-    often = np.flatnonzero(n > 1)  # most chunks occur once in a document
-    langs, sources = table.column("lang").combine_chunks(), table.column("source").combine_chunks()
-    pair = pa.StructArray.from_arrays([langs, sources], ["l", "s"])
-    lang_names, lang_code = coded(pair.field(0))
-    source_names, source_code = coded(pair.field(1))
-    groups, group = np.unique(lang_code * len(source_names) + source_code, return_inverse=True)
-    counts = pack(per_doc, step, np.diff(often, prepend=0), n[often] - 1, group)
-    return pa.RecordBatch.from_arrays(
-        [pa.array([block], pa.int64()), strings(lang_names.take(pa.array(groups // len(source_names)))), strings(source_names.take(pa.array(groups % len(source_names)))),
-         strings(distinct.take(pa.array(first))), strings(distinct.take(pa.array(second))), pa.array([counts], pa.binary())],
-        names=["block", "langs", "sources", "plain", "mixed", "counts"])
+def copied(values: pa.Array) -> pa.Array:
+    """A slice on its own: it holds no longer the whole batch, and
+    ``ascii_lower`` mixes up the texts of an array with an offset."""
+    return pa.concat_arrays([values, values.slice(0, 0)])
+
+
+class Block:
+    """Documents of one block, read in slices: of each only the numbers of its
+    chunks, its distinct chunks and its groups are held, not the texts."""
+
+    def __init__(self):
+        self.slices, self.size = [], 0
+
+    def add(self, part: pa.RecordBatch) -> None:
+        words = pc.ascii_split_whitespace(pc.ascii_lower(copied(part.column("text")).cast(pa.large_string())))
+        size = pc.list_value_length(words).to_numpy(zero_copy_only=False).astype(np.int64)
+        distinct, code = coded(words.flatten())
+        self.slices.append((size, distinct, code.astype(np.int32), copied(part.column("lang")), copied(part.column("source"))))
+
+    def factor(self, block: int) -> pa.RecordBatch:
+        """The block's groups, its distinct chunks, and per document the counts
+        of its chunks."""
+        distinct, code = coded(pa.concat_arrays([s[1] for s in self.slices]))
+        own = np.split(code, np.cumsum([len(s[1]) for s in self.slices])[:-1])
+        # Chunks without a separator first; the empty string at an edge is no chunk.
+        empty = pc.equal(distinct, "").to_numpy(zero_copy_only=False)
+        mixed = pc.match_substring_regex(distinct, SEPARATOR).to_numpy(zero_copy_only=False)
+        place = np.full(len(distinct), -1, np.int64)
+        first, second = np.flatnonzero(~mixed & ~empty), np.flatnonzero(mixed)
+        place[first], place[second] = np.arange(len(first)), len(first) + np.arange(len(second))
+        lengths, steps, numbers = [], [], []
+        for (size, _, code, *_), number in zip(self.slices, own):
+            code = place[number][code]
+            key = (np.repeat(np.arange(len(size)), size) * (len(distinct) + 1) + code)[code >= 0]
+            key, n = np.unique(key, return_counts=True)
+            doc, code = np.divmod(key, len(distinct) + 1)
+            per_doc = np.bincount(doc, minlength=len(size))
+            begins = np.concatenate([[0], np.cumsum(per_doc)])[:-1]
+            step = np.diff(code, prepend=0)
+            step[begins[per_doc > 0]] = code[begins[per_doc > 0]]
+            lengths.append(per_doc), steps.append(step.astype("<u4")), numbers.append(n.astype("<u4"))
+        n = np.concatenate(numbers)
+        often = np.flatnonzero(n > 1)  # most chunks occur once in a document
+        lang_names, lang_code = coded(pa.concat_arrays([s[3] for s in self.slices]))
+        source_names, source_code = coded(pa.concat_arrays([s[4] for s in self.slices]))
+        groups, group = np.unique(lang_code * len(source_names) + source_code, return_inverse=True)
+        counts = pack(np.concatenate(lengths), np.concatenate(steps), np.diff(often, prepend=0), n[often] - 1, group)
+        return pa.RecordBatch.from_arrays(
+            [pa.array([block], pa.int64()), strings(lang_names.take(pa.array(groups // len(source_names)))), strings(source_names.take(pa.array(groups % len(source_names)))),
+             strings(distinct.take(pa.array(first))), strings(distinct.take(pa.array(second))), pa.array([counts], pa.binary())],
+            names=["block", "langs", "sources", "plain", "mixed", "counts"])
 
 
 def blocks_of(batches: Iterator[pa.RecordBatch], limit: int) -> Iterator[pa.RecordBatch]:
     """Documents in blocks of about ``limit`` bytes of text."""
-    number, held, size = TaskContext.get().partitionId() << 32, [], 0
+    number, held = TaskContext.get().partitionId() << 32, Block()
     for batch in batches:
         lengths = pc.binary_length(batch.column("text").cast(pa.large_binary())).to_numpy(zero_copy_only=False)
-        for lo, hi in chunks(range(batch.num_rows), lengths, limit):
-            held.append(batch.slice(lo, hi - lo))
-            size += int(lengths[lo:hi].sum())
-            if size >= limit:
-                yield factor(pa.Table.from_batches(held), number)
-                number, held, size = number + 1, [], 0
-    if held:
-        yield factor(pa.Table.from_batches(held), number)
+        for lo, hi in chunks(range(batch.num_rows), lengths, min(limit, SLICE_BYTES)):
+            held.add(batch.slice(lo, hi - lo))
+            held.size += int(lengths[lo:hi].sum())
+            if held.size >= limit:
+                yield held.factor(number)
+                number, held = number + 1, Block()
+    if held.slices:
+        yield held.factor(number)
 
 
-def count_terms(found: pa.Table, block: pa.Table) -> pa.Table:
+def count_terms(found: pa.Table, block: pa.Table, slice_counts: int = SLICE_COUNTS) -> pa.Table:
     """Partial counts of one block: per (lang, source, term) the documents and
     the occurrences; ``found`` holds the terms of the chunks with separators."""
     per_doc, step, often, more, group = unpack(block.column("counts")[0].as_py())
-    doc = np.repeat(np.arange(len(per_doc)), per_doc)
-    n = np.ones(len(step), np.int64)
-    n[np.cumsum(often)] += more
-    # The first step of a document is a chunk number, the others are distances.
-    total = np.concatenate([[0], np.cumsum(step)])
-    code = total[1:] - np.repeat(total[np.concatenate([[0], np.cumsum(per_doc)])[:-1]], per_doc)
+    per_doc, group = per_doc.astype(np.int64), group.astype(np.int64)
+    n = np.ones(len(step), np.uint32)
+    n[np.cumsum(often, dtype=np.int64)] += more
+    # The first step of a document is a chunk number, the others are distances;
+    # sums beyond 32 bits wrap, their differences do not.
+    begins = np.concatenate([[0], np.cumsum(per_doc)])[:-1]
+    total = np.concatenate([np.zeros(1, np.uint32), np.cumsum(step, dtype=np.uint32)])
+    code = total[1:] - np.repeat(total[begins], per_doc)
     plain = block.column("plain").combine_chunks().flatten()
     found = found.sort_by("pos")
     lists = found.column("terms").combine_chunks()
@@ -147,18 +171,29 @@ def count_terms(found: pa.Table, block: pa.Table) -> pa.Table:
     place[rank.to_numpy()] = np.arange(len(terms))
     terms, term = terms.take(rank), place[term]
     first = np.concatenate([[0], np.cumsum(sizes)])
-    each = sizes[code]
-    doc, n = np.repeat(doc, each), np.repeat(n, each)
-    term = term[np.repeat(first[code] - np.concatenate([[0], np.cumsum(each)])[:-1], each) + np.arange(each.sum())]
     width = max(1, len(terms))
-    key, at = np.unique(group[doc] * width + term, return_inverse=True)
-    in_docs = np.unique(doc * width + term)
-    docs = np.bincount(np.searchsorted(key, group[in_docs // width] * width + in_docs % width), minlength=len(key))
+    # Documents in slices, those of a group together, to bound the arrays.
+    order = np.argsort(group, kind="stable")
+    parts = []
+    for lo, hi in chunks(range(len(order)), per_doc[order].tolist(), slice_counts):
+        docs = order[lo:hi]
+        m = per_doc[docs]
+        at = np.repeat(begins[docs] - (np.cumsum(m) - m), m) + np.arange(m.sum())
+        c = code[at]
+        each = sizes[c]
+        doc, times = np.repeat(np.repeat(np.arange(len(docs)), m), each), np.repeat(n[at], each)
+        which = term[np.repeat(first[c] - (np.cumsum(each) - each), each) + np.arange(each.sum())]
+        own = group[docs]
+        key, at = np.unique(own[doc] * width + which, return_inverse=True)
+        in_docs = np.unique(doc * width + which)
+        seen = np.searchsorted(key, own[in_docs // width] * width + in_docs % width)
+        parts.append((key, np.bincount(seen, minlength=len(key)), np.bincount(at, weights=times, minlength=len(key))))
+    key, at = np.unique(np.concatenate([p[0] for p in parts]), return_inverse=True)
+    added = lambda i: np.bincount(at, weights=np.concatenate([p[i] for p in parts]), minlength=len(key)).astype(np.int64)
     which = pa.array(key // width)
     return pa.table({
         "lang": block.column("langs").combine_chunks().flatten().take(which), "source": block.column("sources").combine_chunks().flatten().take(which),
-        "term": terms.take(pa.array(key % width)), "docs": pa.array(docs, pa.int64()),
-        "n": pa.array(np.bincount(at, weights=n, minlength=len(key)).astype(np.int64))})
+        "term": terms.take(pa.array(key % width)), "docs": pa.array(added(1), pa.int64()), "n": pa.array(added(2), pa.int64())})
 
 
 def groups_of(docs: DataFrame) -> DataFrame:
@@ -175,7 +210,7 @@ def term_counts(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     back = words.join(tokenized, "chunk").select(F.col("block").alias("home"), "pos", "terms")
     own = blocks.select("block", "langs", "sources", "plain", "counts")
     partial = back.groupBy("home").cogroup(own.groupBy("block")).applyInArrow(
-        count_terms, "lang string, source string, term string, docs long, n long")
+        lambda found, block: count_terms(found, block), "lang string, source string, term string, docs long, n long")
     return partial.groupBy("lang", "source", "term").agg(F.sum("docs").alias("docs"), F.sum("n").alias("n"))
 
 

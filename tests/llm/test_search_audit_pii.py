@@ -3,9 +3,12 @@ empty and long texts, ties, repeated rows, clashing extra columns, empty tables.
 
 import math
 import re
+import tracemalloc
 from collections import Counter, defaultdict
+from types import SimpleNamespace
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -132,6 +135,36 @@ def test_source_audit_blocks_and_empty_table(docs):
     assert all((a == b).all() for a, b in zip(source_audit.unpack(source_audit.pack(*arrays)), arrays))
 
 
+def audit_block(monkeypatch, texts, limit):
+    monkeypatch.setattr(source_audit.TaskContext, "get", staticmethod(lambda: SimpleNamespace(partitionId=lambda: 0)))
+    batch = pa.RecordBatch.from_pydict({"lang": ["en"] * len(texts), "source": ["s%d" % (k % 3) for k in range(len(texts))], "text": texts})
+    return [pa.table(b) for b in source_audit.blocks_of(iter([batch]), limit)]
+
+
+def test_audit_block_of_one_long_text(monkeypatch):
+    blocks = audit_block(monkeypatch, ["First Text " * 9, "Ünd So " * 30, "one MORE"], 50)
+    assert [b.column("plain")[0].as_py() for b in blocks] == [["first", "text"], ["Ünd", "so"], ["one", "more"]]
+
+
+def test_audit_counts_are_spread_in_slices(monkeypatch):
+    rng = np.random.default_rng(2)
+    names = [a + b for a in "abcdefghijklmnopqrst" for b in "abcdefghijklmnopqrst"]
+    texts = [" ".join(names[k] for k in rng.integers(0, 400, 150)) for _ in range(8000)]
+    [block] = audit_block(monkeypatch, texts, 1 << 30)
+    none = pa.table({"home": pa.array([], pa.int64()), "pos": pa.array([], pa.int32()), "terms": pa.array([], pa.list_(pa.string()))})
+    tracemalloc.start()
+    got = source_audit.count_terms(none, block).to_pylist()
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 60 << 20
+    want, in_docs = Counter(), Counter()
+    for k, t in enumerate(texts):
+        want.update((f"s{k % 3}", w) for w in t.split())
+        in_docs.update((f"s{k % 3}", w) for w in set(t.split()))
+    keys = {(r["source"], r["term"]): (r["docs"], r["n"]) for r in got}
+    assert len(keys) == len(got) and keys == {k: (in_docs[k], n) for k, n in want.items()}
+
+
 @pytest.fixture(scope="module")
 def private(spark):
     rng = np.random.default_rng(4)
