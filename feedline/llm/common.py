@@ -46,14 +46,23 @@ def row_key(doc_id: Column, text: Column) -> list[Column]:
 
 
 def small_batches(df: DataFrame) -> DataFrame:
-    """Arrow batches of at most 2,048 rows from here on, so that batches of
-    long texts stay within a worker's memory."""
+    """Arrow batches of at most 2,048 rows and Parquet batches of at most 512
+    from here on, so that batches of long texts stay within a worker's and an
+    executor's memory."""
     conf = df.sparkSession.conf
-    if int(conf.get("spark.sql.execution.arrow.maxRecordsPerBatch", "10000")) > 2048:
-        conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2048")
+    for name, rows, default in (("spark.sql.execution.arrow.maxRecordsPerBatch", 2048, "10000"), ("spark.sql.parquet.columnarReaderBatchSize", 512, "4096")):
+        if int(conf.get(name, default)) > rows:
+            conf.set(name, str(rows))
     return df
 
 
+def released(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches; at their end Arrow gives back what it no longer uses, as a
+    worker stays for later tasks."""
+    yield from batches
+    pa.default_memory_pool().release_unused()
+
+
 def with_text(docs: DataFrame) -> DataFrame:
     """Only what the operators read: doc_id and text (null as ''), so extra
     columns of any name cannot clash."""
@@ -97,7 +106,7 @@ class WordHashes(dict):
     """Stable 64-bit hashes of words, remembered up to a bound."""
 
     def __missing__(self, word: str) -> int:
-        if len(self) > 200_000:
+        if len(self) > 65_536:
             self.clear()
         h = self[word] = xxhash.xxh64_intdigest(word.encode("utf-8", "surrogatepass"))
         return h

@@ -46,9 +46,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from feedline.llm.common import chunks, row_key, split_words, staged, with_text, word_hashes
+from feedline.llm.common import chunks, released, row_key, split_words, staged, with_text, word_hashes
 
 BANDS, ROWS, SMALL = 32, 5, 16
+CHUNK_WORDS = 100_000  # sketched at once, in a dozen arrays of 64-bit numbers
 U = np.uint64
 STEP = U(0x9E3779B97F4A7C15)
 
@@ -120,7 +121,7 @@ def sketch_rows(batch: pa.RecordBatch, size: int, bands: int, rows: int) -> tupl
     n = batch.num_rows
     prints: list[bytes | None] = [None] * n
     keys: list = [None] * n
-    for begin, end in chunks(list(range(n)), np.diff(offsets).tolist(), 400_000):
+    for begin, end in chunks(list(range(n)), np.diff(offsets).tolist(), CHUNK_WORDS):
         sets, who = [], []
         for i in range(begin, end):
             if offsets[i + 1] > offsets[i]:
@@ -159,7 +160,7 @@ def sketch(docs: DataFrame, size: int = 5, bands: int = BANDS, rows: int = ROWS)
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("k1"), part.column("k2"), pa.array(prints, pa.binary()),
                                                   pa.array(keys, pa.list_(pa.int64()))], names=["doc_id", "k1", "k2", "fp", "keys"])
 
-    return d.mapInArrow(run, f"doc_id {kind}, k1 long, k2 long, fp binary, keys array<long>")
+    return d.mapInArrow(lambda batches: released(run(batches)), f"doc_id {kind}, k1 long, k2 long, fp binary, keys array<long>")
 
 
 def shingle_sets(texts_of_nodes: DataFrame, size: int) -> DataFrame:
@@ -176,7 +177,7 @@ def shingle_sets(texts_of_nodes: DataFrame, size: int) -> DataFrame:
                     [part.column("fp"), pa.array([len(s) for s, _ in sets], pa.int64()), pa.array([s.tobytes() for s, _ in sets], pa.binary()),
                      pa.array([c.astype("<u4").tobytes() for _, c in sets], pa.binary())], names=["fp", "n", "grams", "counts"])
 
-    return texts_of_nodes.mapInArrow(run, "fp binary, n long, grams binary, counts binary")
+    return texts_of_nodes.mapInArrow(lambda batches: released(run(batches)), "fp binary, n long, grams binary, counts binary")
 
 
 def similarity_of(a: np.ndarray, ca: np.ndarray, b: np.ndarray, cb: np.ndarray) -> float:
@@ -214,7 +215,7 @@ def verify(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
                 yield part.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     both = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "ga", "ca", "gb", "cb")
-    return both.mapInArrow(run, "a binary, b binary")
+    return both.mapInArrow(lambda batches: released(run(batches)), "a binary, b binary")
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -272,7 +273,7 @@ def residual_pairs(hot: DataFrame, sets: DataFrame, roots: DataFrame, threshold:
                      pa.array(np.concatenate([w / w.sum() for w in weights])), pa.array(grams)], names=["fp", "n", "repeats", "share", "gram"])
 
     rows = sets.join(hot, "fp", "left_semi").select("fp", "n", "grams", "counts")
-    rows = staged(rows.mapInArrow(spread, "fp binary, n long, repeats boolean, share double, gram long"), "hot-shingles")
+    rows = staged(rows.mapInArrow(lambda batches: released(spread(batches)), "fp binary, n long, repeats boolean, share double, gram long"), "hot-shingles")
     shared = rows.groupBy("gram").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
     rows = rows.join(shared, "gram")
     # A node's unshared shingles are its rarest: they fill the first positions.

@@ -25,7 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from feedline.llm.common import small_batches, texts, with_text, word_hashes
+from feedline.llm.common import released, small_batches, texts, with_text, word_hashes
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 SYMBOLS = "#*$%&|<>"
@@ -155,7 +155,7 @@ def quality(docs: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), *[pa.array(got[c], t) for c, t in ARROW]],
                                                  names=["doc_id", *[c for c, _ in ARROW]])
 
-    return d.mapInArrow(run, f"doc_id {kind}, {SCHEMA}")
+    return d.mapInArrow(lambda batches: released(run(batches)), f"doc_id {kind}, {SCHEMA}")
 
 
 def keep_good(docs: DataFrame) -> DataFrame:
@@ -170,4 +170,4 @@ def keep_good(docs: DataFrame) -> DataFrame:
                 kept = judge([t or "" for t in texts(part)])["kept"]
                 yield part.filter(pa.array(kept, pa.bool_()))
 
-    return small_batches(docs).mapInArrow(run, schema)
+    return small_batches(docs).mapInArrow(lambda batches: released(run(batches)), schema)

@@ -2,17 +2,21 @@
 long texts, ties, repeated rows, clashing extra columns, empty tables."""
 
 import hashlib
+import random
 import re
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 public_tokenizers = pytest.importorskip("public_tokenizers")
 
 from feedline.llm import decontaminate, line_dedup, mixing, near_dedup, quality, secret_scan, token_counts, token_files, toxicity, url_filter  # noqa: E402
+from feedline.llm.common import small_batches  # noqa: E402
 
 BYTE, WORD = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("word_bpe_49k.json")
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, score double, pos long, k1 long"
@@ -120,6 +124,22 @@ def test_every_row_of_a_large_batch_is_sketched_once(spark):
     assert near_dedup.keep_representatives(many).count() == 3000
 
 
+def test_near_dedup_sketches_few_words_at_once(spark):
+    rng = random.Random(3)
+    batch = pa.RecordBatch.from_pydict({"text": [" ".join(str(rng.randrange(500)) for _ in range(400)) for _ in range(1000)]})
+    near_dedup.sketch_rows(batch.slice(0, 10), 5, 32, 5)
+    tracemalloc.start()
+    prints, keys = near_dedup.sketch_rows(batch, 5, 32, 5)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 40 << 20
+    for k in range(0, 1000, 97):  # each as if sketched alone
+        alone = near_dedup.sketch_rows(batch.slice(k, 1), 5, 32, 5)
+        assert alone[0][0] == prints[k] and (alone[1][0] == keys[k]).all()
+    small_batches(spark.range(1))
+    assert int(spark.conf.get("spark.sql.parquet.columnarReaderBatchSize")) <= 512
+
+
 def test_large_family_of_edited_copies_is_settled_exactly(spark):
     rng = np.random.default_rng(3)
     base = [f"b{i}" for i in range(80)]
