@@ -86,10 +86,10 @@ def chunks(items: list, sizes, limit: int) -> Iterator[tuple[int, int]]:
         yield begin, len(items)
 
 
-def split_words(batch: pa.RecordBatch, name: str = "text") -> tuple[list[str], np.ndarray, np.ndarray]:
+def number_words(batch: pa.RecordBatch, name: str = "text") -> tuple[pa.LargeStringArray, np.ndarray, np.ndarray]:
     """The words of each text (runs without ASCII blanks) as ``(distinct
     words, their numbers in order, offsets of the texts)``; split and numbered
-    by Arrow, so each distinct word becomes one Python string per batch."""
+    by Arrow."""
     column = batch.column(name).cast(pa.large_string())
     lists = pc.ascii_split_whitespace(column)
     values = lists.flatten()
@@ -99,7 +99,13 @@ def split_words(batch: pa.RecordBatch, name: str = "text") -> tuple[list[str], n
     coded = values.filter(filled).dictionary_encode()
     if isinstance(coded, pa.ChunkedArray):
         coded = coded.combine_chunks()
-    return coded.dictionary.to_pylist(), coded.indices.to_numpy(zero_copy_only=False).astype(np.int64), kept[offsets]
+    return coded.dictionary, coded.indices.to_numpy(zero_copy_only=False).astype(np.int64), kept[offsets]
+
+
+def split_words(batch: pa.RecordBatch, name: str = "text") -> tuple[list[str], np.ndarray, np.ndarray]:
+    """:func:`number_words` with each distinct word as one Python string per batch."""
+    words, numbers, offsets = number_words(batch, name)
+    return words.to_pylist(), numbers, offsets
 
 
 class WordHashes(dict):

@@ -17,7 +17,7 @@ part and are stored as exceptions. The block index allows reading from any id
 without decoding what comes before.
 
 Documents are range-partitioned by doc_id once (texts move once), encoded with
-a bounded cache of words, and packed in numpy. Each segment stores its place
+a bounded cache of pieces of words, and packed in numpy. Each segment stores its place
 in its file; file totals (one row per file) give the global starts.
 
 Edge cases: a null or empty text is one document of the end id alone; very
@@ -42,7 +42,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from feedline.llm.common import scratch_path, split_words, with_text
+from feedline.llm.common import number_words, scratch_path, with_text
 from feedline.llm.token_counts import byte_alphabet
 
 MAGIC = b"PFR1"
@@ -56,6 +56,19 @@ CHAIN = [
     {"type": "Sequence", "pretokenizers": [{"type": "Split", "pattern": {"Regex": SPLIT}, "behavior": "Removed", "invert": True},
                                            {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}]}]
 
+# What a byte of a word of plain Latin letters is to SPLIT. An apostrophe may
+# begin an ending of its own, and 0x97 and 0xB7 end the signs of multiplication
+# and division, which are no letters: words with these are not cut by bytes.
+LETTER, DIGIT, MARK, OTHER = 1, 2, 4, 8
+KIND = np.full(256, OTHER, np.uint8)
+KIND[0x21:0x7F] = MARK
+KIND[0x30:0x3A] = DIGIT
+KIND[0x41:0x5B] = KIND[0x61:0x7B] = KIND[0x80:0xC0] = KIND[0xC3] = LETTER
+KIND[[0x27, 0x97, 0xB7]] = OTHER
+LOWER = np.arange(256, dtype=np.uint8)
+LOWER[0x41:0x5B] += 0x20
+LOWER[0x80:0x9F] += 0x20  # second bytes of U+00C0 to U+00DE
+
 
 def pack(values: np.ndarray, width: int) -> bytes:
     """Lowest ``width`` bits of each value, one after the other."""
@@ -194,41 +207,72 @@ def u4_bytes(ids: list[int]) -> bytes:
     return struct.pack(f"<{len(ids)}I", *ids)
 
 
+def cut_words(words: pa.LargeStringArray) -> tuple[pa.LargeStringArray, np.ndarray, np.ndarray]:
+    """Words (none empty) of plain Latin letters lower-cased and cut as SPLIT
+    cuts them, other words whole, as ``(distinct pieces, their numbers in
+    order, offsets of the words)``."""
+    if not len(words):
+        return words, np.empty(0, np.int64), np.zeros(1, np.int64)
+    offsets = np.frombuffer(words.buffers()[1], np.int64)[words.offset:words.offset + len(words) + 1]
+    data = np.frombuffer(words.buffers()[2], np.uint8)[offsets[0]:offsets[-1]]
+    offsets = offsets - offsets[0]
+    kind = KIND[data]
+    kind[:-1][(data[:-1] == ord("<")) & (data[1:] == ord("|"))] = OTHER  # may be a special token
+    other = np.bitwise_or.reduceat(kind, offsets[:-1]) >= OTHER
+    lower = LOWER[data]
+    if other.any():
+        whole = np.repeat(other, np.diff(offsets))
+        kind[whole], lower[whole] = OTHER, data[whole]
+    edge = kind == DIGIT
+    edge[1:] |= kind[1:] != kind[:-1]
+    edge[offsets[:-1]] = True
+    at = np.flatnonzero(edge)
+    pieces = pa.LargeStringArray.from_buffers(len(at), pa.py_buffer(np.append(at, len(data))), pa.py_buffer(lower))
+    coded = pieces.dictionary_encode()
+    return coded.dictionary, coded.indices.to_numpy(zero_copy_only=False).astype(np.int64), np.searchsorted(at, offsets)
+
+
+def gather(flat: np.ndarray, ends: np.ndarray, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Runs ``numbers`` of those that lie one after the other in ``flat``, and
+    where each begins in the result (and its end)."""
+    size = np.diff(ends)[numbers]
+    at = np.concatenate([[0], np.cumsum(size)])
+    return flat[np.repeat(ends[numbers] - at[:-1], size) + np.arange(at[-1])], at
+
+
 class WordEncoder:
     """Ids of texts. The tokenizer drops white space and never looks across it,
-    so texts are cut at ASCII blanks, each distinct word is encoded by the
-    library once (bounded cache of two generations), and the ids are gathered
-    by word number.
+    so texts are cut at ASCII blanks and the ids are gathered by word number.
 
-    Words of plain Latin letters need no normalising but lower case; they are
-    split by the tokenizer file's own pattern here and only merged by the
-    library's model, which is several times faster than its whole chain."""
+    Words of plain Latin letters need no normalising but lower case: they are
+    lower-cased and cut into the pieces of the tokenizer file's own pattern,
+    all distinct words of a batch at once, and each distinct piece is merged by
+    the library's model, which is several times faster than its whole chain.
+    Other words are encoded by the library. Both are remembered (bounded cache
+    of two generations)."""
 
     def __init__(self, path: str):
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         tokenizer = Tokenizer.from_file(path)
         self.encode, self.merge = tokenizer.encode_batch_fast, tokenizer.model.tokenize
-        known = [spec.get("normalizer"), spec.get("pre_tokenizer")]
-        self.plain = re.compile(r"[!-~À-ÿ]+").fullmatch if known == CHAIN else lambda w: None
+        self.known = [spec.get("normalizer"), spec.get("pre_tokenizer")] == CHAIN
+        self.plain = re.compile(r"[!-~À-ÿ]+").fullmatch if self.known else lambda w: None
         stand_in = {b: c for c, b in byte_alphabet().items()}
         self.bytes = str.maketrans({chr(b): stand_in[b] for b in range(256)})
         self.split = regex.compile(SPLIT).findall
-        self.pieces: dict[str, bytes] = {}
         self.words: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
 
     def piece(self, piece: str) -> bytes:
-        if (ids := self.pieces.get(piece)) is None:
+        if (ids := self.words.get(piece)) is None:
             letters = piece if piece.isascii() else piece.encode().decode("latin-1").translate(self.bytes)
-            ids = self.pieces[piece] = u4_bytes([t.id for t in self.merge(letters)])
+            ids = self.words[piece] = u4_bytes([t.id for t in self.merge(letters)])
         return ids
 
     def ids_of(self, words: list[str]) -> list[bytes]:
         if len(self.words) > CACHE:
             self.words, self.older = {}, self.words
-        if len(self.pieces) > CACHE:
-            self.pieces.clear()
         found = list(map(self.words.get, words))
         rest = []
         for i, ids in enumerate(found):
@@ -238,7 +282,7 @@ class WordEncoder:
                     if not self.plain(w) or "<|" in w:
                         rest.append(i)
                         continue
-                    ids = self.piece(w.lower()) if w.isalpha() and w.isascii() else b"".join(map(self.piece, self.split(w.lower())))
+                    ids = self.piece(w.lower()) if w.isalpha() else b"".join(map(self.piece, self.split(w.lower())))
                 found[i] = self.words[w] = ids
         for i in range(0, len(rest), 4096):
             part = rest[i:i + 4096]
@@ -249,14 +293,12 @@ class WordEncoder:
     def encode_batch(self, batch: pa.RecordBatch, end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """All ids of a batch of texts, each text followed by ``end_id``, and
         the number of ids of each text."""
-        words, numbers, offsets = split_words(batch)
-        ids = self.ids_of(words)
+        words, numbers, offsets = number_words(batch)
+        pieces, order, first = cut_words(words) if self.known else (words, np.arange(len(words)), np.arange(len(words) + 1))
+        ids = self.ids_of(pieces.to_numpy(zero_copy_only=False).tolist())
         size = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
-        begin = np.cumsum(size) - size
-        flat = np.frombuffer(b"".join(ids), "<u4")
-        own = size[numbers]
-        ends = np.concatenate([[0], np.cumsum(own)])
-        gathered = flat[np.repeat(begin[numbers] - ends[:-1], own) + np.arange(ends[-1])]
+        flat, ends = gather(np.frombuffer(b"".join(ids), "<u4"), np.concatenate([[0], np.cumsum(size)]), order)
+        gathered, ends = gather(flat, ends[first], numbers)
         at = ends[offsets]
         return np.insert(gathered, at[1:], end_id), np.diff(at) + 1
 

@@ -247,6 +247,43 @@ def test_token_files_round_trip(docs):
     assert token_files.token_files(docs.limit(0), WORD).count() == 0
 
 
+def encoded(enc, texts):
+    import pyarrow as pa
+
+    ids, sizes = enc.encode_batch(pa.RecordBatch.from_arrays([pa.array(texts, pa.string())], names=["text"]), 1)
+    return [part.tolist() for part in np.split(ids, np.cumsum(sizes)[:-1])]
+
+
+def test_words_are_cut_before_they_are_looked_up():
+    """Words that differ in case and marks only share their pieces, so what is
+    handled word by word in Python grows with distinct pieces, not words."""
+    from tokenizers import Tokenizer
+
+    lib, enc, looked_up = Tokenizer.from_file(WORD), token_files.WordEncoder(WORD), []
+    ids_of = enc.ids_of
+    enc.ids_of = lambda words: looked_up.append(len(words)) or ids_of(words)
+    words = [case(stem) + end for stem in ("house", "\u00e9t\u00e9", "\u00deing\u00df") for case in (str.lower, str.upper, str.capitalize)
+             for end in ("", ".", "!!", ",***", "42", ".7%")]
+    texts = [" ".join(words), "", " \n", words[5]]
+    assert encoded(enc, texts) == [lib.encode(t, add_special_tokens=False).ids + [1] for t in texts]
+    assert looked_up[0] <= 15 < len(set(words))
+    assert encoded(enc, ["", " "]) == [[1], [1]]
+
+
+def test_cut_words_as_the_library():
+    from tokenizers import Tokenizer
+
+    lib, enc = Tokenizer.from_file(WORD), token_files.WordEncoder(WORD)
+    parts = ["a", "Ab", "ST", "s", "t", "'", "'s", "'LL", "'re", "7", "42", "_", "!", ".,", "<", "|", "<|", "<|endoftext|>", "<|EndOfText|>", "\u00d7", "\u00f7",
+             "\u00c0", "\u00de", "\u00df", "\u00ff", "\u00aa", "\u00b5", "\u00b7", "e\u0301", "\u0301", "\u0130", "\u017f", "\u212a", "\u03a3", "\ufb01",
+             "\u4e2d", "\u0661", "\U0001f600", "\u2019s", "\x00", "\x1c", "\x7f", "\x85", "\xa0", "\u2028", "\u200b", " ", " ", " ", "\n", "\t"]
+    rng = np.random.default_rng(6)
+    texts = ["".join(parts[i] for i in rng.integers(0, len(parts), rng.integers(0, 30))) for _ in range(3000)]
+    for at in range(0, len(texts), 500):
+        part = texts[at:at + 500]
+        assert encoded(enc, part) == [e.ids + [1] for e in lib.encode_batch(part, add_special_tokens=False)]
+
+
 @pytest.mark.parametrize("n", [0, 1, 1023, 1024, 1025, 5000])
 def test_blocks_round_trip(n):
     rng = np.random.default_rng(n)
