@@ -42,13 +42,13 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from feedline.llm.common import number_words, scratch_path, with_text
+from feedline.llm.common import number_words, released, scratch_path, with_text
 from feedline.llm.token_counts import byte_alphabet
 
 MAGIC = b"PFR1"
 BLOCK = 1024
 INDEX = np.dtype([("offset", "<u4"), ("low", "<u4"), ("width", "u1"), ("patches", "<u2")])
-CACHE = 320_000
+CACHE = 160_000
 # Fixed by the tokenizer file: how it normalises and splits.
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 CHAIN = [
@@ -342,8 +342,8 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int =
             return out
 
         for batch in batches:
-            for i in range(0, batch.num_rows, 1024):
-                part = batch.slice(i, 1024)
+            for i in range(0, batch.num_rows, 512):
+                part = batch.slice(i, 512)
                 file_no = part.column("file_no")[0].as_py()
                 flat, sizes = enc.encode_batch(part, end_id)
                 ids.append(flat)
@@ -355,7 +355,7 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int =
         if names:
             yield segment()
 
-    out = d.mapInArrow(run, f"file_no int, first long, n_ids long, doc_ids array<{kind}>, payload binary")
+    out = d.mapInArrow(lambda batches: released(run(batches)), f"file_no int, first long, n_ids long, doc_ids array<{kind}>, payload binary")
     out.write.mode("overwrite").parquet(path)
 
 
@@ -382,7 +382,7 @@ def read_token_files(spark, path: str) -> DataFrame:
                     [batch.column("doc_ids")[i].values, pa.array(ends - lengths + batch.column("start")[i].as_py(), pa.int64()),
                      pa.array(lengths, pa.int64()), pa.array(crc, pa.int64())], names=["doc_id", "start", "n_tokens", "ids_crc32"])
 
-    return placed.mapInArrow(run, f"doc_id {kind}, start long, n_tokens long, ids_crc32 long")
+    return placed.mapInArrow(lambda batches: released(run(batches)), f"doc_id {kind}, start long, n_tokens long, ids_crc32 long")
 
 
 def token_files(docs: DataFrame, tokenizer: str, path: str | None = None, **how) -> DataFrame:
