@@ -73,7 +73,8 @@ def apportion(votes: np.ndarray, seats: int, most: np.ndarray) -> np.ndarray:
     got = np.zeros(len(votes), np.int64)
     if seats <= 0 or not (votes > 0).any():
         return got
-    at = lambda d: np.minimum(most, np.floor(votes / d + 0.5).astype(np.int64))
+    # Seats are capped before they become integers: a small divisor gives more than 64 bits hold.
+    at = lambda d: np.minimum(most, np.floor(votes / d + 0.5)).astype(np.int64)
     low, high = 1e-12, votes.max() * 4
     for _ in range(200):
         mid = (low * high) ** 0.5

@@ -4,6 +4,7 @@ long texts, ties, repeated rows, clashing extra columns, empty tables."""
 import hashlib
 import random
 import re
+import threading
 import tracemalloc
 import zlib
 from collections import Counter, defaultdict
@@ -351,6 +352,26 @@ def test_mixing_meets_targets(docs):
     assert rows.columns == docs.columns
 
 
+def ended(f, seconds):
+    """What ``f`` returns, if it ends in time."""
+    got = []
+    t = threading.Thread(target=lambda: got.append(f()), daemon=True)
+    t.start()
+    t.join(seconds)
+    assert got, f"not ended in {seconds} s"
+    return got[0]
+
+
+@pytest.mark.parametrize("words", [9_000_000, 9_300_000, 54_415_596, 10**13])
+def test_seats_of_a_large_source_that_takes_all_its_blocks(words):
+    # Words by the smallest divisor are more than 64 bits hold from 9.2 million on.
+    most = np.array([words * 2 // 256, words // 256, 0])
+    votes = np.array([words, words // 2, 0])
+    assert ended(lambda: mixing.apportion(votes[:1], int(most[0]), most[:1]), 20).tolist() == most[:1].tolist()
+    assert ended(lambda: mixing.apportion(votes, int(most.sum()), most), 20).tolist() == most.tolist()
+    assert ended(lambda: mixing.apportion(votes, 300, most), 20).tolist() == [200, 100, 0]
+
+
 def test_every_source_is_taken_to_within_a_block(spark):
     sizes = {"a": [60], "b": [300, 600], "c": [20_000] * 5, "d": [], None: [7]}
     rows = [(n, f"{s}{k}", s) for n, (s, k) in enumerate((s, k) for s, v in sizes.items() for k in v)]
