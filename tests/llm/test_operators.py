@@ -372,6 +372,16 @@ def test_seats_of_a_large_source_that_takes_all_its_blocks(words):
     assert ended(lambda: mixing.apportion(votes, 300, most), 20).tolist() == [200, 100, 0]
 
 
+def test_mixing_stage_with_a_large_source_that_is_taken_twice(spark):
+    # a (9.6 million words) is wanted more than twice and gets all the blocks of its two passes.
+    word = F.repeat(F.lit("a "), F.lit(24_000))
+    rows = spark.range(820).select(F.col("id").alias("doc_id"), word.alias("text"), F.lit("en").alias("lang"), F.when(F.col("id") < 400, "a").otherwise("b").alias("source"), F.lit(48_000).cast("long").alias("n_chars"))
+    count = lambda: {r["source"]: r["n"] for r in mixing.mixed_documents(rows).groupBy("source").agg(F.sum(mixing.word_count(F.col("text"))).alias("n")).collect()}
+    got = ended(count, 120)
+    assert 2 * 9_600_000 - 256 * 20 <= got["a"] <= 2 * 9_600_000
+    assert abs(got["a"] + got["b"] - 1.5 * 820 * 24_000) <= 256
+
+
 def test_every_source_is_taken_to_within_a_block(spark):
     sizes = {"a": [60], "b": [300, 600], "c": [20_000] * 5, "d": [], None: [7]}
     rows = [(n, f"{s}{k}", s) for n, (s, k) in enumerate((s, k) for s, v in sizes.items() for k in v)]
