@@ -21,7 +21,7 @@ from pyspark.sql.streaming import StreamingQuery
 from feedline.operators.dedup import ROW_ID, first_seen, with_dedup_key
 from feedline.operators.metrics import METRIC_COLUMNS, record_counts, run_metrics
 from feedline.operators.validate import annotate, validate
-from feedline.session import scratch_path, stage
+from feedline.session import scratch_path, stage_packed, write_packed
 from feedline.sinks.writers import append_metrics, write_jsonl, write_records
 from feedline.sources import keystore
 from feedline.sources.state import folders
@@ -61,7 +61,7 @@ def feed_batch_writer(
         run = f"b{batch_id:08d}"
         spider = F.substring_index("_source_key", ":", 1)
         checked = with_dedup_key(annotate(to_envelope(batch)), key_path, fallback, F.col("_valid"))
-        checked = stage(checked.withColumn(ROW_ID, F.monotonically_increasing_id()), scratch_path(spark, "batch"))
+        checked = stage_packed(checked.withColumn(ROW_ID, F.monotonically_increasing_id()), scratch_path(spark, "batch"))
         v = validate(checked, validation_mode)
         v.raise_if_strict()
         earlier = [r for r in folders(spark, f"{out_root}/seen/keys", "run=") if r < run]
@@ -107,7 +107,7 @@ def ingest_available(stream: DataFrame, out_root: str, kind: str, cfg: "IngestCo
         fetched = [c for c in ("fetched_at",) if c in batch.columns]
         pages = batch.select("source_key", F.col("page_no").cast("bigint"), "payload", *fetched)
         landed = Landed(rss={rss_source: pages}) if kind == "rss" else Landed(**{kind: pages})
-        parse_landed(landed, state, cfg).write.mode("overwrite").parquet(f"{pending}/{BATCH}={batch_id}")
+        write_packed(parse_landed(landed, state, cfg), f"{pending}/{BATCH}={batch_id}")
 
     run_available(stream, process, checkpoint)
     if not _exists(spark, pending):
