@@ -21,7 +21,7 @@ from pyspark.sql.streaming import StreamingQuery
 from feedline.operators.dedup import ROW_ID, first_seen, with_dedup_key
 from feedline.operators.metrics import METRIC_COLUMNS, record_counts, run_metrics
 from feedline.operators.validate import annotate, validate
-from feedline.session import scratch_path, stage_packed, write_packed
+from feedline.session import discard, few, scratch_path, stage_packed, write_packed
 from feedline.sinks.writers import append_metrics, write_jsonl, write_records
 from feedline.sources import keystore
 from feedline.sources.state import folders
@@ -65,8 +65,10 @@ def feed_batch_writer(
         v = validate(checked, validation_mode)
         v.raise_if_strict()
         earlier = [r for r in folders(spark, f"{out_root}/seen/keys", "run=") if r < run]
-        kept = first_seen(v.accepted, drop_seen=lambda winners: keystore.new_only(winners, f"{out_root}/seen", earlier))
+        late = scratch_path(spark, "losers")
+        kept = first_seen(v.accepted, drop_seen=lambda winners: keystore.new_only(winners, f"{out_root}/seen", earlier), settle=lambda losers: few(stage_packed(losers, late)))
         written = write_records(kept.drop(ROW_ID), f"{out_root}/records", run)
+        discard(spark, late)
         write_jsonl(written, f"{out_root}/jsonl/{run}")
         keystore.write_keys(written.select("dedup_key"), f"{out_root}/seen", run)
         counts = record_counts(v.checked.withColumn("spider", spider), v.accepted.withColumn("spider", spider))
